@@ -375,3 +375,61 @@ FROM part p LEFT JOIN (SELECT p_partkey, count(*) AS times FROM tagged WHERE rk
 def q_inclusion_audit(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     return inclusion_audit(part, _AUDIT_K, ["p_partkey"], _AUDIT_SEEDS)
+
+
+# ------------------------------------------------------------ T1 S4: stream queries
+def _event_stream(spark, sf_dir):
+    from kpool.sources.messages import read_messages
+
+    schema = table(spark, sf_dir, "events").schema
+    return read_messages(spark, "parquet", {"pathGlobFilter": "events.parquet"}, schema=schema, path=sf_dir)
+
+
+@register("stream_sample", ORACLE["summary_build"])
+def q_stream_sample(spark, sf_dir):
+    from kpool.streaming.sample_stream import latest_summary, run_to_end, stream_sample
+
+    q, tdir = stream_sample(_event_stream(spark, sf_dir), ["event_type"], 10, "event_id", ["event_id"], seed=SEED)
+    run_to_end(q)
+    return explode_summary(latest_summary(spark, tdir), ["event_type"]).select(
+        "event_type", "n", "k", RANK, PRIORITY, "value")
+
+
+@register("stream_merge", f"""
+SELECT priority, event_id AS value,
+       CAST(row_number() OVER (ORDER BY priority, event_id) AS BIGINT) AS sample_rank,
+       (SELECT count(*) FROM events WHERE event_type IN ('click', 'purchase')) AS n,
+       CAST(20 AS BIGINT) AS k
+FROM (SELECT {_pri_sql('event_id')} AS priority, event_id FROM events WHERE event_type IN ('click', 'purchase'))
+ORDER BY priority, event_id LIMIT 20
+""")
+def q_stream_merge(spark, sf_dir):
+    from kpool.streaming.sample_stream import run_to_end, stream_merge, stream_sample
+
+    ev = _event_stream(spark, sf_dir)
+    dirs = []
+    for kind in ("click", "purchase"):
+        q, tdir = stream_sample(ev.filter(F.col("event_type") == kind), [], 20, "event_id", ["event_id"], seed=SEED)
+        run_to_end(q)
+        dirs.append(tdir)
+    merged = stream_merge(spark, dirs, [], 20)
+    return explode_summary(merged, []).select(PRIORITY, F.col("value"), RANK, "n", "k")
+
+
+@register("stream_pipeline")
+def q_stream_pipeline(spark, sf_dir):
+    """Final summary per (user, kind) of the element-level pipeline over the
+    click stream (k=10) and the view stream (k=15), merged with m=20."""
+    from pyspark.sql import Window
+
+    from kpool.streaming.pipeline import run_paired_pipeline
+
+    ev = _event_stream(spark, sf_dir)
+    clicks = ev.filter(F.col("event_type") == "click")
+    views = ev.filter(F.col("event_type") == "view")
+    out = run_paired_pipeline(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+                              k1=10, k2=15, m=20, seed=SEED)
+    rows = spark.read.parquet(out)
+    last = rows.withColumn("_r", F.row_number().over(
+        Window.partitionBy("user_id", "kind").orderBy(F.col("seq").desc()))).filter(F.col("_r") == 1)
+    return explode_summary(last.select("user_id", "kind", "n", "k", "items"), ["user_id", "kind"])
