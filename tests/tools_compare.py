@@ -1,0 +1 @@
+../tools/compare.py
\ No newline at end of file
