@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kpool.functions.tags import identity_parts, priority
 from kpool.operators.sample import check_size
+from kpool.plans.layout import spread
 
 
 def parity(c) -> Column:
@@ -46,7 +47,7 @@ def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -
     ids = list(id_cols)
     base = df.select(*ids)
     parts = identity_parts(base, ids)
-    rep = base.withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
+    rep = spread(base).withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
     rep = rep.withColumn("_p", priority(F.col("_seed"), *parts))
     w = Window.partitionBy("_seed").orderBy("_p", *ids)
     top = rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import HEX_DIGITS_FOR_DRAW, hex_threshold, row_priority
+from kpool.plans.layout import input_partitions, spread
 
 PRIORITY = "priority"
 RANK = "sample_rank"
@@ -59,15 +60,8 @@ def prune_margin(k: int) -> float:
     return k + 8.0 * math.sqrt(k) + 16.0
 
 
-def _num_partitions(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def choose_strategy(df: DataFrame, k: int) -> str:
-    return "prune" if _num_partitions(df) * k > PRUNE_ROWS else "window"
+def choose_strategy(num_partitions: int, k: int) -> str:
+    return "prune" if num_partitions * k > PRUNE_ROWS else "window"
 
 
 def _window_sample(pdf: DataFrame, keys: Sequence[str], k: int, id_cols: Sequence) -> DataFrame:
@@ -138,12 +132,15 @@ def sample_by_key(
     seed: int = 0,
     short: str = "cap",
     strategy: str = "auto",
+    do_spread: bool = True,
 ) -> DataFrame:
     """Uniform sample of k rows per key (all rows of keys with fewer than k).
 
     Adds ``priority`` and ``sample_rank`` (1 = smallest priority).
     ``short="error"`` raises when a key has fewer than k rows (the batch
-    rule); ``"cap"`` keeps such keys whole (the stream rule).
+    rule); ``"cap"`` keeps such keys whole (the stream rule).  ``do_spread``
+    spreads an input that arrives in fewer partitions than cores (see
+    ``kpool.plans.layout.spread``).
     """
     check_size("k", k)
     if short not in ("cap", "error"):
@@ -151,9 +148,12 @@ def sample_by_key(
     if strategy not in ("auto", "window", "prune"):
         raise ValueError("strategy must be 'auto', 'window' or 'prune'")
     keys = list(keys)
-    pdf = with_priority(df, id_cols, seed)
+    parts = input_partitions(df)
     if strategy == "auto":
-        strategy = choose_strategy(df, k)
+        strategy = choose_strategy(parts, k)
+    if do_spread:
+        df = spread(df)
+    pdf = with_priority(df, id_cols, seed)
     source = pdf
     if strategy == "prune":
         source = _pruned_candidates(pdf, keys, k)

@@ -54,7 +54,8 @@ def summary_batch_writer(keys: Sequence[str], k: int, value_cols, id_cols: Seque
         spark = batch.sparkSession
         fresh = build_summary(batch, keys, k, value_cols, id_cols, seed=seed, strategy="window")
         prev = latest_summary(spark, table_dir, before=batch_id)
-        merged = fresh if prev is None else merge_summaries(prev.unionByName(fresh), keys, k)
+        merged = fresh if prev is None else merge_summaries(prev.unionByName(fresh), keys, k,
+                                                            persist_input=False)
         merged.write.mode("overwrite").parquet(f"{table_dir}/{VERSION}={batch_id}")
 
     return on_batch
