@@ -12,10 +12,12 @@ Plan (one query, no caching):
    number of rows of its key that sit in earlier slices.
 4. Join back on (partition, key) and add: ``n = before + pos - first + 1``.
 
-Both branches read the same range exchange (Spark reuses it inside one
-query, and after a lost executor recomputes map outputs with the same
-bounds), so counts and rows always agree.  The order must be total: pass a
-unique id as the last order column.
+The range bounds come from sampling seeded by the RDD id, and column pruning
+makes the count branch and the row branch plan separate exchanges, so the
+numbered rows are materialised once with ``checkpoint()`` into the shared
+checkpoint folder before both branches read them: counts and rows always
+agree, and a lost executor cannot change them.  The order must be total:
+pass a unique id as the last order column.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpool.session import ensure_checkpoint_dir
+
 LOW_BITS = 33
 LOW_MASK = (1 << LOW_BITS) - 1
 
@@ -55,6 +59,8 @@ def ordinal(
         .withColumn("_pid", F.shiftright(F.col("_mid"), LOW_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(LOW_MASK)))
     )
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     slices = ranged.groupBy("_pid", *keys).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid") \

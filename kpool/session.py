@@ -30,23 +30,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-def shared_dir(spark: SparkSession, *sub: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
-    The directory named by ``spark.checkpoint.dir`` (or set on the
-    SparkContext) is read from the session.  Only when neither is set -- as
-    in local tests -- a directory is made and registered, so that
-    ``DataFrame.checkpoint()`` and streaming checkpoints land in the same
-    place.
+    Read from the session (``spark.checkpoint.dir`` / the SparkContext).
+    Only when none is set -- as in local tests -- a folder is made and
+    registered, so that ``DataFrame.checkpoint()`` and streaming checkpoints
+    land in the same place.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="kpool-ckpt-")
+        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpool-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
-    path = base.rstrip("/")
+    return base
+
+
+def shared_dir(spark: SparkSession, *sub: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    path = ensure_checkpoint_dir(spark).rstrip("/")
     for s in sub:
         path = f"{path}/{s}"
     return f"{path}-{uuid.uuid4().hex[:12]}"
