@@ -114,7 +114,7 @@ def test_ordinal_exact_with_sparse_range_sampling(spark):
     old = spark.conf.get(key)
     spark.conf.set(key, "2")
     try:
-        ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("event_id", "ts", "user_id")
+        ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("event_id", "ts", "user_id").repartition(4)
         got = ordinal(ev, ["ts", "event_id"], keys=["user_id"], num_partitions=16)
         want = ev.withColumn("n", F.row_number().over(
             Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint"))
