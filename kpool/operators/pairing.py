@@ -14,9 +14,22 @@ pending_i = (s_i - s_j) even if j exists, else s_i odd.  A pair is emitted at
 the first item of run i iff run i-1 ended pending, joining the last item of
 run i-1 with the first item of run i.
 
-Everything is ``lag`` / running ``sum`` / ``last(ignorenulls)`` windows per
-key plus one aggregation per run, so it spills and runs in parallel across
-keys.
+Two plans compute it:
+
+* ``strategy="window"`` -- ``lag`` / running ``sum`` / ``last(ignorenulls)``
+  windows per key plus one aggregation per run.  Spills, parallel across
+  keys, but one key is one task.
+* ``strategy="distributed"`` -- no window over a whole key.  Positions come
+  from ``ordinal`` (range-partitioned, so a hot key spans many tasks); every
+  other step is an equi-join or aggregation on (key, position):
+  run starts/ends from one groupBy of (own, previous, next) side tags; the
+  run number r of a start is its ordinal among starts; a run ends one before
+  the next start.  A run of length >= 2 ends pending; for a length-1 run at
+  r with s length-1 runs up to r, q = r - s long runs precede it; joining
+  the q-th long run (its run number r_q) gives its place p = r - r_q in the
+  block of length-1 runs after it, and pending = p even (p odd when q = 0).
+* ``"auto"`` counts rows per key and switches to ``distributed`` when one
+  key holds more than ``HOT_KEY_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -26,6 +39,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpool.operators.ordinal import ordinal
+
+# A key with more rows than this is paired by the distributed plan.
+HOT_KEY_ROWS = 5_000_000
+
 
 def pair_latest_unmatched(
     df: DataFrame,
@@ -33,6 +51,7 @@ def pair_latest_unmatched(
     side: Column,
     order: Sequence,
     id_col: str,
+    strategy: str = "auto",
 ) -> DataFrame:
     """Pairs ``keys..., left_id, right_id, right_first`` from rows of ``df``.
 
@@ -42,6 +61,19 @@ def pair_latest_unmatched(
     one (the pair closed on a left arrival).
     """
     keys = list(keys)
+    if strategy not in ("auto", "window", "distributed"):
+        raise ValueError("strategy must be 'auto', 'window' or 'distributed'")
+    if strategy == "auto":
+        biggest = (df.filter(side.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+                   .agg(F.max("_c").alias("_m")).first())
+        hot = biggest is not None and biggest["_m"] is not None and biggest["_m"] > HOT_KEY_ROWS
+        strategy = "distributed" if hot else "window"
+    if strategy == "distributed":
+        return _pairs_distributed(df, keys, side, order, id_col)
+    return _pairs_window(df, keys, side, order, id_col)
+
+
+def _pairs_window(df: DataFrame, keys: list, side: Column, order: Sequence, id_col: str) -> DataFrame:
     ocols = [F.col(c) if isinstance(c, str) else c for c in order]
     e = df.select(*keys, side.alias("_left"), F.struct(*ocols).alias("_o"), F.col(id_col).alias("_id")) \
         .filter(F.col("_left").isNotNull())
@@ -73,3 +105,78 @@ def pair_latest_unmatched(
         F.when(F.col("_left"), F.col("_prev_last")).otherwise(F.col("_first_id")).alias("right_id"),
         F.col("_left").alias("right_first"),
     )
+
+
+def _on(keys: list, other_suffix: str, extra: Sequence[tuple[str, str]] = ()) -> list[Column]:
+    cond = [F.col(c).eqNullSafe(F.col(f"{c}{other_suffix}")) for c in keys]
+    return cond + [F.col(a) == F.col(b) for a, b in extra]
+
+
+def _renamed(df: DataFrame, keys: list, suffix: str) -> DataFrame:
+    for c in keys:
+        df = df.withColumnRenamed(c, f"{c}{suffix}")
+    return df
+
+
+def _pairs_distributed(df: DataFrame, keys: list, side: Column, order: Sequence, id_col: str) -> DataFrame:
+    ocols = [F.col(c) if isinstance(c, str) else c for c in order]
+    e = df.select(*keys, side.alias("_left"), *[c.alias(f"_o{i}") for i, c in enumerate(ocols)],
+                  F.col(id_col).alias("_id")).filter(F.col("_left").isNotNull())
+    e = ordinal(e, [f"_o{i}" for i in range(len(ocols))], keys, out="_n") \
+        .select(*keys, "_n", "_left", "_id")
+
+    # own / previous / next side of every position: one shuffle on (key, n)
+    tags = (
+        e.select(*keys, "_n", F.col("_left").alias("_own"), "_id",
+                 F.lit(None).cast("boolean").alias("_prev"), F.lit(None).cast("boolean").alias("_next"))
+        .unionByName(e.select(*keys, (F.col("_n") + 1).alias("_n"), F.lit(None).cast("boolean").alias("_own"),
+                              F.lit(None).cast(e.schema["_id"].dataType).alias("_id"),
+                              F.col("_left").alias("_prev"), F.lit(None).cast("boolean").alias("_next")))
+        .unionByName(e.select(*keys, (F.col("_n") - 1).alias("_n"), F.lit(None).cast("boolean").alias("_own"),
+                              F.lit(None).cast(e.schema["_id"].dataType).alias("_id"),
+                              F.lit(None).cast("boolean").alias("_prev"), F.col("_left").alias("_next")))
+    )
+    pos = tags.groupBy(*keys, "_n").agg(
+        F.max("_own").alias("_left"), F.max("_id").alias("_id"),
+        F.max("_prev").alias("_prev"), F.max("_next").alias("_next"),
+    ).filter(F.col("_left").isNotNull())
+    starts = pos.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_left"))) \
+        .select(*keys, F.col("_n").alias("_start"), "_left", F.col("_id").alias("_first_id"))
+    starts = ordinal(starts, ["_start"], keys, out="_r")
+
+    # a run ends one before the next run starts, or at the key's last position
+    nxt = _renamed(starts.select(*keys, (F.col("_r") - 1).alias("_r2"), F.col("_start").alias("_nstart")), keys, "_x")
+    last = _renamed(e.groupBy(*keys).agg(F.max("_n").alias("_last_n")), keys, "_y")
+    runs = (starts.join(nxt, _on(keys, "_x", [("_r", "_r2")]), "left")
+            .join(last, _on(keys, "_y"), "inner")
+            .select(*keys, "_r", "_left", "_start", "_first_id",
+                    F.coalesce(F.col("_nstart") - 1, F.col("_last_n")).alias("_end")))
+    ends = _renamed(e.select(*keys, F.col("_n").alias("_end2"), F.col("_id").alias("_last_id")), keys, "_z")
+    runs = runs.join(ends, _on(keys, "_z", [("_end", "_end2")]), "inner") \
+        .select(*keys, "_r", "_left", "_first_id", "_last_id",
+                (F.col("_end") - F.col("_start") + 1).alias("_len"))
+
+    singles = ordinal(runs.filter(F.col("_len") == 1).select(*keys, "_r"), ["_r"], keys, out="_s")
+    longs = ordinal(runs.filter(F.col("_len") >= 2).select(*keys, "_r"), ["_r"], keys, out="_q")
+    longs_by_q = _renamed(longs.select(*keys, F.col("_q").alias("_q2"), F.col("_r").alias("_rq")), keys, "_w")
+    singles = singles.withColumn("_q", F.col("_r") - F.col("_s")) \
+        .join(longs_by_q, _on(keys, "_w", [("_q", "_q2")]), "left")
+    p = F.col("_r") - F.coalesce(F.col("_rq"), F.lit(0))
+    pend_single = singles.select(
+        *keys, "_r", F.when(F.col("_rq").isNull(), F.pmod(p, F.lit(2)) == 1)
+        .otherwise(F.pmod(p, F.lit(2)) == 0).alias("_pending"))
+    pend = pend_single.unionByName(longs.select(*keys, "_r", F.lit(True).alias("_pending")))
+
+    # run r pairs with run r-1 when run r-1 ended pending
+    prev_pending = _renamed(
+        pend.filter("_pending").select(*keys, (F.col("_r") + 1).alias("_rp")), keys, "_v")
+    prev_last = _renamed(runs.select(*keys, (F.col("_r") + 1).alias("_rl"), F.col("_last_id").alias("_prev_last")),
+                         keys, "_u")
+    pairs = (runs.join(prev_pending, _on(keys, "_v", [("_r", "_rp")]), "left_semi")
+             .join(prev_last, _on(keys, "_u", [("_r", "_rl")]), "inner"))
+    return pairs.select(
+        *keys,
+        F.when(F.col("_left"), F.col("_first_id")).otherwise(F.col("_prev_last")).alias("left_id"),
+        F.when(F.col("_left"), F.col("_prev_last")).otherwise(F.col("_first_id")).alias("right_id"),
+        F.col("_left").alias("right_first"),
+    )

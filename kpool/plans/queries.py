@@ -351,10 +351,14 @@ WITH RECURSIVE
 SELECT user_id, out_left AS left_id, out_right AS right_id, out_rf AS right_first
 FROM sm WHERE out_left IS NOT NULL
 """)
-def q_pair_latest_unmatched(spark, sf_dir):
+def q_pair_latest_unmatched(spark, sf_dir, strategy="auto"):
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
     side = F.col("event_type") == "click"
-    return pair_latest_unmatched(ev, ["user_id"], side, ["ts", "event_id"], "event_id")
+    return pair_latest_unmatched(ev, ["user_id"], side, ["ts", "event_id"], "event_id", strategy=strategy)
+
+
+register("pair_latest_unmatched_distributed", ORACLE["pair_latest_unmatched"])(
+    lambda spark, sf: q_pair_latest_unmatched(spark, sf, "distributed"))
 
 
 # ------------------------------------------------------------ §5: inclusion_audit

@@ -122,3 +122,22 @@ def test_ordinal_exact_with_sparse_range_sampling(spark):
         assert diff == 0 and got.count() == ev.count()
     finally:
         spark.conf.set(key, old)
+
+
+def test_pairing_distributed_equals_state_machine(spark):
+    rows = []
+    seqs = {}
+    key = 0
+    for length in range(0, 8):
+        for pattern in itertools.product([True, False], repeat=length):
+            key += 1
+            seq = [(is_left, key * 100 + i) for i, is_left in enumerate(pattern)]
+            seqs[key] = seq
+            rows += [(key, i, is_left, ident) for i, (is_left, ident) in enumerate(seq)]
+    df = spark.createDataFrame(rows, "k bigint, pos bigint, is_left boolean, ident bigint")
+    got = pair_latest_unmatched(df, ["k"], F.col("is_left"), ["pos"], "ident", strategy="distributed").collect()
+    got_by = {}
+    for r in got:
+        got_by.setdefault(r.k, []).append((r.left_id, r.right_id))
+    for k, seq in seqs.items():
+        assert sorted(got_by.get(k, [])) == sorted(pair_state_machine(seq)), seq
