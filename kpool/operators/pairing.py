@@ -156,8 +156,11 @@ def _pairs_distributed(df: DataFrame, keys: list, side: Column, order: Sequence,
         .select(*keys, "_r", "_left", "_first_id", "_last_id",
                 (F.col("_end") - F.col("_start") + 1).alias("_len"))
 
-    singles = ordinal(runs.filter(F.col("_len") == 1).select(*keys, "_r"), ["_r"], keys, out="_s")
-    longs = ordinal(runs.filter(F.col("_len") >= 2).select(*keys, "_r"), ["_r"], keys, out="_q")
+    # number single and long runs in one pass: ordinal keyed by (key, is_long)
+    kinds = ordinal(runs.select(*keys, "_r", (F.col("_len") >= 2).alias("_long")), ["_r"],
+                    keys + ["_long"], out="_i")
+    singles = kinds.filter(~F.col("_long")).select(*keys, "_r", F.col("_i").alias("_s"))
+    longs = kinds.filter(F.col("_long")).select(*keys, "_r", F.col("_i").alias("_q"))
     longs_by_q = _renamed(longs.select(*keys, F.col("_q").alias("_q2"), F.col("_r").alias("_rq")), keys, "_w")
     singles = singles.withColumn("_q", F.col("_r") - F.col("_s")) \
         .join(longs_by_q, _on(keys, "_w", [("_q", "_q2")]), "left")

@@ -21,9 +21,11 @@ a single key carries most of the stream.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,11 @@ from kpool.operators.sample import PRIORITY, check_size, with_priority
 from kpool.session import shared_dir
 
 
+# The processor runs in Python workers; ship this module's code with it so
+# executors need not have kpool installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _item_type(value_type: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("priority", T.StringType()), T.StructField("value", value_type)])
 
@@ -161,16 +168,25 @@ def paired_sample_stream(
 
 def run_paired_pipeline(left: DataFrame, right: DataFrame, keys, value_col, id_cols, order,
                         k1=10, k2=10, m=10, seed=0, out_dir: str | None = None,
-                        checkpoint: str | None = None):
+                        checkpoint: str | None = None, state_partitions: int | None = None):
     """Run the pipeline to the end of its (availableNow) inputs into a parquet
-    table; returns the table folder."""
+    table; returns the table folder.
+
+    The number of state partitions is fixed by the first run of a checkpoint;
+    it defaults to the cluster's parallelism (one state store per core)."""
     spark = left.sparkSession
     out_dir = out_dir or shared_dir(spark, "paired-out")
     checkpoint = checkpoint or shared_dir(spark, "paired-ckpt")
     stream = paired_sample_stream(left, right, keys, value_col, id_cols, order, k1, k2, m, seed)
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
-    q.awaitTermination()
+    conf_key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(conf_key)
+    spark.conf.set(conf_key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
+        q.awaitTermination()
+    finally:
+        spark.conf.set(conf_key, before)
     if q.exception() is not None:
         raise q.exception()
     return out_dir
