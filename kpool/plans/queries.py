@@ -331,8 +331,9 @@ def q_reservoir_as_of(spark, sf_dir):
 
 
 # ------------------------------------------------------- J1: pair_latest_unmatched
-@register("pair_latest_unmatched", """
-WITH RECURSIVE
+# The pairing state machine, one step per element (a recursive CTE): a
+# different formulation from the window / ordinal plans it checks.
+_J1_CTES = """
  e AS (SELECT user_id, event_id, event_type = 'click' AS is_left,
               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
        FROM events WHERE event_type IN ('click', 'view')),
@@ -347,7 +348,11 @@ WITH RECURSIVE
           CASE WHEN sm.held_id IS NOT NULL AND sm.held_left <> e.is_left
                THEN CASE WHEN e.is_left THEN sm.held_id ELSE e.event_id END END,
           CASE WHEN sm.held_id IS NOT NULL AND sm.held_left <> e.is_left THEN e.is_left END
-   FROM sm JOIN e ON e.user_id = sm.user_id AND e.rn = sm.rn + 1)
+   FROM sm JOIN e ON e.user_id = sm.user_id AND e.rn = sm.rn + 1)"""
+
+
+@register("pair_latest_unmatched", f"""
+WITH RECURSIVE{_J1_CTES}
 SELECT user_id, out_left AS left_id, out_right AS right_id, out_rf AS right_first
 FROM sm WHERE out_left IS NOT NULL
 """)
@@ -420,7 +425,61 @@ def q_stream_merge(spark, sf_dir):
     return explode_summary(merged, []).select(PRIORITY, F.col("value"), RANK, "n", "k")
 
 
-@register("stream_pipeline")
+def _prefix_sample_sql(kind: str, k: int, bound: str) -> str:
+    """Sample of one user's `kind` events up to and including the paired
+    element (ts, id) of `lp` -- the summary the pipeline held at that time."""
+    return f"""
+    SELECT lp.user_id, ev.event_id, {_pri_sql('ev.event_id')} AS priority,
+           count(*) OVER (PARTITION BY lp.user_id) AS cnt,
+           row_number() OVER (PARTITION BY lp.user_id ORDER BY {_pri_sql('ev.event_id')}, ev.event_id) AS rk
+    FROM lp JOIN events ev ON ev.user_id = lp.user_id AND ev.event_type = '{kind}'
+     AND (ev.ts < lp.{bound}_ts OR (ev.ts = lp.{bound}_ts AND ev.event_id <= lp.{bound}_id))"""
+
+
+def _final_sample_sql(kind: str, label: str, k: int) -> str:
+    return f"""
+    SELECT user_id, '{label}' AS kind, n, CAST({k} AS BIGINT) AS k, sample_rank, priority, value FROM (
+      SELECT user_id, event_id AS value, {_pri_sql('event_id')} AS priority,
+             count(*) OVER (PARTITION BY user_id) AS n,
+             CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_pri_sql('event_id')}, event_id) AS BIGINT)
+               AS sample_rank
+      FROM events WHERE event_type = '{kind}')
+    WHERE sample_rank <= {k}"""
+
+
+# Final summary per (user, kind) of the element-level pipeline: click stream
+# (k1=10) and view stream (k2=15), merged summaries of size m=20.  The last
+# merged summary joins the two prefix samples at the user's last J1 pair.
+_SP_SQL = f"""
+WITH RECURSIVE{_J1_CTES},
+ lastpair AS (
+   SELECT user_id, out_left, out_right FROM (
+     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS r FROM sm WHERE out_left IS NOT NULL)
+   WHERE r = 1),
+ lp AS (
+   SELECT p.user_id, el.ts AS l_ts, el.event_id AS l_id, er.ts AS r_ts, er.event_id AS r_id
+   FROM lastpair p JOIN events el ON el.event_id = p.out_left JOIN events er ON er.event_id = p.out_right),
+ c AS ({_prefix_sample_sql('click', 10, 'l')}),
+ v AS ({_prefix_sample_sql('view', 15, 'r')}),
+ cs AS (SELECT user_id, max(cnt) AS n1 FROM c GROUP BY user_id),
+ vs AS (SELECT user_id, max(cnt) AS n2 FROM v GROUP BY user_id),
+ mm AS (SELECT cs.user_id, n1 + n2 AS n,
+               least(20, CASE WHEN n1 > 10 THEN 10 END, CASE WHEN n2 > 15 THEN 15 END) AS m_eff
+        FROM cs JOIN vs ON cs.user_id = vs.user_id),
+ pooled AS (
+   SELECT user_id, event_id, priority,
+          row_number() OVER (PARTITION BY user_id ORDER BY priority, event_id) AS sample_rank
+   FROM (SELECT user_id, event_id, priority FROM c WHERE rk <= 10
+         UNION ALL SELECT user_id, event_id, priority FROM v WHERE rk <= 15))
+SELECT mm.user_id, 'merged' AS kind, CAST(mm.n AS BIGINT) AS n, CAST(mm.m_eff AS BIGINT) AS k,
+       CAST(p.sample_rank AS BIGINT) AS sample_rank, p.priority, p.event_id AS value
+FROM mm JOIN pooled p ON p.user_id = mm.user_id AND p.sample_rank <= mm.m_eff
+UNION ALL {_final_sample_sql('click', 'sampled1', 10)}
+UNION ALL {_final_sample_sql('view', 'sampled2', 15)}
+"""
+
+
+@register("stream_pipeline", _SP_SQL)
 def q_stream_pipeline(spark, sf_dir):
     """Final summary per (user, kind) of the element-level pipeline over the
     click stream (k=10) and the view stream (k=15), merged with m=20."""
