@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpool.functions.tags import identity_parts, priority
-from kpool.operators.sample import check_size
+from kpool.functions.tags import hex_threshold, identity_parts, priority
+from kpool.operators.sample import check_size, prune_margin
 from kpool.plans.layout import spread
 
 
@@ -38,19 +39,40 @@ def merge_provenance(merged_items: DataFrame, origin: Column) -> DataFrame:
 
 def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -> DataFrame:
     """``id_cols..., times``: in how many of the seeds 1..seeds each row is
-    in the size-k sample.  Each row is tagged once per seed (rows x seeds
-    priorities); a per-seed group limit keeps k rows per seed per partition
-    before the shuffle.  The per-id counts hold at most seeds * k rows, a
-    bound fixed by the parameters, so they are broadcast back."""
+    in the size-k sample.
+
+    Every row computes its ``seeds`` priorities inside the row (N x seeds
+    hashes, no row replication).  With N known, a (row, seed) pair can only
+    be in that seed's top k if its priority lies below (k + 8 sqrt(k) + 16)/N,
+    so only those candidate pairs are exploded -- about seeds * (k + 8 sqrt(k))
+    rows in all, not N * seeds.  A per-seed group limit then picks the exact
+    top k.  If some seed kept fewer than min(k, N) candidates (probability
+    ~1e-15) the audit reruns with every pair, so the result is always exact.
+    The per-id counts hold at most seeds * k rows, a bound fixed by the
+    parameters, so they are broadcast back."""
     check_size("k", k)
     check_size("seeds", seeds)
     ids = list(id_cols)
     base = df.select(*ids)
+    n = base.count()
+    if n == 0:
+        return base.withColumn("times", F.lit(0).cast("bigint"))
     parts = identity_parts(base, ids)
-    rep = spread(base).withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
-    rep = rep.withColumn("_p", priority(F.col("_seed"), *parts))
+    thr = hex_threshold(prune_margin(k) / n)
+    tagged = F.transform(F.sequence(F.lit(1), F.lit(seeds)),
+                         lambda s: F.struct(s.alias("seed"), priority(s, *parts).alias("p")))
+    cand = spread(base).select(*ids, F.explode(F.filter(tagged, lambda x: x["p"] < F.lit(thr))).alias("_t")) \
+        .select(*ids, F.col("_t.seed").alias("_seed"), F.col("_t.p").alias("_p"))
     w = Window.partitionBy("_seed").orderBy("_p", *ids)
-    top = rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    top = top.persist(StorageLevel.MEMORY_AND_DISK)
+    per_seed = top.groupBy("_seed").count()
+    full = per_seed.filter(F.col("count") >= min(k, n)).count() == seeds
+    if not full:
+        top.unpersist()
+        rep = spread(base).withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
+        rep = rep.withColumn("_p", priority(F.col("_seed"), *parts))
+        top = rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     times = top.groupBy(*ids).agg(F.count(F.lit(1)).cast("bigint").alias("times"))
     return base.join(F.broadcast(times), ids, "left").select(
         *ids, F.coalesce(F.col("times"), F.lit(0).cast("bigint")).alias("times"))

@@ -11,3 +11,13 @@ def test_inclusion_is_uniform(spark):
     chi2 = sum((t - expected) ** 2 / expected for t in got)
     # 199 degrees of freedom: mean 199, sd ~20; 300 is far in the tail
     assert chi2 < 300
+
+
+def test_inclusion_audit_fallback_is_exact(spark, monkeypatch):
+    import kpool.operators.audit as audit
+
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    want = sorted(tuple(r) for r in audit.inclusion_audit(part, 10, ["p_partkey"], 30).collect())
+    monkeypatch.setattr(audit, "prune_margin", lambda k: 0.5)  # far too few candidates
+    got = sorted(tuple(r) for r in audit.inclusion_audit(part, 10, ["p_partkey"], 30).collect())
+    assert got == want
