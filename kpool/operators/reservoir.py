@@ -97,3 +97,32 @@ def reservoir_as_of(history: DataFrame, n) -> DataFrame:
     """The reservoir after the first ``n`` elements (n: int or Column)."""
     n_col = n if isinstance(n, Column) else F.lit(int(n)).cast("bigint")
     return history.filter((F.col("from_n") <= n_col) & (F.col("to_n").isNull() | (F.col("to_n") >= n_col)))
+
+
+def reservoir_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    k: int,
+    order: Sequence,
+    value_col: str,
+    seed: int = 0,
+) -> DataFrame:
+    """Reservoirs as summaries: ``keys..., n, k, items`` with items in slot
+    order (``priority`` holds the zero-padded slot).  Slot order is not a
+    random order (a prefix is biased), so merge these with
+    ``merge_weighted(..., permute=True)``.
+
+    The stream size n comes from a count per key, combined with the slots by
+    a union + one aggregation (each key holds at most k slots)."""
+    keys = list(keys)
+    res = reservoir_replay(df, k, order, [value_col], keys=keys, seed=seed)
+    item = F.struct(F.lpad(F.col("slot").cast("string"), 20, "0").alias("priority"),
+                    F.col(value_col).alias("value"))
+    slots = res.select(*keys, F.lit(None).cast("bigint").alias("n"), item.alias("_item"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
+        *keys, "n", F.lit(None).cast(slots.schema["_item"].dataType).alias("_item"))
+    return counts.unionByName(slots).groupBy(*keys).agg(
+        F.sum("n").cast("bigint").alias("n"),
+        F.lit(k).cast("bigint").alias("k"),
+        F.sort_array(F.collect_list("_item")).alias("items"),
+    )

@@ -16,7 +16,8 @@ from kpool.functions.tags import sql_draw, sql_id_text, sql_priority
 from kpool.operators.audit import count_by, inclusion_audit, parity
 from kpool.operators.merge import merge_summaries, merge_weighted
 from kpool.operators.pairing import pair_latest_unmatched
-from kpool.operators.reservoir import reservoir_as_of, reservoir_by_key, reservoir_history, reservoir_replay
+from kpool.operators.reservoir import (reservoir_as_of, reservoir_by_key, reservoir_history, reservoir_replay,
+                                      reservoir_summary)
 from kpool.operators.sample import PRIORITY, RANK, sample_by_key, sample_k
 from kpool.operators.summary import build_summary, explode_summary, render_summary
 from kpool.sources.generators import integer_range, random_strings
@@ -330,6 +331,70 @@ def q_reservoir_as_of(spark, sf_dir):
     return reservoir_as_of(hist, half).select("slot", "from_n", "event_id")
 
 
+# ----------------------------------------------- A4 + A8 + D6: reservoir_merge_weighted
+# Per user: the click reservoir (k=10) and the view reservoir (k=15), filled
+# by slot replacement in (ts, event_id) order, merged with the weighted
+# algorithm into m=20 items after a seeded permutation of each slot order.
+def _rmw_side_sql(kind: str, k: int, side: str) -> str:
+    kt = "CAST(user_id AS VARCHAR)"
+    return f"""
+    SELECT user_id, event_id, n_all,
+           row_number() OVER (PARTITION BY user_id ORDER BY
+             md5(concat_ws(':', '{SEED}', 'perm', {kt} || '|{side}', CAST(slot - 1 AS VARCHAR)))) AS pos
+    FROM (
+      SELECT user_id, slot, arg_max(event_id, n) AS event_id, max(n_all) AS n_all
+      FROM (
+        SELECT *, CASE WHEN n <= {k} THEN n
+                       ELSE 1 + {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'n', bound='n')} END AS slot
+        FROM (SELECT user_id, event_id,
+                     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
+                     count(*) OVER (PARTITION BY user_id) AS n_all
+              FROM events WHERE event_type = '{kind}'))
+      WHERE slot <= {k} GROUP BY user_id, slot)"""
+
+
+_RMW_SQL = f"""
+WITH RECURSIVE
+ l AS ({_rmw_side_sql('click', 10, 'L')}),
+ r AS ({_rmw_side_sql('view', 15, 'R')}),
+ ls AS (SELECT user_id, max(n_all) AS n1, count(*) AS s1 FROM l GROUP BY user_id),
+ rs AS (SELECT user_id, max(n_all) AS n2, count(*) AS s2 FROM r GROUP BY user_id),
+ params AS (
+   SELECT coalesce(ls.user_id, rs.user_id) AS user_id, coalesce(n1, 0) AS n1, coalesce(n2, 0) AS n2,
+          least(20, coalesce(n1, 0) + coalesce(n2, 0),
+                CASE WHEN coalesce(n1, 0) > coalesce(s1, 0) THEN 10 END,
+                CASE WHEN coalesce(n2, 0) > coalesce(s2, 0) THEN 15 END) AS m_eff
+   FROM ls FULL OUTER JOIN rs ON ls.user_id = rs.user_id),
+ fold(user_id, i, a, b, c1, c2, m_eff) AS (
+   SELECT user_id, 0, n1, n2, 0, 0, m_eff FROM params
+   UNION ALL
+   SELECT user_id, i + 1,
+          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN a - 1 ELSE a END,
+          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN b ELSE b - 1 END,
+          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c1 + 1 ELSE c1 END,
+          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c2 ELSE c2 + 1 END,
+          m_eff
+   FROM fold WHERE i < m_eff),
+ final AS (SELECT f.user_id, f.c1, f.c2, p.n1 + p.n2 AS n, p.m_eff
+           FROM fold f JOIN params p ON f.user_id = p.user_id WHERE f.i = p.m_eff)
+SELECT f.user_id, x.event_id, CAST(f.n AS BIGINT) AS n, CAST(f.m_eff AS BIGINT) AS k
+FROM final f JOIN (SELECT user_id, event_id, pos, 'L' AS side FROM l
+                   UNION ALL SELECT user_id, event_id, pos, 'R' AS side FROM r) x
+  ON x.user_id = f.user_id AND ((x.side = 'L' AND x.pos <= f.c1) OR (x.side = 'R' AND x.pos <= f.c2))
+"""
+
+
+@register("reservoir_merge_weighted", _RMW_SQL)
+def q_reservoir_merge_weighted(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    clicks = reservoir_summary(ev.filter(F.col("event_type") == "click"), ["user_id"], 10,
+                               ["ts", "event_id"], "event_id", seed=SEED)
+    views = reservoir_summary(ev.filter(F.col("event_type") == "view"), ["user_id"], 15,
+                              ["ts", "event_id"], "event_id", seed=SEED)
+    merged = merge_weighted(clicks, views, ["user_id"], 20, seed=SEED, permute=True)
+    return explode_summary(merged, ["user_id"]).select("user_id", F.col("value").alias("event_id"), "n", "k")
+
+
 # ------------------------------------------------------- J1: pair_latest_unmatched
 # The pairing state machine, one step per element (a recursive CTE): a
 # different formulation from the window / ordinal plans it checks.
