@@ -1,15 +1,18 @@
 """Continuous UPDATE over a stream (T1) and the merge of sampled streams (T3).
 
-``stream_sample`` keeps one summary per key in a versioned table under a
-shared folder.  Each micro-batch is summarised on its own (partial top-k per
-partition, <= k rows per key shuffled), merged with the previous version of
-the table (an exact merge: priorities are order-free, so the result equals
-the batch sample of everything seen), and written as version ``v=<batchId>``.
-
-Replaying a batch after a failure reads the same previous version and
-overwrites the same output version, so the table is effectively-once even
-though ``foreachBatch`` is at-least-once.  The state is bounded by k items
-per key; no watermark is needed.
+``stream_sample`` keeps one summary per key in a table under a shared
+folder.  Each micro-batch is summarised on its own (partial top-k per
+partition, <= k rows per key shuffled), merged with the previous version
+(an exact merge: priorities are order-free, so the result equals the batch
+sample of everything seen), and written with its batch id ``v`` into one of
+two alternating slots, ``slot=<batchId % 2>``.
+
+Replaying a batch after a failure reads the same previous version (it lives
+in the other slot) and rewrites the same slot, so the table is
+effectively-once although ``foreachBatch`` is at-least-once.  Storage stays
+at two versions, and finding the previous one reads two small folders
+however long the stream has run.  State is bounded by k items per key; no
+watermark is needed.
 """
 
 from __future__ import annotations
@@ -24,26 +27,31 @@ from kpool.operators.summary import build_summary
 from kpool.session import shared_dir
 
 VERSION = "v"
+SLOT = "slot"
 
 
-def versions(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    """All written versions (partition column ``v``), or None if none yet."""
+def latest_version(spark: SparkSession, table_dir: str, before: int | None = None) -> int | None:
+    """Batch id of the newest complete version (optionally: newest < before)."""
     try:
-        return spark.read.parquet(table_dir)
-    except Exception:  # no version written yet
+        allv = spark.read.parquet(table_dir)
+    except Exception:  # nothing written yet
         return None
+    if before is not None:
+        allv = allv.filter(F.col(VERSION) < before)
+    row = allv.agg(F.max(VERSION).alias("m")).first()
+    return None if row is None or row["m"] is None else int(row["m"])
+
+
+def read_version(spark: SparkSession, table_dir: str, version: int) -> DataFrame:
+    """Summaries as of batch ``version`` (read from its slot only)."""
+    return (spark.read.parquet(f"{table_dir}/{SLOT}={version % 2}")
+            .filter(F.col(VERSION) == version).drop(VERSION))
 
 
 def latest_summary(spark: SparkSession, table_dir: str, before: int | None = None) -> DataFrame | None:
-    """The newest version (optionally: newest with v < before)."""
-    allv = versions(spark, table_dir)
-    if allv is None:
-        return None
-    cand = allv if before is None else allv.filter(F.col(VERSION) < before)
-    row = cand.agg(F.max(VERSION).alias("m")).first()
-    if row is None or row["m"] is None:
-        return None
-    return cand.filter(F.col(VERSION) == row["m"]).drop(VERSION)
+    """The newest summaries (optionally: newest with batch id < before)."""
+    v = latest_version(spark, table_dir, before)
+    return None if v is None else read_version(spark, table_dir, v)
 
 
 def summary_batch_writer(keys: Sequence[str], k: int, value_cols, id_cols: Sequence, seed: int,
@@ -53,10 +61,12 @@ def summary_batch_writer(keys: Sequence[str], k: int, value_cols, id_cols: Seque
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = build_summary(batch, keys, k, value_cols, id_cols, seed=seed, strategy="window")
+        # resolved before writing: the previous version sits in the other slot
         prev = latest_summary(spark, table_dir, before=batch_id)
         merged = fresh if prev is None else merge_summaries(prev.unionByName(fresh), keys, k,
                                                             persist_input=False)
-        merged.write.mode("overwrite").parquet(f"{table_dir}/{VERSION}={batch_id}")
+        merged.withColumn(VERSION, F.lit(batch_id).cast("bigint")) \
+            .write.mode("overwrite").parquet(f"{table_dir}/{SLOT}={batch_id % 2}")
 
     return on_batch
 
