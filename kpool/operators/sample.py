@@ -40,7 +40,7 @@ RANK = "sample_rank"
 # A per-key merge that would receive more rows than this switches to pruning.
 PRUNE_ROWS = 2_000_000
 # Most keys whose thresholds may be broadcast (a proven size bound).
-MAX_BROADCAST_KEYS = 1_000_000
+MAX_BROADCAST_KEYS = 200_000
 
 
 def check_size(name: str, value: int) -> None:
