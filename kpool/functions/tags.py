@@ -43,7 +43,10 @@ def id_text(c, dtype: T.DataType | None = None) -> Column:
     :func:`identity_parts` because engines print them differently.
     """
     col = _as_col(c)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampNTZType):
+        # zone-free: wall-clock text to the second, never through a session zone
+        col = F.substring(col.cast("string"), 1, 19)
+    elif isinstance(dtype, T.TimestampType):
         col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
     elif isinstance(dtype, T.DateType):
         col = F.date_format(col, "yyyy-MM-dd")

@@ -35,6 +35,9 @@ from kpool.operators.sample import PRIORITY, check_size, with_priority
 from kpool.session import shared_dir
 
 
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # The processor runs in Python workers; ship this module's code with it so
 # executors need not have kpool installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -184,15 +187,25 @@ def run_paired_pipeline(left: DataFrame, right: DataFrame, keys, value_col, id_c
     out_dir = out_dir or shared_dir(spark, "paired-out")
     checkpoint = checkpoint or shared_dir(spark, "paired-ckpt")
     stream = paired_sample_stream(left, right, keys, value_col, id_cols, order, k1, k2, m, seed)
-    conf_key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(conf_key)
-    spark.conf.set(conf_key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    # transformWithState keeps its state in column families, which only the
+    # RocksDB state store has; both settings are recorded in the checkpoint
+    settings = {
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+        PROVIDER_KEY: ROCKSDB_PROVIDER,
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         q = (stream.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_dir))
         q.awaitTermination()
     finally:
-        spark.conf.set(conf_key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     if q.exception() is not None:
         raise q.exception()
     return out_dir
