@@ -39,7 +39,8 @@ RANK = "sample_rank"
 
 # A per-key merge that would receive more rows than this switches to pruning.
 PRUNE_ROWS = 2_000_000
-# Most keys whose thresholds may be broadcast (a proven size bound).
+# Most keys whose thresholds are broadcast: only keys holding more than
+# total / MAX_BROADCAST_KEYS rows are pruned, so this bound always holds.
 MAX_BROADCAST_KEYS = 200_000
 
 
@@ -97,27 +98,35 @@ def _pruned_candidates(pdf: DataFrame, keys: Sequence[str], k: int) -> DataFrame
         cand.unpersist()
         return None
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    if counts.count() > MAX_BROADCAST_KEYS:
-        counts.unpersist()
-        return None
+    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    # Only keys above hot_floor are pruned.  At most total / hot_floor keys can
+    # be above it, so the threshold table is provably <= MAX_BROADCAST_KEYS
+    # rows and is broadcast; other keys pass whole (each holds <= hot_floor
+    # rows, and the partial group limit bounds what they shuffle).
+    hot_floor = max(margin, total / MAX_BROADCAST_KEYS)
     alias = {c: f"_key{i}" for i, c in enumerate(keys)}
-    thresholds = counts.select(
+    thresholds = counts.filter(F.col("_n") > F.lit(hot_floor)).select(
         *[F.col(c).alias(a) for c, a in alias.items()],
-        F.when(F.col("_n") <= margin, F.lit(None).cast("bigint"))
-        .otherwise(F.floor(F.lit(margin) / F.col("_n") * F.lit(float(2**60))).cast("bigint") + 1)
-        .alias("_t"),
-    )
+        F.least(F.col("_n"), F.lit(k)).alias("_need"),
+        (F.floor(F.lit(margin) / F.col("_n") * F.lit(float(2**60))).cast("bigint") + 1).alias("_t"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    if thresholds.count() == 0:
+        counts.unpersist()
+        thresholds.unpersist()
+        return pdf
     cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in alias.items()]
-    joined = pdf.join(F.broadcast(thresholds), cond, "inner").drop(*alias.values())
+    joined = pdf.join(F.broadcast(thresholds.drop("_need")), cond, "left").drop(*alias.values())
     cand = joined.filter(F.col("_t").isNull() | (_u60(F.col(PRIORITY)) < F.col("_t"))).drop("_t")
     cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
-    have = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    have = have.select(*[F.col(c).alias(a) for c, a in alias.items()], "_c")
-    cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in alias.items()]
-    short_keys = (counts.join(have, cond, "left")
-                  .filter(F.coalesce(F.col("_c"), F.lit(0)) < F.least(F.col("_n"), F.lit(k)))
+    # exactness check, for the pruned (hot) keys only
+    have = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) \
+        .select(*[F.col(c).alias(f"{a}_h") for c, a in alias.items()], "_c")
+    hcond = [F.col(a).eqNullSafe(F.col(f"{a}_h")) for a in alias.values()]
+    short_keys = (thresholds.join(have, hcond, "left")
+                  .filter(F.coalesce(F.col("_c"), F.lit(0)) < F.col("_need"))
                   .limit(1).count())
     counts.unpersist()
+    thresholds.unpersist()
     if short_keys:
         cand.unpersist()
         return None

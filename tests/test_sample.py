@@ -83,3 +83,17 @@ def test_window_plan_has_partial_group_limit(spark):
     s = sample_by_key(ev.select("event_id", "event_type"), ["event_type"], 5, ["event_id"], strategy="window")
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_prune_with_hot_key_among_many_keys(spark, monkeypatch):
+    # one key holds a third of the rows; the broadcast bound admits few keys,
+    # so only the hot key is pruned and the others pass whole
+    import kpool.operators.sample as sm
+
+    monkeypatch.setattr(sm, "MAX_BROADCAST_KEYS", 4)
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 97}") for i in range(1, 6001)]
+    df = spark.createDataFrame(rows, "id bigint, key string")
+    got = sm.sample_by_key(df, ["key"], 5, ["id"], seed=7, strategy="prune")
+    want = sm.sample_by_key(df, ["key"], 5, ["id"], seed=7, strategy="window")
+    assert sorted(got.select("key", "id", "sample_rank").collect()) == \
+        sorted(want.select("key", "id", "sample_rank").collect())
