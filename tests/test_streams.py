@@ -102,3 +102,21 @@ def test_paired_pipeline_final_samples(spark, tmp_path):
     for r in rows:
         if r.kind == "merged":
             assert len(r["items"]) <= r.k <= 5
+
+
+def test_paired_pipeline_runs_without_session_provider(spark, tmp_path):
+    from kpool.streaming.pipeline import PROVIDER_KEY
+
+    before = spark.conf.get(PROVIDER_KEY, None)
+    spark.conf.unset(PROVIDER_KEY)  # a default session: HDFS-backed state store
+    try:
+        schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+        ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
+        out = run_paired_pipeline(ev.filter("event_type = 'click'"), ev.filter("event_type = 'view'"),
+                                  ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+                                  out_dir=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+        assert spark.read.parquet(out).count() > 0
+        assert spark.conf.get(PROVIDER_KEY, None) is None  # the session is left as it was
+    finally:
+        if before is not None:
+            spark.conf.set(PROVIDER_KEY, before)
