@@ -481,12 +481,11 @@ def q_stream_merge(spark, sf_dir):
     from kpool.streaming.sample_stream import run_to_end, stream_merge, stream_sample
 
     ev = _event_stream(spark, sf_dir)
-    dirs = []
-    for kind in ("click", "purchase"):
-        q, tdir = stream_sample(ev.filter(F.col("event_type") == kind), [], 20, "event_id", ["event_id"], seed=SEED)
+    started = [stream_sample(ev.filter(F.col("event_type") == kind), [], 20, "event_id", ["event_id"], seed=SEED)
+               for kind in ("click", "purchase")]  # both streams run at the same time
+    for q, _ in started:
         run_to_end(q)
-        dirs.append(tdir)
-    merged = stream_merge(spark, dirs, [], 20)
+    merged = stream_merge(spark, [tdir for _, tdir in started], [], 20)
     return explode_summary(merged, []).select(PRIORITY, F.col("value"), RANK, "n", "k")
 
 
