@@ -7,13 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import hex_threshold, identity_parts, priority
 from kpool.operators.sample import check_size, prune_margin
-from kpool.plans.layout import spread
+from kpool.plans.layout import materialize, spread
 
 
 def parity(c) -> Column:
@@ -65,11 +64,10 @@ def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -
         .select(*ids, F.col("_t.seed").alias("_seed"), F.col("_t.p").alias("_p"))
     w = Window.partitionBy("_seed").orderBy("_p", *ids)
     top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    top = top.persist(StorageLevel.MEMORY_AND_DISK)
+    top = materialize(top)
     per_seed = top.groupBy("_seed").count()
     full = per_seed.filter(F.col("count") >= min(k, n)).count() == seeds
     if not full:
-        top.unpersist()
         rep = spread(base).withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
         rep = rep.withColumn("_p", priority(F.col("_seed"), *parts))
         top = rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)

@@ -21,12 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import draw, id_text, priority
 from kpool.operators.sample import PRIORITY, check_size
+from kpool.plans.layout import materialize
 
 ITEM = "item"
 
@@ -46,21 +46,21 @@ def _rule_r(m: int, kmin: Column, short: str) -> Column:
 
 
 def merge_summaries(summaries: DataFrame, keys: Sequence[str], m: int, short: str = "cap",
-                    persist_input: bool = True) -> DataFrame:
+                    materialize_input: bool = True) -> DataFrame:
     """Merge all summary rows sharing ``keys`` into one summary of size m.
 
     Input columns: ``keys..., n, k, items`` (other columns are ignored).
     Plan: explode items -> per-key top-m (partial WindowGroupLimit before the
     shuffle, so at most m items per key per partition move) -> union with
     per-key (sum n, min incomplete k), pre-aggregated map-side -> one
-    aggregation.  Both branches read the input, so it is persisted first
-    (summaries hold at most k items per row); pass ``persist_input=False``
-    when it is already a table scan.
+    aggregation.  Both branches read the input, so it is materialised once
+    in the shared checkpoint folder (summaries hold at most k items per
+    row); pass ``materialize_input=False`` when it is already a table scan.
     """
     check_size("m", m)
     keys = list(keys)
-    if persist_input:
-        summaries = summaries.persist(StorageLevel.MEMORY_AND_DISK)
+    if materialize_input:
+        summaries = materialize(summaries)
     item_type = summaries.schema["items"].dataType.elementType
     stats = summaries.select(
         *keys,

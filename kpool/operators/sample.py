@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import HEX_DIGITS_FOR_DRAW, hex_threshold, row_priority
-from kpool.plans.layout import input_partitions, spread
+from kpool.plans.layout import input_partitions, materialize, spread
 
 PRIORITY = "priority"
 RANK = "sample_rank"
@@ -92,11 +92,8 @@ def _pruned_candidates(pdf: DataFrame, keys: Sequence[str], k: int) -> DataFrame
         n = row["_n"] if row else 0
         if n <= margin:
             return pdf
-        cand = pdf.filter(F.col(PRIORITY) < F.lit(hex_threshold(margin / n))).persist(StorageLevel.MEMORY_AND_DISK)
-        if cand.count() >= min(k, n):
-            return cand
-        cand.unpersist()
-        return None
+        cand = materialize(pdf.filter(F.col(PRIORITY) < F.lit(hex_threshold(margin / n))))
+        return cand if cand.count() >= min(k, n) else None
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
     # Only keys above hot_floor are pruned.  At most total / hot_floor keys can
@@ -117,7 +114,7 @@ def _pruned_candidates(pdf: DataFrame, keys: Sequence[str], k: int) -> DataFrame
     cond = [F.col(c).eqNullSafe(F.col(a)) for c, a in alias.items()]
     joined = pdf.join(F.broadcast(thresholds.drop("_need")), cond, "left").drop(*alias.values())
     cand = joined.filter(F.col("_t").isNull() | (_u60(F.col(PRIORITY)) < F.col("_t"))).drop("_t")
-    cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+    cand = materialize(cand)
     # exactness check, for the pruned (hot) keys only
     have = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) \
         .select(*[F.col(c).alias(f"{a}_h") for c, a in alias.items()], "_c")
@@ -127,10 +124,7 @@ def _pruned_candidates(pdf: DataFrame, keys: Sequence[str], k: int) -> DataFrame
                   .limit(1).count())
     counts.unpersist()
     thresholds.unpersist()
-    if short_keys:
-        cand.unpersist()
-        return None
-    return cand
+    return None if short_keys else cand
 
 
 def sample_by_key(

@@ -25,3 +25,18 @@ def spread(df: DataFrame) -> DataFrame:
     if input_partitions(df) < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it as files in the shared checkpoint
+    folder (reliable ``checkpoint()``, one job).
+
+    Used where a small intermediate -- summaries, pruned candidates -- is read
+    by more than one branch of the plan that follows.  Unlike ``persist()`` it
+    pins no executor memory for the rest of the session, and unlike a local
+    checkpoint it survives the loss of the executors that computed it.
+    """
+    from kpool.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -64,7 +64,7 @@ def summary_batch_writer(keys: Sequence[str], k: int, value_cols, id_cols: Seque
         # resolved before writing: the previous version sits in the other slot
         prev = latest_summary(spark, table_dir, before=batch_id)
         merged = fresh if prev is None else merge_summaries(prev.unionByName(fresh), keys, k,
-                                                            persist_input=False)
+                                                            materialize_input=False)
         merged.withColumn(VERSION, F.lit(batch_id).cast("bigint")) \
             .write.mode("overwrite").parquet(f"{table_dir}/{SLOT}={batch_id % 2}")
 
