@@ -36,6 +36,25 @@ def merge_provenance(merged_items: DataFrame, origin: Column) -> DataFrame:
     return count_by(merged_items, origin, "source", "cnt")
 
 
+def inclusion_top(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int, n: int,
+                  margin: float | None = None) -> DataFrame:
+    """Per-seed top-k rows (``id_cols..., _seed, _p, _r``) among the candidate
+    (row, seed) pairs whose priority lies below the threshold for n rows
+    (``margin=inf`` keeps every pair).  Each row computes its ``seeds``
+    priorities inside the row; only candidates are exploded."""
+    ids = list(id_cols)
+    base = df.select(*ids)
+    parts = identity_parts(base, ids)
+    margin = prune_margin(k) if margin is None else margin
+    thr = hex_threshold(margin / max(n, 1))
+    tagged = F.transform(F.sequence(F.lit(1), F.lit(seeds)),
+                         lambda s: F.struct(s.alias("seed"), priority(s, *parts).alias("p")))
+    cand = spread(base).select(*ids, F.explode(F.filter(tagged, lambda x: x["p"] < F.lit(thr))).alias("_t")) \
+        .select(*ids, F.col("_t.seed").alias("_seed"), F.col("_t.p").alias("_p"))
+    w = Window.partitionBy("_seed").orderBy("_p", *ids)
+    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+
+
 def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -> DataFrame:
     """``id_cols..., times``: in how many of the seeds 1..seeds each row is
     in the size-k sample.
@@ -56,21 +75,10 @@ def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -
     n = base.count()
     if n == 0:
         return base.withColumn("times", F.lit(0).cast("bigint"))
-    parts = identity_parts(base, ids)
-    thr = hex_threshold(prune_margin(k) / n)
-    tagged = F.transform(F.sequence(F.lit(1), F.lit(seeds)),
-                         lambda s: F.struct(s.alias("seed"), priority(s, *parts).alias("p")))
-    cand = spread(base).select(*ids, F.explode(F.filter(tagged, lambda x: x["p"] < F.lit(thr))).alias("_t")) \
-        .select(*ids, F.col("_t.seed").alias("_seed"), F.col("_t.p").alias("_p"))
-    w = Window.partitionBy("_seed").orderBy("_p", *ids)
-    top = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    top = materialize(top)
-    per_seed = top.groupBy("_seed").count()
-    full = per_seed.filter(F.col("count") >= min(k, n)).count() == seeds
+    top = materialize(inclusion_top(base, k, ids, seeds, n))
+    full = top.groupBy("_seed").count().filter(F.col("count") >= min(k, n)).count() == seeds
     if not full:
-        rep = spread(base).withColumn("_seed", F.explode(F.sequence(F.lit(1), F.lit(seeds))))
-        rep = rep.withColumn("_p", priority(F.col("_seed"), *parts))
-        top = rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+        top = inclusion_top(base, k, ids, seeds, n, margin=float("inf"))
     times = top.groupBy(*ids).agg(F.count(F.lit(1)).cast("bigint").alias("times"))
     return base.join(F.broadcast(times), ids, "left").select(
         *ids, F.coalesce(F.col("times"), F.lit(0).cast("bigint")).alias("times"))

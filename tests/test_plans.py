@@ -53,6 +53,9 @@ def test_stream_side_filters_reach_the_scan(spark):
 
 
 def test_inclusion_audit_explodes_only_candidates(spark):
-    plan = _plan(entry.queries()["inclusion_audit"](spark, SF_SMALL))
+    from kpool.operators.audit import inclusion_top
+
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    plan = _plan(inclusion_top(part, 20, ["p_partkey"], 100, part.count()))
     assert "Generate explode(filter(transform(" in plan  # only candidate (row, seed) pairs become rows
     assert re.search(r"WindowGroupLimit \[_seed#\d+\].*Partial", plan)
