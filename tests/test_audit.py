@@ -21,3 +21,25 @@ def test_inclusion_audit_fallback_is_exact(spark, monkeypatch):
     monkeypatch.setattr(audit, "prune_margin", lambda k: 0.5)  # far too few candidates
     got = sorted(tuple(r) for r in audit.inclusion_audit(part, 10, ["p_partkey"], 30).collect())
     assert got == want
+
+
+def test_pairs_are_sampled_uniformly(spark):
+    # second-order check: each pair of N=8 rows is in a k=3 sample with
+    # probability k(k-1) / (N(N-1)) = 6/56
+    from collections import Counter
+    from itertools import combinations
+
+    from kpool.operators.audit import inclusion_top
+
+    rows = spark.range(1, 9).withColumnRenamed("id", "x")
+    seeds = 3000
+    top = inclusion_top(rows, 3, ["x"], seeds, 8, margin=float("inf")).select("_seed", "x").collect()
+    per_seed = {}
+    for r in top:
+        per_seed.setdefault(r._seed, []).append(r.x)
+    assert len(per_seed) == seeds and all(len(v) == 3 for v in per_seed.values())
+    pairs = Counter(p for v in per_seed.values() for p in combinations(sorted(v), 2))
+    p = 6 / 56
+    sd = (p * (1 - p) / seeds) ** 0.5
+    assert len(pairs) == 28
+    assert all(abs(c / seeds - p) < 4.5 * sd for c in pairs.values())
