@@ -24,11 +24,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpool.session import ensure_checkpoint_dir
 
+# Largest per-(partition, key) table joined by broadcast.
+MAX_BROADCAST_SLICES = 1_000_000
+
 LOW_BITS = 33
 LOW_MASK = (1 << LOW_BITS) - 1
 
@@ -37,20 +42,68 @@ def _cols(cs: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _local_rank(key_names: list[str], out: str):
+    """mapInPandas function: 1-based position of each row within its key's
+    run inside one partition (rows arrive sorted by key).  The running count
+    of the last key is carried from one Arrow batch to the next."""
+
+    def same_as_previous(cur, prev):
+        eq = pd.Series(True, index=cur.index)
+        for c in cur.columns:
+            a, b = cur[c], prev[c]
+            eq &= (a == b) | (a.isna() & b.isna())
+        return eq
+
+    def fn(batches):
+        carry_key, carry_count = None, 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(**{out: pd.Series([], dtype="int64")})
+                continue
+            k = pdf[key_names].reset_index(drop=True)
+            prev = k.shift(1)
+            if carry_key is not None:
+                prev.iloc[0] = carry_key
+            cont = same_as_previous(k, prev)
+            if carry_key is None:
+                cont.iloc[0] = False
+            run = (~cont).cumsum()
+            local = run.groupby(run).cumcount() + 1
+            if cont.iloc[0]:  # first run continues the previous batch's run
+                local = local + (run == run.iloc[0]) * carry_count
+            res = pdf.reset_index(drop=True).assign(**{out: local.astype("int64").to_numpy()})
+            carry_key = k.iloc[len(k) - 1].copy()
+            carry_count = int(local.iloc[len(local) - 1])
+            yield res
+
+    return fn
+
+
 def ordinal(
     df: DataFrame,
     order: Sequence,
     keys: Sequence[str] = (),
     out: str = "n",
     num_partitions: int | None = None,
-    broadcast_offsets: bool | None = None,
+    plan: str = "auto",
 ) -> DataFrame:
     """``df`` plus a bigint column ``out`` = 1-based position in ``order``
-    (within each key when ``keys`` are given)."""
+    (within each key when ``keys`` are given).
+
+    ``plan`` (keyed only): ``"broadcast"`` joins every row to the
+    per-(partition, key) table of first positions and offsets, broadcast
+    after its row count is checked (<= ``MAX_BROADCAST_SLICES``);
+    ``"local"`` counts positions inside each sorted partition with a
+    vectorised pandas pass (no shuffle) and broadcasts only the offsets of
+    keys that continue from an earlier partition -- at most one per
+    partition boundary; ``"auto"`` picks ``broadcast`` when the slice table
+    is small enough, else ``local``."""
     keys = list(keys)
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if plan not in ("auto", "broadcast", "local"):
+        raise ValueError("plan must be 'auto', 'broadcast' or 'local'")
     sort_cols = _cols(keys) + _cols(order)
     ranged = (
         df.repartitionByRange(num_partitions, *sort_cols)
@@ -72,12 +125,21 @@ def ordinal(
         "_first",
         F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("bigint").alias("_before"),
     )
-    if broadcast_offsets is None:
-        # without keys the table has one row per range partition: a proven bound
-        broadcast_offsets = not keys
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
     cond = [F.col("_pid") == F.col("_spid")] + [F.col(c).eqNullSafe(F.col(a)) for c, a in alias.items()]
-    joined = ranged.join(offsets, cond, "inner")
-    return joined.withColumn(out, (F.col("_before") + F.col("_pos") - F.col("_first") + 1).cast("bigint")) \
-        .drop("_mid", "_pid", "_pos", "_spid", "_first", "_before", *alias.values())
+    drop = ["_mid", "_pid", "_pos", "_spid", "_first", "_before", "_local", *alias.values()]
+    if keys and plan == "auto":
+        # one small job over the checkpoint: is the slice table safe to broadcast?
+        plan = "broadcast" if slices.limit(MAX_BROADCAST_SLICES + 1).count() <= MAX_BROADCAST_SLICES else "local"
+    if not keys or plan == "broadcast":
+        # without keys the table has one row per range partition: a proven bound
+        joined = ranged.join(F.broadcast(offsets), cond, "inner")
+        n = F.col("_before") + F.col("_pos") - F.col("_first") + 1
+        return joined.withColumn(out, n.cast("bigint")).drop(*[c for c in drop if c != out])
+    # local plan: positions inside each partition, offsets only where a key
+    # continues from an earlier partition (at most num_partitions - 1 rows)
+    local_schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
+    local = ranged.mapInPandas(_local_rank(keys, "_local"), schema=local_schema)
+    carried = offsets.filter(F.col("_before") > 0).drop("_first")
+    joined = local.join(F.broadcast(carried), cond, "left")
+    n = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
+    return joined.withColumn(out, n.cast("bigint")).drop(*[c for c in drop if c != out])

@@ -141,3 +141,20 @@ def test_pairing_distributed_equals_state_machine(spark):
         got_by.setdefault(r.k, []).append((r.left_id, r.right_id))
     for k, seq in seqs.items():
         assert sorted(got_by.get(k, [])) == sorted(pair_state_machine(seq)), seq
+
+
+def test_keyed_ordinal_local_plan_equals_row_number(spark):
+    # tiny Arrow batches so runs continue across batches; a null key; a hot
+    # key holding a third of the rows spans several range partitions
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        rows = [(i, None if i % 11 == 0 else ("hot" if i % 3 == 0 else f"k{i % 5}"), (i * 37) % 101)
+                for i in range(1, 600)]
+        df = spark.createDataFrame(rows, "id bigint, key string, t bigint")
+        got = ordinal(df, ["t", "id"], keys=["key"], num_partitions=6, plan="local")
+        want = df.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("t", "id")).cast("bigint"))
+        assert sorted(got.select("id", "n").collect()) == sorted(want.select("id", "n").collect())
+    finally:
+        spark.conf.set(key, old)
