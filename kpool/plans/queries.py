@@ -491,7 +491,7 @@ def q_stream_merge(spark, sf_dir):
 
 def _prefix_sample_sql(kind: str, k: int, bound: str) -> str:
     """Sample of one user's `kind` events up to and including the paired
-    element (ts, id) of `lp` -- the summary the pipeline held at that time."""
+    element (ts, id) of `lp` -- the summary the paired stream held at that time."""
     return f"""
     SELECT lp.user_id, ev.event_id, {_pri_sql('ev.event_id')} AS priority,
            count(*) OVER (PARTITION BY lp.user_id) AS cnt,
@@ -511,7 +511,7 @@ def _final_sample_sql(kind: str, label: str, k: int) -> str:
     WHERE sample_rank <= {k}"""
 
 
-# Final summary per (user, kind) of the element-level pipeline: click stream
+# Final summary per (user, kind) of the element-level paired stream: click stream
 # (k1=10) and view stream (k2=15), merged summaries of size m=20.  The last
 # merged summary joins the two prefix samples at the user's last J1 pair.
 _SP_SQL = f"""
@@ -543,18 +543,18 @@ UNION ALL {_final_sample_sql('view', 'sampled2', 15)}
 """
 
 
-@register("stream_pipeline", _SP_SQL)
-def q_stream_pipeline(spark, sf_dir):
-    """Final summary per (user, kind) of the element-level pipeline over the
+@register("stream_paired_merge", _SP_SQL)
+def q_stream_paired_merge(spark, sf_dir):
+    """Final summary per (user, kind) of the element-level paired stream over the
     click stream (k=10) and the view stream (k=15), merged with m=20."""
     from pyspark.sql import Window
 
-    from kpool.streaming.pipeline import run_paired_pipeline
+    from kpool.streaming.paired import run_paired_stream
 
     ev = _event_stream(spark, sf_dir)
     clicks = ev.filter(F.col("event_type") == "click")
     views = ev.filter(F.col("event_type") == "view")
-    out = run_paired_pipeline(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+    out = run_paired_stream(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
                               k1=10, k2=15, m=20, seed=SEED)
     rows = spark.read.parquet(out)
     last = rows.withColumn("_r", F.row_number().over(

@@ -1,7 +1,7 @@
 """Streaming forms: batch-level summaries (foreachBatch) and the element-level
-paired pipeline (transformWithStateInPandas)."""
+paired stream (transformWithStateInPandas)."""
 
-from kpool.streaming.pipeline import paired_sample_stream, run_paired_pipeline
+from kpool.streaming.paired import paired_sample_stream, run_paired_stream
 from kpool.streaming.sample_stream import latest_summary, stream_merge, stream_sample
 
-__all__ = ["latest_summary", "paired_sample_stream", "run_paired_pipeline", "stream_merge", "stream_sample"]
+__all__ = ["latest_summary", "paired_sample_stream", "run_paired_stream", "stream_merge", "stream_sample"]

@@ -148,7 +148,7 @@ def paired_sample_stream(
     seed: int = 0,
 ) -> DataFrame:
     """Streaming DataFrame of ``keys..., seq, kind, n, k, items`` rows: every
-    summary the element-level pipeline emits (defaults k=10, m=10)."""
+    summary the element-level paired stream emits (defaults k=10, m=10)."""
     for name, v in (("k1", k1), ("k2", k2), ("m", m)):
         check_size(name, v)
     keys = list(keys)
@@ -175,10 +175,10 @@ def paired_sample_stream(
                           F.arrays_zip("priority", "value").alias("items"))
 
 
-def run_paired_pipeline(left: DataFrame, right: DataFrame, keys, value_col, id_cols, order,
+def run_paired_stream(left: DataFrame, right: DataFrame, keys, value_col, id_cols, order,
                         k1=10, k2=10, m=10, seed=0, out_dir: str | None = None,
                         checkpoint: str | None = None, state_partitions: int | None = None):
-    """Run the pipeline to the end of its (availableNow) inputs into a parquet
+    """Run the paired stream to the end of its (availableNow) inputs into a parquet
     table; returns the table folder.
 
     The number of state partitions is fixed by the first run of a checkpoint;

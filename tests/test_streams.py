@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from kpool.operators.summary import build_summary, explode_summary
-from kpool.streaming.pipeline import run_paired_pipeline
+from kpool.streaming.paired import run_paired_stream
 from kpool.streaming.sample_stream import latest_summary, run_to_end, stream_sample
 
 
@@ -79,12 +79,12 @@ def test_stream_restart_continues(spark, tmp_path):
     assert [tuple(x) for x in got["items"]] == [tuple(x) for x in want["items"]]
 
 
-def test_paired_pipeline_final_samples(spark, tmp_path):
+def test_paired_stream_final_samples(spark, tmp_path):
     schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
     clicks = ev.filter(F.col("event_type") == "click")
     views = ev.filter(F.col("event_type") == "view")
-    out = run_paired_pipeline(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+    out = run_paired_stream(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
                               k1=3, k2=4, m=5, seed=2, out_dir=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
     rows = spark.read.parquet(out).collect()
     batch = spark.read.parquet(f"{SF_SMALL}/events.parquet")
@@ -104,15 +104,15 @@ def test_paired_pipeline_final_samples(spark, tmp_path):
             assert len(r["items"]) <= r.k <= 5
 
 
-def test_paired_pipeline_runs_without_session_provider(spark, tmp_path):
-    from kpool.streaming.pipeline import PROVIDER_KEY
+def test_paired_stream_runs_without_session_provider(spark, tmp_path):
+    from kpool.streaming.paired import PROVIDER_KEY
 
     before = spark.conf.get(PROVIDER_KEY, None)
     spark.conf.unset(PROVIDER_KEY)  # a default session: HDFS-backed state store
     try:
         schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
         ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF_SMALL)
-        out = run_paired_pipeline(ev.filter("event_type = 'click'"), ev.filter("event_type = 'view'"),
+        out = run_paired_stream(ev.filter("event_type = 'click'"), ev.filter("event_type = 'view'"),
                                   ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
                                   out_dir=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
         assert spark.read.parquet(out).count() > 0
