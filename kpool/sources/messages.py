@@ -39,12 +39,25 @@ def summary_payload(summaries: DataFrame, label: str = "SamplePool", topic: str
     return summaries.select(*cols)
 
 
+def kafka_records(payload: DataFrame) -> DataFrame:
+    """Kafka sink columns: ``value`` (+ ``topic``), with the ingest time in a
+    record header, since the sink takes only key/value/headers/topic/partition."""
+    header = F.struct(F.lit("ingest_ts").alias("key"),
+                      F.date_format("ingest_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").cast("binary").alias("value"))
+    cols = [F.col("value"), F.array(header).alias("headers")]
+    if "topic" in payload.columns:
+        cols.append(F.col("topic"))
+    return payload.select(*cols)
+
+
 def write_summaries(summaries: DataFrame, fmt: str, checkpoint: str, options: dict | None = None,
                     output_mode: str = "append", label: str = "SamplePool", topic: str | None = None,
                     path: str | None = None, trigger: dict | None = None):
     """Start a stream writing rendered summaries (S5); returns the query."""
     payload = summary_payload(summaries, label, topic if fmt == "kafka" else None)
-    if fmt == "console":
+    if fmt == "kafka":
+        payload = kafka_records(payload)
+    elif fmt == "console":
         payload = payload.select(F.col("value").cast("string").alias("value"), "ingest_ts")
     w = payload.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.options(**(options or {}))

@@ -66,3 +66,16 @@ def test_write_summaries_file_and_console_sinks(spark, tmp_path):
                          trigger={"availableNow": True})
     q2.awaitTermination()
     assert q2.exception() is None
+
+
+def test_kafka_records_carry_ingest_time_in_a_header(spark):
+    from kpool.sources.messages import kafka_records
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    summ = build_summary(ev, [], 3, "event_id", ["event_id"], seed=1)
+    recs = kafka_records(summary_payload(summ, topic="samples"))
+    assert recs.columns == ["value", "headers", "topic"]
+    r = recs.first()
+    assert r.topic == "samples" and r.headers[0].key == "ingest_ts"
+    assert bytes(r.headers[0].value).decode().startswith("20")
+    assert bytes(r.value).decode().startswith("SamplePool @  stream size: 1000")
