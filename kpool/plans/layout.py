@@ -20,6 +20,8 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs -- many files and row groups -- already arrive in more
     partitions than cores; for them this is a no-op and adds no shuffle.
     """
+    if df.isStreaming:  # a stream's partitions come from its source options
+        return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if input_partitions(df) < target:

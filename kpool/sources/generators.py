@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kpool.functions.strings import random_string
 from kpool.functions.tags import identity_parts
+from kpool.plans.layout import spread
 
 
 def integer_range(spark: SparkSession, start: int, end_inclusive: int,
@@ -25,4 +26,4 @@ def random_strings(df: DataFrame, id_cols: Sequence[str], seed: int, out: str =
     table, ``spark.range(N)`` or a ``rate`` stream (``value`` as id)."""
     parts = identity_parts(df, id_cols)
     ident = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
-    return df.withColumn(out, random_string(seed, ident))
+    return spread(df).withColumn(out, random_string(seed, ident))
