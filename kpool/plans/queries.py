@@ -222,9 +222,9 @@ def q_merge_weighted(spark, sf_dir):
     summ = build_summary(cust, ["c_nationkey"], _MW_K, ["c_custkey", "c_nationkey"], ["c_custkey"], seed=SEED)
     ends = nation.groupBy(F.col("n_regionkey").cast("bigint").alias("r_regionkey")).agg(
         F.min("n_nationkey").cast("bigint").alias("lnat"), F.max("n_nationkey").cast("bigint").alias("rnat"))
-    # 25 nations -> 5 regions: the nation table is tiny and fixed in size
-    left = summ.join(F.broadcast(ends), summ.c_nationkey == ends.lnat).select("r_regionkey", "n", "k", "items")
-    right = summ.join(F.broadcast(ends), summ.c_nationkey == ends.rnat).select("r_regionkey", "n", "k", "items")
+    # one row per region: Spark's size estimate decides the join strategy
+    left = summ.join(ends, summ.c_nationkey == ends.lnat).select("r_regionkey", "n", "k", "items")
+    right = summ.join(ends, summ.c_nationkey == ends.rnat).select("r_regionkey", "n", "k", "items")
     merged = merge_weighted(left, right, ["r_regionkey"], _MW_M, seed=SEED)
     ex = explode_summary(merged, ["r_regionkey"])
     return ex.select("r_regionkey", F.col("value.c_nationkey").alias("c_nationkey"),
