@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
-from tools_compare import digest
+from tools.compare import digest
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
