@@ -100,13 +100,15 @@ def ordinal(
     is small enough, else ``local``."""
     keys = list(keys)
     spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if plan not in ("auto", "broadcast", "local"):
         raise ValueError("plan must be 'auto', 'broadcast' or 'local'")
     sort_cols = _cols(keys) + _cols(order)
+    # Without an explicit count the range exchange may be coalesced by AQE
+    # into adjacent ranges sized by the data; positions are taken after that.
+    by_range = (df.repartitionByRange(*sort_cols) if num_partitions is None
+                else df.repartitionByRange(num_partitions, *sort_cols))
     ranged = (
-        df.repartitionByRange(num_partitions, *sort_cols)
+        by_range
         .sortWithinPartitions(*sort_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), LOW_BITS))
