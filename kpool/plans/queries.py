@@ -277,6 +277,62 @@ def q_random_strings(spark, sf_dir):
     return random_strings(ev, ["event_id"], seed=1)
 
 
+# ---------------------------------------- S3 A6 A8 A11: random_string_merge_render
+# The reference's two-source demo as a batch query: random strings for the
+# click events (seed 1) and the view events (seed 2), sampled with k=10 and
+# k=15, merged with m=20 (Rule R lowers it to 10), each summary rendered.
+def _rs_sql(seed: int, kind: str) -> str:
+    return f"""
+    SELECT event_id, {_pri_sql('event_id')} AS priority,
+           array_to_string(list_transform(range(1, len + 1),
+             lambda i: chr(CAST(97 + {sql_draw(seed, 'CAST(event_id AS VARCHAR)', 'i', bound='26')} AS INTEGER))), '')
+             AS val
+    FROM (SELECT event_id, 1 + {sql_draw(seed, 'CAST(event_id AS VARCHAR)', "'len'", bound='10')} AS len
+          FROM events WHERE event_type = '{kind}')"""
+
+
+def _render_sql(n: str, k: str, size: str, items: str) -> str:
+    return (f"'SamplePool @  stream size: ' || {n} || '  sample size: ' || {k} || "
+            f"'  sample data size: ' || {size} || '  sample data: [' || coalesce({items}, '') || ']'")
+
+
+@register("random_string_merge_render", f"""
+WITH c AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(1, 'click')})),
+     v AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(2, 'view')})),
+     cs AS (SELECT count(*) AS n FROM c),
+     vs AS (SELECT count(*) AS n FROM v),
+     mm AS (SELECT cs.n + vs.n AS n,
+                   least(20, CASE WHEN cs.n > 10 THEN 10 END, CASE WHEN vs.n > 15 THEN 15 END) AS m
+            FROM cs, vs),
+     pooled AS (SELECT val, priority, event_id,
+                       row_number() OVER (ORDER BY priority, event_id) AS rk
+                FROM (SELECT * FROM c WHERE rk <= 10 UNION ALL SELECT * FROM v WHERE rk <= 15))
+SELECT 'sampled1' AS kind,
+       {_render_sql('(SELECT n FROM cs)', '10', 'count(*)', "string_agg(val, ', ' ORDER BY priority, event_id)")} AS text
+FROM c WHERE rk <= 10
+UNION ALL
+SELECT 'sampled2' AS kind,
+       {_render_sql('(SELECT n FROM vs)', '15', 'count(*)', "string_agg(val, ', ' ORDER BY priority, event_id)")} AS text
+FROM v WHERE rk <= 15
+UNION ALL
+SELECT 'merged' AS kind,
+       {_render_sql('(SELECT n FROM mm)', '(SELECT m FROM mm)', 'count(*)',
+                    "string_agg(val, ', ' ORDER BY priority, event_id)")} AS text
+FROM pooled WHERE rk <= (SELECT m FROM mm)
+""")
+def q_random_string_merge_render(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    sides = []
+    for seed, kind, k in ((1, "click", 10), (2, "view", 15)):
+        strings = random_strings(ev.filter(F.col("event_type") == kind), ["event_id"], seed=seed)
+        sides.append(build_summary(strings, [], k, "text", ["event_id"], seed=SEED))
+    merged = merge_summaries(sides[0].unionByName(sides[1]), [], 20)
+    rendered = [summ.select(F.lit(kind).alias("kind"),
+                            render_summary(F.col("n"), F.col("k"), F.col("items")).alias("text"))
+                for kind, summ in (("sampled1", sides[0]), ("sampled2", sides[1]), ("merged", merged))]
+    return rendered[0].unionByName(rendered[1]).unionByName(rendered[2])
+
+
 # ------------------------------------------------------------ A4: reservoir queries
 _RES_K = 100
 
