@@ -45,3 +45,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.tokens import read_token_shards, write_token_shards
 
     return read_token_shards(write_token_shards(table(spark, sf_dir, "documents"), word_tokenizer()))
+
+
+@register("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), radius=3, shingle=3)
