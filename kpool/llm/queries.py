@@ -52,3 +52,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), radius=3, shingle=3)
+
+
+@register("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.substring import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents"), digest=True)
