@@ -59,3 +59,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.substring import dedup_substrings
 
     return dedup_substrings(table(spark, sf_dir, "documents"), digest=True)
+
+
+@register("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
