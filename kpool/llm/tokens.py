@@ -19,6 +19,7 @@ in any order.  Empty tables give no shards and no rows.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,35 +43,69 @@ class Encoder(dict):
     """Ids of texts under a word-level tokenizer, as bytes of u32.
 
     The tokenizer drops white space and never joins across it, so a text's
-    ids are the ids of its words one after another.  Words repeat, so this
-    dictionary keeps the ids of words seen by this worker; it is emptied at
-    ``limit`` entries to bound memory.  Only ASCII letters are lower-cased
-    before look-up (the tokenizer lower-cases them anyway), and never in words
-    that may hold a special token.
+    ids are the ids of its words one after another, and words repeat: this
+    dictionary keeps the ids of words seen by this worker.  At ``limit``
+    entries it starts anew and only the generation before stays at hand, so
+    memory is bounded and common words are not lost.
+
+    Words of ASCII and accented Latin letters are cut as the tokenizer's
+    pattern cuts them (runs of letters, single digits, runs of marks), and
+    runs of letters go straight to the library's merge model, which spares its
+    normaliser.  Words with an apostrophe, other scripts or a possible special
+    token go through the library whole.  Only ASCII letters are lower-cased
+    before look-up, which the tokenizer does anyway.
     """
 
-    PUNCTUATION = b".,;:!?"
+    #: letters that are single code points under NFC and lower-case to one letter
+    LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+    PLAIN = re.compile(f"[\x21-\x26\x28-\x40\x5b-\x7e{LETTERS}]+")  # no apostrophe, no control
+    PIECES = re.compile(f"([{LETTERS}]+)|[0-9]|[^0-9{LETTERS}]+")
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
+        self.merge, self.limit, self.older = self.tokenizer.model.tokenize, limit, {}
+        self.coded = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab(with_added_tokens=True).values()))]
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        accented = [chr(c) for c in range(0xC0, 0x180) if chr(c).isalpha() and c != 0x130]
+        self.spelled = {ord(c): as_bytes.pre_tokenize_str(c.lower())[0][0] for c in accented}
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(self.PUNCTUATION)
-        if len(core) < len(word) and core[-1:].isalnum() and b"<|" not in word:
-            ids = self[core] + self[word[len(core):]]  # letters and marks are separate tokens
-        else:
-            found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha() and text.isascii():
+                ids = b"".join([self.coded[t.id] for t in self.merge(text)])
+            elif b"<|" in word or not self.PLAIN.fullmatch(text):
+                ids = self._whole(text)
+            else:
+                ids = b"".join([self._letters(m[0]) if m[1] else self._marks(m[0]) for m in self.PIECES.finditer(text)])
         if len(word) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self.coded[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def _letters(self, text: str) -> bytes:
+        word = text if text.isascii() else text.translate(self.spelled)
+        return b"".join([self.coded[t.id] for t in self.merge(word)])
+
+    def _marks(self, text: str) -> bytes:
+        key = text.encode()
+        known = self.get(key) or self.older.get(key)
+        if known is None:
+            known = self._whole(text)
+            if len(key) <= 64:
+                self[key] = known
+        return known
+
     def ids(self, text: bytes) -> bytes:
         if b"<|" in text:
             words = [w if b"<|" in w else w.lower() for w in text.split()]
