@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+
+from kpool.llm._tree import MAX_EPOCHS, SEED, WEIGHTS, levels
+from kpool.llm._tree import ORACLE as MIX_SQL
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +69,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.quality import judge
 
     return judge(table(spark, sf_dir, "documents"))
+
+
+@register("op10_mixing", MIX_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"), levels(), WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED, narrow_result=True)
