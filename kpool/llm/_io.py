@@ -28,6 +28,13 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores as make it differ from all columns."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
 def text_bytes(text: str) -> Column:
     """UTF-8 bytes of a text column; a null text is an empty one."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b"").cast("binary"))

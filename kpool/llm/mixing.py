@@ -107,14 +107,18 @@ def _slices(narrow: DataFrame, leaves: DataFrame, levels: list[str], seed: int)
 
 
 def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], total: int | None = None,
-        max_epochs: int = 4, seed: int = 42, id_col: str = "doc_id", text: str = "text", narrow_result: bool = False) -> DataFrame:
-    """Rows of ``docs`` with ``copies`` (times taken) after the budgets.
+        max_epochs: int = 4, seed: int = 42, id_col: str = "doc_id", text: str = "text", narrow_result: bool = False,
+        copies: str = "copies") -> DataFrame:
+    """Rows of ``docs`` with the times each is taken (column ``copies``, whose
+    name ``docs`` must not use) after the budgets.
 
     ``levels`` names the tree's levels from the root and gives each as a
     column.  ``total`` is the budget in tokens (default: what the table holds).
     ``narrow_result``: id, levels, tokens and copies only, else all columns of
     ``docs`` (which may use the names of levels) and copies.
     """
+    if copies in (levels if narrow_result else docs.columns):
+        raise ValueError(f"{copies} is in use; name another column for the copies")
     names = list(levels)
     inner = [f"_level{i}" for i in range(len(names))]
     by = dict(zip(inner, (F.coalesce(c.cast("string"), F.lit(NONE)) for c in levels.values())))
@@ -125,14 +129,14 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     ends = cut(_slices(narrow, plan, inner, seed))
     if narrow_result:
         got = select_epochs(narrow, ends, inner, F.col("_tokens"), seed, "_id", F.col("_tie"))
-        return got.select(F.col("_id").alias(id_col), *(F.col(i).alias(n) for i, n in zip(inner, names)), F.col("_tokens").alias("tokens"), "copies")
-    kept = docs.drop("copies").columns
-    marked = docs.withColumns(by).drop("copies")
-    got = select_epochs(marked, ends, inner, word_tokens(text), seed, id_col, F.md5(F.coalesce(F.col(text), F.lit(""))))
-    return got.select(*kept, "copies")
+        return got.select(F.col("_id").alias(id_col), *(F.col(i).alias(n) for i, n in zip(inner, names)), F.col("_tokens").alias("tokens"), F.col("copies").alias(copies))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text).alias("_text"),
+                       *(c.alias(n) for n, c in by.items()))
+    got = select_epochs(rows, ends, inner, word_tokens("_text"), seed, "_id", F.md5(F.coalesce(F.col("_text"), F.lit(""))))
+    return got.select("_row.*", F.col("copies").alias(copies))
 
 
-def repeat_copies(mixed: DataFrame) -> DataFrame:
+def repeat_copies(mixed: DataFrame, copies: str = "copies") -> DataFrame:
     """One row for each copy."""
-    kept = [c for c in mixed.columns if c != "copies"]
-    return mixed.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).select(*kept)
+    kept = [c for c in mixed.columns if c != copies]
+    return mixed.withColumn(copies, F.explode(F.sequence(F.lit(1), copies))).select(*kept)

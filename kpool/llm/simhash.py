@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut, text_bytes
+from kpool.llm._io import as_table, cut, fresh, text_bytes
 from kpool.llm.components import connected_components, spanning_links
 
 TILE = 4096
@@ -61,6 +61,8 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, name: st
     docs = docs.drop(name) if name in docs.columns else docs
     kept = docs.columns
 
+    data = fresh([*kept, name], "data")
+
     def add(batches):
         for batch in batches:
             found = [simhash(x.as_py(), shingle) for x in batch.column(batch.num_columns - 1)]
@@ -68,7 +70,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, name: st
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=[*kept, name])
 
     schema = docs.withColumn(name, F.lit(0).cast("long")).schema
-    return docs.withColumn("_data", text_bytes(text)).mapInArrow(add, schema)
+    return docs.withColumn(data, text_bytes(text)).mapInArrow(add, schema)
 
 
 def _close(a: np.ndarray, b: np.ndarray, radius: int, same: bool):
@@ -184,7 +186,7 @@ def keep_one_of_each(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col:
     """``docs`` with one row of every near-duplicate component: the one of the
     least id (null ids last), among equal ids any one.  Columns are unchanged."""
     kept = docs.columns
-    uid, fp = "_uid_" + "_".join(kept)[:20], "_fp_" + "_".join(kept)[:20]
+    uid, fp = fresh(kept, "uid"), fresh(kept, "fp")
     marked = fingerprints(docs.withColumn(uid, F.monotonically_increasing_id()), text, shingle, fp)
     rows = as_table(marked, "simhash")
     narrow = rows.select(F.col(uid).alias("uid"), F.col(fp).alias("fp"), F.col(id_col).alias("id"))

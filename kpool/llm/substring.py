@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut, text_bytes
+from kpool.llm._io import as_table, cut, fresh, text_bytes
 
 WINDOW = 35
 PREFIX = 10
@@ -249,11 +249,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     joined by one space).
     """
     spans = repeated_windows(docs, window, id_col, text, group_limit=group_limit)
-    spans = spans.select(F.col("id").alias("_sid"), F.col("key").alias("_skey"), F.col("spans").alias("_spans"))
     kept = docs.columns
+    sid, skey, marks, key, data = (fresh(kept, n) for n in ("sid", "skey", "spans", "key", "data"))
+    spans = spans.select(F.col("id").alias(sid), F.col("key").alias(skey), F.col("spans").alias(marks))
     narrow = docs.select(id_col, text) if digest else docs
-    rows = narrow.withColumn("_key", F.xxhash64(F.col(text)))
-    rows = rows.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("_sid")) & (F.col("_key") == F.col("_skey")), "left")
+    rows = narrow.withColumn(key, F.xxhash64(F.col(text)))
+    rows = rows.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col(sid)) & (F.col(key) == F.col(skey)), "left")
 
     def measure(batches):
         for batch in batches:
@@ -269,24 +270,18 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     def strip(batches):
         for batch in batches:
             out = []
-            for data, marks in zip(batch.column("_data"), batch.column("_spans")):
-                data = data.as_py()
-                if marks.is_valid:
-                    words = list(_WORD.finditer(data))
-                    gone = removed_words(len(words), marks.as_py(), window)
-                    ends = [m.start() for m in words[1:]] + [len(data)]
-                    data = data[:words[0].start()] + b"".join(data[m.start():e] for m, e, g in zip(words, ends, gone.tolist()) if not g)
-                out.append(data)
-            names = batch.schema.names
-            cols = [batch.column(n) for n in names if n not in ("_data", "_spans")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.binary())], names=[*(n for n in names if n not in ("_data", "_spans")), "_data"])
+            for value, found in zip(batch.column(data), batch.column(marks)):
+                value = value.as_py()
+                words = list(_WORD.finditer(value))
+                gone = removed_words(len(words), found.as_py(), window)
+                ends = [m.start() for m in words[1:]] + [len(value)]
+                out.append(value[:words[0].start()] + b"".join(value[m.start():e] for m, e, g in zip(words, ends, gone.tolist()) if not g))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(out, pa.binary())], names=[*others, data])
 
     if digest:
-        rows = rows.select(id_col, text_bytes(text).alias("data"), "_spans")
+        rows = rows.select(id_col, text_bytes(text).alias(data), marks)
         return rows.mapInArrow(measure, f"`{id_col}` {narrow.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string")
-    hit = rows.filter(F.col("_spans").isNotNull())
     others = [c for c in kept if c != text]
-    hit = hit.select(*others, text_bytes(text).alias("_data"), "_spans")
-    schema = hit.drop("_spans", "_data").withColumn("_data", F.lit(b"").cast("binary")).schema
-    stripped = hit.mapInArrow(strip, schema).withColumn(text, F.col("_data").cast("string")).select(*kept)
-    return rows.filter(F.col("_spans").isNull()).select(*kept).union(stripped)
+    hit = rows.filter(F.col(marks).isNotNull()).select(*others, text_bytes(text).alias(data), marks)
+    stripped = hit.mapInArrow(strip, hit.drop(marks).schema).withColumn(text, F.col(data).cast("string")).select(*kept)
+    return rows.filter(F.col(marks).isNull()).select(*kept).union(stripped)

@@ -67,7 +67,7 @@ def test_prefix_of_seeded_epochs(spark):
     rows = [(i if i % 9 else None, rng.choice("ab"), " ".join(["w"] * rng.randrange(0, 30)) or None, 5) for i in range(400)] + [(1, None, "q", 5)] * 3
     df = spark.createDataFrame(rows, "doc_id long, copies string, text string, lang int").repartition(3)
     levels, weights = {"copies": F.col("copies")}, {"copies": {"a": 7, "b": 1, "*": 1}}
-    got = M.mix(df, levels, weights, total=9000, max_epochs=3, narrow_result=True)
+    got = M.mix(df, levels, weights, total=9000, max_epochs=3, narrow_result=True, copies="n")
     words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     leaf = defaultdict(list)
     for d, g, t, _ in rows:
@@ -84,11 +84,11 @@ def test_prefix_of_seeded_epochs(spark):
             n = whole + (run <= room)
             want += [(str(d), g, words(t), n)] if n else []
     assert sorted((str(r.doc_id), r[1], r.tokens, r[3]) for r in got.collect()) == sorted(want)
-    whole_rows = M.mix(df, levels, weights, total=9000, max_epochs=3)
-    assert whole_rows.columns == ["doc_id", "text", "lang", "copies"]
-    assert sorted((str(r.doc_id), words(r.text), r["copies"]) for r in whole_rows.collect()) == sorted((d, t, n) for d, _, t, n in want)
-    assert M.repeat_copies(whole_rows).count() == sum(n for *_, n in want)
-    assert M.mix(df.filter("lang > 5"), levels, weights).collect() == []
+    whole_rows = M.mix(df, levels, weights, total=9000, max_epochs=3, copies="n")
+    assert whole_rows.columns == ["doc_id", "copies", "text", "lang", "n"]
+    assert sorted((str(r.doc_id), words(r.text), r["n"]) for r in whole_rows.collect()) == sorted((d, t, n) for d, _, t, n in want)
+    assert M.repeat_copies(whole_rows, "n").count() == sum(n for *_, n in want)
+    assert M.mix(df.filter("lang > 5"), levels, weights, copies="n").collect() == []
 
 
 def test_query_matches_oracle(spark, duck):
