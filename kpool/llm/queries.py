@@ -76,3 +76,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents"), levels(), WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED, narrow_result=True)
+
+
+#: (verdict, rule)
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@register("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.urls import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
