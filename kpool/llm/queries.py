@@ -87,3 +87,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.urls import judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
