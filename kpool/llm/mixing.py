@@ -55,17 +55,20 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, i
     usable = leaves.filter("tokens > 0")
     for level in levels:
         usable = usable.filter(_weight(level, weights.get(level, {})) > 0)
-    usable = usable.withColumn("_cap", F.col("tokens") * max_epochs)
-    budget = usable.agg(F.coalesce(F.lit(total), F.sum("tokens"), F.lit(0)).cast("double").alias("_b"))
-    at, above = budget.withColumn("_one", F.lit(1)), ["_one"]
-    usable = usable.withColumn("_one", F.lit(1))
+    usable = usable.withColumn("_cap", F.col("tokens") * max_epochs).withColumn("_one", F.lit(1))
+    at, above = None, ["_one"]
     for i, level in enumerate(levels):
         path = ["_one", *levels[:i + 1]]
         nodes = usable.groupBy(*path).agg(F.sum("_cap").alias("_c")).withColumn("_w", _weight(level, weights.get(level, {})))
         order = W.partitionBy(*above).orderBy(F.col("_c") / F.col("_w"), level)
         before = F.coalesce(F.sum("_c").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         rest = F.sum("_w").over(order.rowsBetween(0, W.unboundedFollowing))
-        nodes = nodes.join(at, above).withColumn("_level", (F.col("_b") - before) / rest)
+        if at is None:  # the root's budget
+            held = F.sum("_c").over(W.partitionBy("_one")) / max_epochs
+            nodes = nodes.withColumn("_b", F.coalesce(F.lit(total), held).cast("double"))
+        else:
+            nodes = nodes.join(at, above)
+        nodes = nodes.withColumn("_level", (F.col("_b") - before) / rest)
         nodes = nodes.withColumn("_water", F.max("_level").over(W.partitionBy(*above)))
         at = nodes.select(*path, F.least(F.col("_c").cast("double"), F.col("_water") * F.col("_w")).alias("_b"))
         above = path
