@@ -94,3 +94,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_nearest_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)

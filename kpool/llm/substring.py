@@ -24,9 +24,13 @@ Which windows repeat depends on the input alone, never on what was removed
 elsewhere.  Words are maximal runs without ASCII white space and compared as
 they are.  Two hashes of 64 bits stand for a window's words.
 
+Which words go is a function of the text, so copies of one text share their
+result, and a task indexes a text's first two copies only: two occurrences are
+all that a repeat needs, and a third of all rows may be copies of one text.
+
 Defined cases: a null text has no words; texts shorter than the window lose
 nothing; repeated rows repeat all their windows.  Null and repeated ids are
-allowed: rows are told apart by id and text, and equal rows get equal results.
+allowed, and equal rows get equal results.
 """
 
 from __future__ import annotations
@@ -36,14 +40,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpool.llm._io import as_table, cut, fresh, text_bytes
 
 WINDOW = 35
 PREFIX = 10
-GROUP_LIMIT = 2048
+GROUP_LIMIT = 50_000  # at most 26 paths of 8 bytes each: about 10 MB
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -96,21 +100,31 @@ def anchors_of(hashes: WordHashes, window: int, prefix: int) -> tuple[np.ndarray
     return starts[at[first]].view(np.int64), first.astype(np.int32), np.diff(np.append(first, len(at))).astype(np.int32)
 
 
+def _keys(text: str) -> tuple[Column, Column]:
+    """Two hashes that together stand for a text."""
+    return F.xxhash64(F.col(text)), F.xxhash64(F.lit(WINDOW), F.col(text))
+
+
 def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, a hash of the text that tells rows of one id apart, and the text's bytes."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("key"), text_bytes(text).alias("data"))
+    key, other = _keys(text)
+    return docs.select(F.col(id_col).cast("long").alias("id"), key.alias("key"), other.alias("key2"), text_bytes(text).alias("data"))
 
 
 def _anchors(rows: DataFrame, window: int, prefix: int) -> DataFrame:
     names = ["id", "key", "h", "s", "c"]
 
     def find(batches):
+        copies: dict[tuple[int, int], int] = {}
         for batch in batches:
-            data = batch.column(2)
-            found = [anchors_of(WordHashes(x.as_py()), window, prefix) for x in data]
-            where = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            found, rows = [], []
+            for i, key in enumerate(zip(batch.column("key").to_pylist(), batch.column("key2").to_pylist())):
+                copies[key] = copies.get(key, 0) + 1
+                if copies[key] <= 2:
+                    found.append(anchors_of(WordHashes(batch.column("data")[i].as_py()), window, prefix))
+                    rows.append(i)
+            where = np.repeat(np.array(rows, np.int64), [len(f[0]) for f in found])
             if len(where):
-                cols = [batch.column(0).take(pa.array(where)), batch.column(1).take(pa.array(where))]
+                cols = [batch.column(c).take(pa.array(where)) for c in ("id", "key")]
                 cols += [pa.array(np.concatenate([f[i] for f in found])) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -119,30 +133,30 @@ def _anchors(rows: DataFrame, window: int, prefix: int) -> DataFrame:
 
 def _paths(rows: DataFrame, window: int) -> DataFrame:
     """For every surviving anchor its windows' fingerprints."""
-    fields = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("s", pa.int32()),
+    fields = pa.schema([("h", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("key2", pa.int64()), ("s", pa.int32()),
                         ("f", pa.list_(pa.int64()))])
 
     def spell(batches):
         for batch in batches:
-            ids, keys = batch.column("id"), batch.column("key")
-            h, n, s, f, sizes, of = [], [], [], [], [], []
+            keys, h, n, s, f, sizes, of = [batch.column(c) for c in ("key", "key2")], [], [], [], [], [], []
             for i, (data, marks) in enumerate(zip(batch.column("data"), batch.column("marks"))):
                 paths = WordHashes(data.as_py()).runs(window).view(np.int64)
-                for m in marks.as_py():
-                    h.append(m["h"])
-                    n.append(m["n"])
-                    s.append(m["s"])
-                    f.append(paths[m["s"]:m["s"] + m["c"]])
-                    sizes.append(m["c"])
+                # copies of one row bring each other's marks; each needs them once
+                for first, (m_h, m_n, m_c) in {m["s"]: (m["h"], m["n"], m["c"]) for m in marks.as_py()}.items():
+                    h.append(m_h)
+                    n.append(m_n)
+                    s.append(first)
+                    f.append(paths[first:first + m_c])
+                    sizes.append(m_c)
                     of.append(i)
             if of:
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 of = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h, pa.int64()), pa.array(n, pa.int64()), ids.take(of), keys.take(of), pa.array(s, pa.int32()),
+                    [pa.array(h, pa.int64()), pa.array(n, pa.int64()), *(k.take(of) for k in keys), pa.array(s, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(f)))], schema=fields)
 
-    return rows.mapInArrow(spell, "h long, n long, id long, key long, s int, f array<long>")
+    return rows.mapInArrow(spell, "h long, n long, key long, key2 long, s int, f array<long>")
 
 
 def deep_nodes(group: np.ndarray, path: np.ndarray) -> np.ndarray:
@@ -159,7 +173,7 @@ def deep_nodes(group: np.ndarray, path: np.ndarray) -> np.ndarray:
 
 def _subtrees(paths: DataFrame) -> DataFrame:
     """Repeated windows of groups that are in memory one after another, as
-    (id, key, first window, windows) runs."""
+    (key, key2, first window, windows) runs."""
 
     def build(batches):
         held = None
@@ -190,12 +204,12 @@ def _subtrees(paths: DataFrame) -> DataFrame:
             first = hit[new]
             of = pa.array(row[first])
             start = rows.column("s").to_numpy()[row[first]] + nth[first]
-            cols = [rows.column(c).take(of).combine_chunks() for c in ("id", "key")]
+            cols = [rows.column(c).take(of).combine_chunks() for c in ("key", "key2")]
             cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(start.astype(np.int32)), pa.array(np.diff(np.append(new, len(hit))).astype(np.int32))],
-                                             names=["id", "key", "s", "c"])
+                                             names=["key", "key2", "s", "c"])
 
-    return paths.repartition("h").sortWithinPartitions("h").mapInArrow(build, "id long, key long, s int, c int")
+    return paths.repartition("h").sortWithinPartitions("h").mapInArrow(build, "key long, key2 long, s int, c int")
 
 
 def _split_groups(paths: DataFrame) -> DataFrame:
@@ -206,29 +220,27 @@ def _split_groups(paths: DataFrame) -> DataFrame:
     leaves = segments.select("h", "g", "m", F.posexplode("f").alias("i", "p"))
     deep = leaves.groupBy("h", "p").agg(F.sum("m").alias("m")).filter("m > 1").select("h", "p")
     hits = leaves.join(deep, ["h", "p"], "left_semi").groupBy("h", "g").agg(F.collect_list("i").alias("at"))
-    return paths.join(hits, ["h", "g"]).select("id", "key", F.explode("at").alias("i"), "s").select(
-        "id", "key", (F.col("s") + F.col("i")).cast("int").alias("s"), F.lit(1).alias("c"))
+    return paths.join(hits, ["h", "g"]).select("key", "key2", F.explode("at").alias("i"), "s").select(
+        "key", "key2", (F.col("s") + F.col("i")).cast("int").alias("s"), F.lit(1).alias("c"))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text: str = "text",
                      prefix: int = PREFIX, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(id, key, spans) for rows with repeats: ``spans`` holds (first window,
-    windows) runs; ``key`` is a hash of the text."""
+    """(key, key2, spans) for texts with repeats: ``spans`` holds (first window,
+    windows) runs; the keys are hashes of the text."""
     if not 1 <= prefix <= window:
         raise ValueError("1 <= prefix <= window")
     rows = _keyed(docs, id_col, text)
     anchors = as_table(_anchors(rows, window, prefix), "anchors")
-    often = anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    # written out, so that the join below has an exchange on both sides and hot prefixes can be split
+    often = cut(anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"))
     marks = (anchors.join(often, "h").groupBy("id", "key")
              .agg(F.collect_list(F.struct("h", "n", "s", "c")).alias("marks")))
-    # rows repeated word for word meet all their copies' marks; each copy needs them once
-    marks = marks.withColumn("marks", F.array_distinct("marks"))
     texts = rows.filter(F.length("data") > 0)
-    same = marks["id"].eqNullSafe(texts["id"]) & (marks["key"] == texts["key"])
-    joined = texts.join(marks, same).select(texts["id"], texts["key"], "data", "marks")
-    paths = as_table(_paths(joined, window), "paths")
+    joined = texts.join(marks, marks["id"].eqNullSafe(texts["id"]) & (marks["key"] == texts["key"]))
+    paths = as_table(_paths(joined.select(texts["key"], "key2", "data", "marks"), window), "paths")
     found = _subtrees(paths.filter(F.col("n") <= group_limit).drop("n")).union(_split_groups(paths.filter(F.col("n") > group_limit).drop("n")))
-    return found.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.struct("s", "c"))).alias("spans"))
+    return found.groupBy("key", "key2").agg(F.collect_set(F.struct("s", "c")).alias("spans"))
 
 
 def removed_words(n: int, spans, window: int) -> np.ndarray:
@@ -248,13 +260,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     ``digest=True``: id, n_words, n_removed and kept_sha256 (of the kept words
     joined by one space).
     """
-    spans = repeated_windows(docs, window, id_col, text, group_limit=group_limit)
+    spans = cut(repeated_windows(docs, window, id_col, text, group_limit=group_limit))
     kept = docs.columns
-    sid, skey, marks, key, data = (fresh(kept, n) for n in ("sid", "skey", "spans", "key", "data"))
-    spans = spans.select(F.col("id").alias(sid), F.col("key").alias(skey), F.col("spans").alias(marks))
+    key, key2, marks, data = (fresh(kept, n) for n in ("key", "key2", "spans", "data"))
+    spans = spans.select(F.col("key").alias(key), F.col("key2").alias(key2), F.col("spans").alias(marks))
     narrow = docs.select(id_col, text) if digest else docs
-    rows = narrow.withColumn(key, F.xxhash64(F.col(text)))
-    rows = rows.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col(sid)) & (F.col(key) == F.col(skey)), "left")
+    rows = narrow.withColumns(dict(zip((key, key2), _keys(text)))).join(spans, [key, key2], "left")
 
     def measure(batches):
         for batch in batches:
