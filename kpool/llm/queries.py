@@ -101,3 +101,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@register("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.langid import identify_language
+
+    return identify_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
