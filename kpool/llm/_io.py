@@ -11,21 +11,34 @@ from kpool.session import ensure_checkpoint_dir, shared_dir
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once, as a reliable checkpoint in ``spark.checkpoint.dir``.
-    For narrow tables (ids, counts, links); tables with texts use ``as_table``."""
+    For narrow tables (ids, counts, links); tables with texts use ``Scratch``."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once as compressed Parquet in the shared folder.  The
-    folder is registered for deletion when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables computed once, as compressed Parquet in the shared folder, until
+    ``drop``; those left are deleted when the driver's JVM ends.  For tables
+    with texts or arrays, which checkpoints would store uncompressed."""
+
+    def __init__(self) -> None:
+        self.places: list = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = shared_dir(spark, name)
+        df.write.parquet(path)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.deleteOnExit(where)
+        self.places.append((files, where))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Only once nothing that reads the tables will run any more."""
+        for files, where in self.places:
+            files.delete(where, True)
+        self.places = []
 
 
 def fresh(columns: list[str], name: str) -> str:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut, fresh, text_bytes
+from kpool.llm._io import Scratch, cut, fresh, text_bytes
 
 WINDOW = 35
 PREFIX = 10
@@ -231,16 +231,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     if not 1 <= prefix <= window:
         raise ValueError("1 <= prefix <= window")
     rows = _keyed(docs, id_col, text)
-    anchors = as_table(_anchors(rows, window, prefix), "anchors")
+    tables = Scratch()
+    anchors = tables.write(_anchors(rows, window, prefix), "anchors")
     # written out, so that the join below has an exchange on both sides and hot prefixes can be split
     often = cut(anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"))
     marks = (anchors.join(often, "h").groupBy("id", "key")
              .agg(F.collect_list(F.struct("h", "n", "s", "c")).alias("marks")))
     texts = rows.filter(F.length("data") > 0)
     joined = texts.join(marks, marks["id"].eqNullSafe(texts["id"]) & (marks["key"] == texts["key"]))
-    paths = as_table(_paths(joined.select(texts["key"], "key2", "data", "marks"), window), "paths")
+    paths = tables.write(_paths(joined.select(texts["key"], "key2", "data", "marks"), window), "paths")
     found = _subtrees(paths.filter(F.col("n") <= group_limit).drop("n")).union(_split_groups(paths.filter(F.col("n") > group_limit).drop("n")))
-    return found.groupBy("key", "key2").agg(F.collect_set(F.struct("s", "c")).alias("spans"))
+    spans = cut(found.groupBy("key", "key2").agg(F.collect_set(F.struct("s", "c")).alias("spans")))
+    tables.drop()
+    return spans
 
 
 def removed_words(n: int, spans, window: int) -> np.ndarray:
@@ -260,7 +263,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     ``digest=True``: id, n_words, n_removed and kept_sha256 (of the kept words
     joined by one space).
     """
-    spans = cut(repeated_windows(docs, window, id_col, text, group_limit=group_limit))
+    spans = repeated_windows(docs, window, id_col, text, group_limit=group_limit)
     kept = docs.columns
     key, key2, marks, data = (fresh(kept, n) for n in ("key", "key2", "spans", "data"))
     spans = spans.select(F.col("key").alias(key), F.col("key2").alias(key2), F.col("spans").alias(marks))
