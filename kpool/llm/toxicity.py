@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut
+from kpool.llm._io import Scratch, cut
 
 EDGE = "\"'`.,;:!?()[]{}<>*_~#$%&|-‘’“”«»…"
 QUOTES = frozenset("\"“”«»`")
@@ -50,7 +50,7 @@ class Lexicon:
     """Terms in a trie, and look-up of words by intersection with their
     Levenshtein automata."""
 
-    def __init__(self, terms: dict[str, float], variants: dict[str, float] | None = None, unseen: float = 1.0, limit: int = 500_000):
+    def __init__(self, terms: dict[str, float], variants: dict[str, float] | None = None, unseen: float = 1.0, limit: int = 700_000):
         self.terms, self.variants, self.unseen, self.limit = dict(terms), dict(variants or {}), unseen, limit
         self.trie: dict = {}
         for term in self.terms:
@@ -58,8 +58,20 @@ class Lexicon:
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = term
-        self.depths = sorted({len(t) for t in self.terms})
-        self.known: dict[str, tuple[float, bool] | None] = {}
+        # A word within k edits of a term holds one of the term's k + 1 pieces
+        # unchanged: the first at its start, the last at its end, or one between.
+        self.heads, self.tails, self.middles = defaultdict(set), defaultdict(set), defaultdict(set)
+        for term in self.terms:
+            if k := edits_allowed(len(term)):
+                cuts = [len(term) * i // (k + 1) for i in range(k + 2)]
+                first, *between, last = [term[x:y] for x, y in zip(cuts, cuts[1:])]
+                self.heads[len(first)].add(first)
+                self.tails[len(last)].add(last)
+                for piece in between:
+                    self.middles[len(piece)].add(piece)
+        self.lengths = {n for t in self.terms if (k := edits_allowed(len(t))) for n in range(len(t) - k, len(t) + k + 1)}
+        self.seen: set[str] = set()
+        self.hits: dict[str, tuple[float, bool]] = {}
 
     def __getstate__(self):
         return self.terms, self.variants, self.unseen, self.limit
@@ -98,36 +110,48 @@ class Lexicon:
 
     def near(self, core: str) -> tuple[int, str] | None:
         """The nearest term within the edits allowed for the term's length."""
-        n = len(core)
         if core in self.terms:
             return 0, core
-        if not any(abs(n - d) <= edits_allowed(d) > 0 for d in self.depths):
+        n = len(core)
+        if n not in self.lengths or not self._may_be_near(core, n):
             return None
         return next(((e, t) for e, t in self.within(core, 2 if n >= 7 else 1) if e <= edits_allowed(len(t))), None)
 
+    def _may_be_near(self, core: str, n: int) -> bool:
+        for size, pieces in self.heads.items():
+            if core[:size] in pieces:
+                return True
+        for size, pieces in self.tails.items():
+            if core[-size:] in pieces:
+                return True
+        for size, pieces in self.middles.items():
+            for i in range(1, n - size):
+                if core[i:i + size] in pieces:
+                    return True
+        return False
+
     def hit(self, token: str) -> tuple[float, bool] | None:
         """(weight, exact) of a token with marks around it, or None."""
-        try:
-            return self.known[token]
-        except KeyError:
-            pass
-        core, got = token.strip(EDGE), None
-        if 3 <= len(core) <= 40:
-            found = self.near(core)
-            if found is not None:
-                e, term = found
-                weight = self.terms[term] if e == 0 else self.variants.get(core, self.unseen)
-                got = (weight, e == 0) if weight > 0 else None
-        if len(token) <= 48:
-            if len(self.known) >= self.limit:
-                self.known.clear()
-            self.known[token] = got
-        return got
+        core = token.strip(EDGE)
+        if not 3 <= len(core) <= 40 or (found := self.near(core)) is None:
+            return None
+        weight = self.terms[found[1]] if found[0] == 0 else self.variants.get(core, self.unseen)
+        return (weight, found[0] == 0) if weight > 0 else None
+
+    def hits_among(self, tokens: set[str]) -> dict[str, tuple[float, bool]]:
+        """Hits of a text's distinct tokens; tokens met before are not looked up again."""
+        if len(self.seen) > self.limit:
+            self.seen, self.hits = set(), {}
+        for token in tokens - self.seen:
+            got = self.hit(token)
+            if got is not None:
+                self.hits[token] = got
+        self.seen |= tokens
+        return {t: self.hits[t] for t in tokens & self.hits.keys()}
 
     def features(self, text: str | None) -> list[float]:
         tokens = (text or "").lower().split()
-        hit = self.hit
-        hits = {t: h for t in set(tokens) if (h := hit(t)) is not None}
+        hits = self.hits_among(set(tokens))
         if not hits:
             return [0.0] * len(FEATURES)
         sums = dict.fromkeys(FEATURES, 0.0)
@@ -236,7 +260,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_toxic")))
     some = cut(marks.orderBy(F.xxhash64("_id"), "_id").limit(sample))  # at most ``sample`` rows: safe to broadcast
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(some), "_id").select("_text", "_toxic")
-    texts = as_table(_one_of_copies(texts), "labelled")
+    tables = Scratch()
+    texts = tables.write(_one_of_copies(texts), "labelled")
     n, n_bad = texts.agg(F.count("*"), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     if n and 0 < n_bad < n:
         lexicon = learn_lexicon(cut(vocabulary(texts, "_text", "_toxic")), n_bad, n - n_bad)
@@ -246,6 +271,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     else:
         lexicon, weights = Lexicon({}), np.zeros(1 + len(FEATURES))
         weights[0] = 35.0 if n and n_bad == n else -35.0
+    tables.drop()
     found = _with_features(docs.select(F.col(text).alias("_text"), F.col(id_col).alias("_id")), lexicon, "_id")
     line = F.lit(float(weights[0]))
     for name, w in zip(FEATURES, weights[1:].tolist()):

@@ -28,6 +28,23 @@ def test_automaton_meets_all_terms_within_reach(edits):
         assert lexicon.within(w, edits) == sorted((distance(w, t), t) for t in lexicon.terms if distance(w, t) <= edits)
 
 
+def test_look_up_skips_no_near_word():
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    lexicon = X.Lexicon({word(rng.randrange(3, 13)): 1.0 for _ in range(40)})
+    near = 0
+    for _ in range(4000):
+        w = list(rng.choice(list(lexicon.terms)))
+        for _ in range(rng.randrange(0, 4)):
+            i = rng.randrange(len(w) + 1)
+            w[i:i + rng.randrange(2)] = rng.choice(["", *"abcd"])
+        w = "".join(w)
+        want = sorted((distance(w, t), t) for t in lexicon.terms if distance(w, t) <= X.edits_allowed(len(t)))
+        assert lexicon.near(w) == (want[0] if want else None)
+        near += bool(want)
+    assert near > 1000
+
+
 def test_misspelling_quotation_and_address():
     lexicon = X.Lexicon({"worthless": 4.0, "clown": 4.0}, {"crown": -2.0})
     at = dict(zip(X.FEATURES, range(9)))
