@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut
+from kpool.llm._io import cut
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 MANY = 48  # repeated windows up to which membership is by search, else by sorting
@@ -144,9 +144,11 @@ def posterior(model, votes_col: str) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
-def _judged(marked: DataFrame, keep_from: float) -> DataFrame:
-    patterns = [(tuple(r[0]), r[1]) for r in marked.groupBy("_votes").count().collect()]  # at most 3^rules
-    model = fit_label_model(sorted(patterns))
+def _model(marked: DataFrame):
+    return fit_label_model(sorted((tuple(r[0]), r[1]) for r in marked.groupBy("_votes").count().collect()))  # at most 3^rules
+
+
+def _judged(marked: DataFrame, model, keep_from: float) -> DataFrame:
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (marked.withColumn("p_good", posterior(model, "_votes")).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= keep_from)).drop("_votes"))
@@ -159,13 +161,16 @@ def judge(docs: DataFrame, keep_from: float = 0.5, id_col: str = "doc_id", text:
     """One row per document: id, the base counts, base_failed, kept, p_good."""
     measured = measures(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")), "_t")
     marked = cut(measured.select("_id", *BASE, votes(measured).alias("_votes")))
-    return _judged(marked, keep_from).select(F.col("_id").alias(id_col), *BASE, "base_failed", "kept", "p_good")
+    return _judged(marked, _model(marked), keep_from).select(F.col("_id").alias(id_col), *BASE, "base_failed", "kept", "p_good")
 
 
 def keep_good(docs: DataFrame, keep_from: float = 0.5, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` that are kept; columns unchanged."""
+    """Rows of ``docs`` that are kept; columns unchanged.  The measures are
+    computed twice, for the model and for the verdicts, rather than written
+    out with the texts."""
     kept = docs.columns
-    row = docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_t"))
-    measured = measures(row, "_t")
-    marked = as_table(measured.select("_row", "n_words", "n_repeat_words", votes(measured).alias("_votes")), "quality")
-    return _judged(marked, keep_from).filter("kept").select("_row.*")
+    measured = measures(docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_t")), "_t")
+    marked = measured.select("_row", "n_words", "n_repeat_words", votes(measured).alias("_votes"))
+    # the row number keeps the optimizer from copying the measures into the filter, once for each use
+    numbered = marked.withColumn("_n", F.monotonically_increasing_id())
+    return _judged(numbered, _model(marked), keep_from).filter("kept AND _n >= 0").select("_row.*")

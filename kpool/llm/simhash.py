@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import as_table, cut, fresh, text_bytes
+from kpool.llm._io import cut, fresh, text_bytes
 from kpool.llm.components import connected_components, spanning_links
 
 TILE = 4096
@@ -184,15 +184,25 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col:
 
 def keep_one_of_each(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every near-duplicate component: the one of the
-    least id (null ids last), among equal ids any one.  Columns are unchanged."""
+    least id (null ids last), then of the least text hash; of rows equal in
+    both, any one.  Columns are unchanged."""
     kept = docs.columns
-    uid, fp = fresh(kept, "uid"), fresh(kept, "fp")
-    marked = fingerprints(docs.withColumn(uid, F.monotonically_increasing_id()), text, shingle, fp)
-    rows = as_table(marked, "simhash")
-    narrow = rows.select(F.col(uid).alias("uid"), F.col(fp).alias("fp"), F.col(id_col).alias("id"))
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"))).alias("best")
-    distinct = cut(narrow.groupBy("fp").agg(best))
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("t"))
+    rows = cut(fingerprints(narrow, "t", shingle).select("id", "hash", "fp"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    distinct = cut(rows.groupBy("fp").agg(F.min(order).alias("best")))
     roots = connected_components(close_links(distinct.select("fp"), radius))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("best", F.coalesce("root", "fp").alias("root"))
-    winners = named.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.uid").alias(uid))
-    return rows.join(winners, uid, "left_semi").select(*kept)
+    best = named.groupBy("root").agg(F.min("best").alias("best")).select("best.id", "best.hash")
+    held = rows.groupBy("id", "hash").count()
+    same = held["id"].eqNullSafe(best["id"]) & (held["hash"] == best["hash"])
+    uid, mark, copies = (fresh(kept, n) for n in ("uid", "hash", "copies"))
+    winners = cut(best.join(held, same).select(best["id"].alias(uid), best["hash"].alias(mark), F.col("count").alias(copies)))
+
+    found = docs.withColumn(fresh([*kept, uid, mark, copies], "key"), F.xxhash64(F.col(text)))
+    key = found.columns[-1]
+    found = found.join(winners, F.col(id_col).cast("long").eqNullSafe(F.col(uid)) & (F.col(key) == F.col(mark)))
+    single = found.filter(F.col(copies) == 1).select(*kept)
+    first = W.partitionBy(uid, mark).orderBy(F.lit(0))  # repeated rows: cut to one of each before the shuffle as well
+    again = found.filter(F.col(copies) > 1).withColumn(key, F.row_number().over(first)).filter(F.col(key) == 1).select(*kept)
+    return single.union(again)
