@@ -2,7 +2,7 @@
 
 from kpool.functions.strings import random_string
 from kpool.functions.tags import draw, priority, row_priority
-from kpool.operators.audit import count_by, inclusion_audit, merge_provenance, parity, split_by
+from kpool.operators.audit import count_by, inclusion_audit, parity
 from kpool.operators.merge import merge_summaries, merge_weighted, permute_items
 from kpool.operators.ordinal import ordinal
 from kpool.operators.pairing import pair_latest_unmatched
@@ -15,9 +15,9 @@ from kpool.sources.messages import read_messages, summary_payload, write_summari
 
 __all__ = [
     "build_summary", "count_by", "draw", "explode_summary", "inclusion_audit", "integer_range",
-    "merge_provenance", "merge_summaries", "merge_weighted", "ordinal", "pair_latest_unmatched",
+    "merge_summaries", "merge_weighted", "ordinal", "pair_latest_unmatched",
     "parity", "permute_items", "priority", "random_string", "random_strings", "read_messages",
     "render_summary", "reservoir_as_of", "reservoir_by_key", "reservoir_candidates",
     "reservoir_history", "reservoir_replay", "reservoir_summary", "row_priority", "sample_by_key",
-    "sample_k", "split_by", "summary_payload", "write_summaries",
+    "sample_k", "summary_payload", "write_summaries",
 ]

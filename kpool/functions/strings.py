@@ -17,9 +17,9 @@ FIRST_LETTER = 97  # 'a'
 def random_string(seed: int, id_text: Column) -> Column:
     """A seeded random string for a row identity: length uniform in 1..10,
     letters uniform a..z.  ``id_text`` is the row's identity as text."""
-    length = draw(seed, id_text, "len", bound=MAX_LEN - MIN_LEN + 1) + MIN_LEN
+    length = draw(seed, "len", id_text, bound=MAX_LEN - MIN_LEN + 1) + MIN_LEN
     letters = F.transform(
         F.sequence(F.lit(1).cast("bigint"), length),
-        lambda i: F.char(F.lit(FIRST_LETTER) + draw(seed, id_text, i, bound=ALPHABET_SIZE)),
+        lambda i: F.char(F.lit(FIRST_LETTER) + draw(seed, "letter", id_text, i, bound=ALPHABET_SIZE)),
     )
     return F.array_join(letters, "")

@@ -8,7 +8,7 @@ recomputed differently after a task retry).  Two tags are used:
   k rows with the smallest priorities; a merge of samples is the k smallest of
   the union.  The hex text orders like the 128-bit number it spells, so text
   comparison is numeric comparison.
-* ``draw(seed, parts..., bound=b)`` -- a uniform integer in ``[0, b)`` made
+* ``draw(seed, purpose, parts..., bound=b)`` -- a uniform integer in ``[0, b)`` made
   from the first 60 bits of an md5.  Used where an algorithm asks for a random
   index (reservoir slots, weighted merge, random strings).
 
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed text forms shared with the SQL twins below.
-NULL_TEXT = "\\N"          # stands for a null identity part
-SEP = ":"                  # separator between seed and identity parts
+NULL_TEXT = "-"            # stands for a null identity part (a length never reads so)
+LENGTH_MARK = "#"          # between a part's length and its text
+SEP = ":"                  # separator between seed, purpose and parts
 HEX_DIGITS_FOR_DRAW = 15   # 15 hex digits = 60 bits, always a positive bigint
 
 
@@ -38,21 +39,28 @@ def _as_col(c) -> Column:
 def id_text(c, dtype: T.DataType | None = None) -> Column:
     """Text form of one identity part, equal in Spark and DuckDB.
 
-    Integers and strings cast as is; timestamps go through a fixed format
-    (the parquet timestamps here are zone-less).  Doubles are rejected by
-    :func:`identity_parts` because engines print them differently.
+    The text is preceded by its length, so different tuples of parts never
+    spell the same text.  Integers and strings cast as is; timestamps go
+    through a fixed format to the microsecond (the parquet timestamps here are
+    zone-less).  Doubles are rejected by :func:`identity_parts` because engines
+    print them differently.
     """
     col = _as_col(c)
     if isinstance(dtype, T.TimestampNTZType):
-        # zone-free: wall-clock text to the second, never through a session zone
-        col = F.substring(col.cast("string"), 1, 19)
+        # zone-free: wall-clock text, never through a session zone
+        text = col.cast("string")
+        col = F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))
     elif isinstance(dtype, T.TimestampType):
-        col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+        col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(dtype, T.DateType):
         col = F.date_format(col, "yyyy-MM-dd")
     else:
         col = col.cast("string")
-    return F.coalesce(col, F.lit(NULL_TEXT))
+    return _part(col)
+
+
+def _part(col: Column) -> Column:
+    return F.coalesce(F.concat(F.length(col).cast("string"), F.lit(LENGTH_MARK), col), F.lit(NULL_TEXT))
 
 
 def identity_parts(df, id_cols: Sequence) -> list[Column]:
@@ -66,7 +74,7 @@ def identity_parts(df, id_cols: Sequence) -> list[Column]:
                 raise ValueError(f"identity column {c!r} is floating point; use an integer or text key")
             parts.append(id_text(c, dt))
         else:
-            parts.append(F.coalesce(c.cast("string"), F.lit(NULL_TEXT)))
+            parts.append(_part(c.cast("string")))
     return parts
 
 
@@ -83,15 +91,17 @@ def row_priority(df, seed: int, id_cols: Sequence) -> Column:
     return priority(seed, *identity_parts(df, id_cols))
 
 
-def draw(seed: int | Column, *parts, bound) -> Column:
-    """Uniform integer in ``[0, bound)`` from ``md5(seed:parts...)``.
+def draw(seed: int | Column, purpose: str, *parts, bound) -> Column:
+    """Uniform integer in ``[0, bound)`` from ``md5(seed:purpose:parts...)``.
 
+    ``purpose`` names the decision (a slot, a merge step, ...): decisions of
+    different purposes never share a hash, nor do draws and priorities.
     ``bound`` may be a Column (e.g. the ordinal ``n``).  Modulo bias is at
     most bound / 2**60.
     """
     seed_col = seed if isinstance(seed, Column) else F.lit(str(int(seed)))
     txt = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    h = F.md5(F.concat_ws(SEP, seed_col.cast("string"), *txt))
+    h = F.md5(F.concat_ws(SEP, seed_col.cast("string"), F.lit(purpose), *txt))
     u60 = F.conv(F.substring(h, 1, HEX_DIGITS_FOR_DRAW), 16, 10).cast("bigint")
     b = bound if isinstance(bound, Column) else F.lit(int(bound))
     return F.pmod(u60, b.cast("bigint"))
@@ -114,10 +124,10 @@ def hex_threshold(fraction: float) -> str:
 
 def sql_id_text(expr: str, kind: str = "int") -> str:
     if kind == "ts":
-        expr = f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+        expr = f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
     else:
         expr = f"CAST({expr} AS VARCHAR)"
-    return f"coalesce({expr}, '{NULL_TEXT}')"
+    return f"coalesce(length({expr}) || '{LENGTH_MARK}' || {expr}, '{NULL_TEXT}')"
 
 
 def sql_priority(seed, *parts: str) -> str:
@@ -125,7 +135,7 @@ def sql_priority(seed, *parts: str) -> str:
     return f"md5(concat_ws('{SEP}', '{int(seed)}', {', '.join(parts)}))"
 
 
-def sql_draw(seed, *parts: str, bound: str) -> str:
+def sql_draw(seed, purpose: str, *parts: str, bound: str) -> str:
     txt = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    h = f"md5(concat_ws('{SEP}', '{int(seed)}', {txt}))"
+    h = f"md5(concat_ws('{SEP}', '{int(seed)}', '{purpose}', {txt}))"
     return f"(CAST(('0x' || substr({h}, 1, {HEX_DIGITS_FOR_DRAW})) AS BIGINT) % ({bound}))"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import hex_threshold, identity_parts, priority
-from kpool.operators.sample import check_size, prune_margin
+from kpool.operators.sample import check_size, prune_margin, sample_k
 from kpool.plans.layout import materialize, spread
 
 
@@ -21,21 +21,11 @@ def parity(c) -> Column:
     return F.when(F.pmod(col, F.lit(2)) == 1, F.lit("odd")).otherwise(F.lit("even"))
 
 
-def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
-    """Two filtered views of one input (no data moves)."""
-    return df.filter(predicate), df.filter(~predicate)
-
-
 def count_by(df: DataFrame, label: Column, name: str = "source", count_name: str = "cnt") -> DataFrame:
     """Rows per label in one pass (map-side combined)."""
     return df.groupBy(label.alias(name)).agg(F.count(F.lit(1)).cast("bigint").alias(count_name))
 
 
-def merge_provenance(merged_items: DataFrame, origin: Column) -> DataFrame:
-    """How many items of a merged sample came from each origin."""
-    return count_by(merged_items, origin, "source", "cnt")
-
-
 def inclusion_top(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int, n: int,
                   margin: float | None = None) -> DataFrame:
     """Per-seed top-k rows (``id_cols..., _seed, _p, _r``) among the candidate
@@ -64,10 +54,9 @@ def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -
     be in that seed's top k if its priority lies below (k + 8 sqrt(k) + 16)/N,
     so only those candidate pairs are exploded -- about seeds * (k + 8 sqrt(k))
     rows in all, not N * seeds.  A per-seed group limit then picks the exact
-    top k.  If some seed kept fewer than min(k, N) candidates (probability
-    ~1e-15) the audit reruns with every pair, so the result is always exact.
-    The per-id counts hold at most seeds * k rows, a bound fixed by the
-    parameters, so they are broadcast back."""
+    top k.  Seeds that kept fewer than min(k, N) candidates (probability
+    ~1e-15) are sampled again one by one from all rows, so the result is always
+    exact.  Picks and rows meet in one aggregation, whatever seeds * k is."""
     check_size("k", k)
     check_size("seeds", seeds)
     ids = list(id_cols)
@@ -76,9 +65,11 @@ def inclusion_audit(df: DataFrame, k: int, id_cols: Sequence[str], seeds: int) -
     if n == 0:
         return base.withColumn("times", F.lit(0).cast("bigint"))
     top = materialize(inclusion_top(base, k, ids, seeds, n))
-    full = top.groupBy("_seed").count().filter(F.col("count") >= min(k, n)).count() == seeds
-    if not full:
-        top = inclusion_top(base, k, ids, seeds, n, margin=float("inf"))
-    times = top.groupBy(*ids).agg(F.count(F.lit(1)).cast("bigint").alias("times"))
-    return base.join(F.broadcast(times), ids, "left").select(
-        *ids, F.coalesce(F.col("times"), F.lit(0).cast("bigint")).alias("times"))
+    full = top.groupBy("_seed").count().filter(F.col("count") >= min(k, n)).select("_seed")
+    picks = top.join(full, "_seed").select(*ids)
+    if full.count() < seeds:
+        short = base.sparkSession.range(1, seeds + 1).select(F.col("id").cast("int").alias("_seed")).join(full, "_seed", "left_anti")
+        for row in short.collect():
+            picks = picks.union(sample_k(base, k, ids, seed=row["_seed"]).select(*ids))
+    rows = base.select(*ids, F.lit(0).alias("_t")).union(picks.select(*ids, F.lit(1).alias("_t")))
+    return rows.groupBy(*ids).agg(F.sum("_t").cast("bigint").alias("times"))

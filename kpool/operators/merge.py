@@ -25,27 +25,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import draw, id_text, priority
-from kpool.operators.sample import check_size
+from kpool.operators.reservoir import SLOT_TAG
+from kpool.operators.sample import DEFAULT_SIZE, PRIORITY, check_size, group_limit, pruned_candidates
 from kpool.plans.layout import materialize
 
 ITEM = "item"
+DRAWN_TAG = "drawn-"  # marks items of a weighted merge: their order is random, but not comparable
+PRIORITY_LENGTH = 32  # digits of a comparable priority
+
+
+def _comparable(tag: Column) -> Column:
+    """The tag, or an error where it is no priority of a row."""
+    return F.when(tag.isNull() | (F.length(tag) == PRIORITY_LENGTH), tag).otherwise(
+        F.raise_error(F.lit("summaries of reservoirs or weighted merges have no comparable priorities; use merge_weighted")))
+
+
+def one_row_each(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Summaries with an error where a key (or, without keys, the side) has
+    more than one row."""
+    one = F.count(F.lit(1))
+    cols = [c for c in df.columns if c not in keys]
+    found = df.groupBy(*keys).agg(one.alias("_rows"), F.first(F.struct(*cols)).alias("_row"))
+    found = found.filter(F.when(F.col("_rows") > 1, F.raise_error(F.lit("a side of merge_weighted has several summaries of one key"))
+                                .cast("boolean")).otherwise(F.lit(True)))
+    return found.filter("_rows > 0").select(*keys, "_row.*")
 
 
 def _incomplete_k(n: Column, k: Column, items: Column) -> Column:
     return F.when(n > F.size(items), k)
 
 
-def _rule_r(m: int, kmin: Column, short: str) -> Column:
+def _rule_r(m: int, kmin: Column, short: str, n: Column) -> Column:
     m_eff = F.least(F.lit(m).cast("bigint"), F.coalesce(kmin, F.lit(m).cast("bigint")))
     if short == "error":
-        return F.when(m_eff < m, F.raise_error(F.lit(
+        none = F.raise_error(F.lit(f"merge size m={m} exceeds the rows of the inputs, or an input is empty"))
+        return F.when((n <= 0) | (n < m), none).when(m_eff < m, F.raise_error(F.lit(
             f"merge size m={m} exceeds the capacity of an incomplete input summary"))).otherwise(m_eff)
     if short != "cap":
         raise ValueError("short must be 'cap' or 'error'")
     return m_eff
 
 
-def merge_summaries(summaries: DataFrame, keys: Sequence[str], m: int, short: str = "cap",
+def merge_summaries(summaries: DataFrame, keys: Sequence[str], m: int = DEFAULT_SIZE, short: str = "cap",
                     materialize_input: bool = True) -> DataFrame:
     """Merge all summary rows sharing ``keys`` into one summary of size m.
 
@@ -69,6 +90,11 @@ def merge_summaries(summaries: DataFrame, keys: Sequence[str], m: int, short: st
         F.lit(None).cast(item_type).alias(ITEM),
     )
     exploded = summaries.select(*keys, F.explode("items").alias(ITEM))
+    exploded = exploded.withColumn(ITEM, F.col(ITEM).withField("priority", _comparable(F.col(f"{ITEM}.priority"))))
+    if m > group_limit(summaries.sparkSession):  # Spark plants no partial limit there: prune by priority first
+        counts = summaries.groupBy(*keys).agg(F.sum("n").alias("_n"), F.sum(F.size("items")).cast("bigint").alias("_rows"))
+        pruned = pruned_candidates(exploded.withColumn(PRIORITY, F.col(f"{ITEM}.priority")), keys, m, counts)
+        exploded = exploded if pruned is None else pruned.drop(PRIORITY)
     w = Window.partitionBy(*keys) if keys else Window.partitionBy()
     top = (
         exploded.withColumn("_r", F.row_number().over(w.orderBy(F.col(f"{ITEM}.priority"), F.col(ITEM))))
@@ -80,7 +106,9 @@ def merge_summaries(summaries: DataFrame, keys: Sequence[str], m: int, short: st
         F.min("_kmin").alias("_kmin"),
         F.sort_array(F.collect_list(ITEM)).alias("_items"),
     )
-    m_eff = _rule_r(m, F.col("_kmin"), short)
+    m_eff = _rule_r(m, F.col("_kmin"), short, F.col("n"))
+    if short == "error":  # a filter, so that the check runs whatever columns are read later
+        grouped = grouped.filter(m_eff > 0)
     return grouped.select(
         *keys,
         "n",
@@ -107,23 +135,27 @@ def merge_weighted(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    m: int,
+    m: int = DEFAULT_SIZE,
     seed: int = 0,
     short: str = "cap",
-    permute: bool = False,
+    permute: bool | None = None,
 ) -> DataFrame:
     """Weighted MERGE of two summaries per key (A7/A8, intended semantics).
 
     Each side is ``keys..., n, k, items``; a key missing on one side merges
     with an empty summary (n = 0).  Output: ``keys..., n, k, c1, c2, items``
     where ``c1``/``c2`` items were taken from the front of left/right.
-    Output items get fresh priorities (a seeded tag of key, side and
-    position) and are sorted by them, so the result is again in random
-    order.
+    Output items get fresh tags (seeded, of key, side and position) and are
+    sorted by them, so the result is again in random order; the tags are
+    marked, as they cannot be compared with rows' priorities.  Each side holds
+    one summary per key, several raise.  ``permute=None`` brings items in slot
+    order (reservoirs) into a seeded random order first and leaves others.
     """
     check_size("m", m)
     keys = list(keys)
     types = {f.name: f.dataType for f in left.schema.fields}
+    left = one_row_each(left.select(*keys, "n", "k", "items"), keys)
+    right = one_row_each(right.select(*keys, "n", "k", "items"), keys)
     l2 = left.select(*keys, F.col("n").alias("_n1"), F.col("k").alias("_k1"), F.col("items").alias("_i1"))
     r2 = right.select(*[F.col(c).alias(f"_rk_{c}") for c in keys],
                       F.col("n").alias("_n2"), F.col("k").alias("_k2"), F.col("items").alias("_i2"))
@@ -147,16 +179,22 @@ def merge_weighted(
     i1 = F.coalesce(F.col("_i1"), F.array().cast(item_type))
     i2 = F.coalesce(F.col("_i2"), F.array().cast(item_type))
     key_txt = _key_text(keys, types)
-    if permute:
-        i1 = permute_items(i1, seed, F.concat(key_txt, F.lit("|L")))
-        i2 = permute_items(i2, seed, F.concat(key_txt, F.lit("|R")))
+    if permute is not False:
+        def shuffled(items: Column, side: str) -> Column:
+            mixed = permute_items(items, seed, F.concat(key_txt, F.lit(side)))
+            return mixed if permute else F.when(F.get(items, F.lit(0))["priority"].startswith(SLOT_TAG), mixed).otherwise(items)
+
+        i1, i2 = shuffled(i1, "|L"), shuffled(i2, "|R")
     kmin = F.least(_incomplete_k(n1, F.col("_k1"), i1), _incomplete_k(n2, F.col("_k2"), i2))
-    m_eff = F.least(_rule_r(m, kmin, short), n1 + n2)
+    m_eff = F.least(_rule_r(m, kmin, short, n1 + n2), n1 + n2)
+    if short == "error":
+        empty = F.raise_error(F.lit("a side of the merge is empty")).cast("boolean")
+        j = j.filter(F.when((n1 <= 0) | (n2 <= 0), empty).otherwise(m_eff > 0))
     j = j.select(*keys, n1.alias("_n1"), n2.alias("_n2"), i1.alias("_i1"), i2.alias("_i2"),
                  m_eff.alias("_m"), key_txt.alias("_kt"))
 
     def step(acc, i):
-        j_draw = draw(seed, F.col("_kt"), i, bound=acc["a"] + acc["b"])
+        j_draw = draw(seed, "merge", F.col("_kt"), i, bound=acc["a"] + acc["b"])
         take_left = j_draw < acc["a"]
         return F.struct(
             F.when(take_left, acc["a"] - 1).otherwise(acc["a"]).alias("a"),
@@ -173,10 +211,10 @@ def merge_weighted(
     c1 = F.col("_fold.c1")
     c2 = F.col("_fold.c2")
     taken_l = F.transform(F.slice(F.col("_i1"), 1, c1.cast("int")), lambda x, i: F.struct(
-        priority(seed, F.lit("w"), F.col("_kt"), F.lit("L"), i.cast("string")).alias("priority"),
+        F.concat(F.lit(DRAWN_TAG), priority(seed, F.lit("w"), F.col("_kt"), F.lit("L"), i.cast("string"))).alias("priority"),
         x["value"].alias("value")))
     taken_r = F.transform(F.slice(F.col("_i2"), 1, c2.cast("int")), lambda x, i: F.struct(
-        priority(seed, F.lit("w"), F.col("_kt"), F.lit("R"), i.cast("string")).alias("priority"),
+        F.concat(F.lit(DRAWN_TAG), priority(seed, F.lit("w"), F.col("_kt"), F.lit("R"), i.cast("string"))).alias("priority"),
         x["value"].alias("value")))
     return j.select(
         *keys,

@@ -3,7 +3,7 @@ relationally.
 
 Element number n (1-based, in the given order) goes to slot n while n <= k;
 later it draws i uniform in [1, n] and replaces slot i if i <= k.  The draw
-depends only on (seed, key, n), so every element's slot is a column
+depends only on (seed, salt, key, n), so every element's slot is a column
 expression once n is known (see ``ordinal.py``).  An element is in the final
 reservoir iff it is the last one written to its slot: a ``max_by`` per slot.
 
@@ -27,9 +27,12 @@ from kpool.operators.ordinal import ordinal
 from kpool.operators.sample import check_size
 
 
-def slot_of(n: Column, k: int, seed: int, key_parts: Sequence[Column] = ()) -> Column:
+SLOT_TAG = "slot-"  # marks a summary whose item order is that of slots
+
+
+def slot_of(n: Column, k: int, seed: int, key_parts: Sequence[Column] = (), salt: str = "") -> Column:
     """Slot written by element n (may exceed k: then nothing is written)."""
-    return F.when(n <= k, n).otherwise(draw(seed, *key_parts, n, bound=n) + 1).cast("bigint")
+    return F.when(n <= k, n).otherwise(draw(seed, "slot", F.lit(salt), *key_parts, n, bound=n) + 1).cast("bigint")
 
 
 def reservoir_candidates(
@@ -39,6 +42,7 @@ def reservoir_candidates(
     keys: Sequence[str] = (),
     seed: int = 0,
     num_partitions: int | None = None,
+    salt: str = "",
 ) -> DataFrame:
     """Elements that are written to a slot at least once: ``df`` + n + slot."""
     check_size("k", k)
@@ -46,7 +50,7 @@ def reservoir_candidates(
     types = {f.name: f.dataType for f in df.schema.fields}
     numbered = ordinal(df, order, keys, out="n", num_partitions=num_partitions)
     key_parts = [id_text(c, types.get(c)) for c in keys]
-    return numbered.withColumn("slot", slot_of(F.col("n"), k, seed, key_parts)).filter(F.col("slot") <= k)
+    return numbered.withColumn("slot", slot_of(F.col("n"), k, seed, key_parts, salt)).filter(F.col("slot") <= k)
 
 
 def reservoir_replay(
@@ -57,19 +61,20 @@ def reservoir_replay(
     keys: Sequence[str] = (),
     seed: int = 0,
     num_partitions: int | None = None,
+    salt: str = "",
 ) -> DataFrame:
     """Final reservoir: ``keys..., slot, n, value_cols...`` (one row per slot)."""
     keys = list(keys)
-    cand = reservoir_candidates(df, k, order, keys, seed, num_partitions)
+    cand = reservoir_candidates(df, k, order, keys, seed, num_partitions, salt)
     best = F.max_by(F.struct(F.col("n"), *[F.col(c) for c in value_cols]), F.col("n"))
     return cand.groupBy(*keys, "slot").agg(best.alias("_b")).select(
         *keys, "slot", F.col("_b.n").alias("n"), *[F.col(f"_b.{c}").alias(c) for c in value_cols])
 
 
 def reservoir_by_key(df: DataFrame, keys: Sequence[str], k: int, order: Sequence,
-                     value_cols: Sequence[str], seed: int = 0) -> DataFrame:
+                     value_cols: Sequence[str], seed: int = 0, salt: str = "") -> DataFrame:
     """One reservoir per key (A5 with A4's algorithm)."""
-    return reservoir_replay(df, k, order, value_cols, keys=keys, seed=seed)
+    return reservoir_replay(df, k, order, value_cols, keys=keys, seed=seed, salt=salt)
 
 
 def reservoir_history(
@@ -80,11 +85,12 @@ def reservoir_history(
     keys: Sequence[str] = (),
     seed: int = 0,
     num_partitions: int | None = None,
+    salt: str = "",
 ) -> DataFrame:
     """Every accepted element with ``from_n`` (when it entered its slot) and
     ``to_n`` (last n before it was replaced; null while still held)."""
     keys = list(keys)
-    cand = reservoir_candidates(df, k, order, keys, seed, num_partitions)
+    cand = reservoir_candidates(df, k, order, keys, seed, num_partitions, salt)
     w = Window.partitionBy(*keys, "slot").orderBy("n")
     return cand.select(
         *keys, "slot", F.col("n").alias("from_n"),
@@ -106,17 +112,20 @@ def reservoir_summary(
     order: Sequence,
     value_col: str,
     seed: int = 0,
+    salt: str = "",
 ) -> DataFrame:
     """Reservoirs as summaries: ``keys..., n, k, items`` with items in slot
-    order (``priority`` holds the zero-padded slot).  Slot order is not a
-    random order (a prefix is biased), so merge these with
-    ``merge_weighted(..., permute=True)``.
+    order (``priority`` holds ``slot-`` and the zero-padded slot, so it cannot
+    pass for a comparable priority).  Slot order is not a random order (a
+    prefix is biased); ``merge_weighted`` permutes such items first.  Reservoirs
+    that will be merged need a ``salt`` each, or they take the same slot
+    decisions at the same n.
 
     The stream size n comes from a count per key, combined with the slots by
     a union + one aggregation (each key holds at most k slots)."""
     keys = list(keys)
-    res = reservoir_replay(df, k, order, [value_col], keys=keys, seed=seed)
-    item = F.struct(F.lpad(F.col("slot").cast("string"), 20, "0").alias("priority"),
+    res = reservoir_replay(df, k, order, [value_col], keys=keys, seed=seed, salt=salt)
+    item = F.struct(F.concat(F.lit(SLOT_TAG), F.lpad(F.col("slot").cast("string"), 20, "0")).alias("priority"),
                     F.col(value_col).alias("value"))
     slots = res.select(*keys, F.lit(None).cast("bigint").alias("n"), item.alias("_item"))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(

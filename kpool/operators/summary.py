@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.operators.sample import PRIORITY, RANK, check_size, sample_by_key
+from kpool.operators.sample import DEFAULT_SIZE, PRIORITY, RANK, check_size, sample_by_key, too_short
 
 ITEM = "item"
 
@@ -33,9 +33,9 @@ def value_column(value_cols: Sequence[str] | str) -> Column:
 def build_summary(
     df: DataFrame,
     keys: Sequence[str],
-    k: int,
-    value_cols: Sequence[str] | str,
-    id_cols: Sequence,
+    k: int = DEFAULT_SIZE,
+    value_cols: Sequence[str] | str = (),
+    id_cols: Sequence = (),
     seed: int = 0,
     short: str = "cap",
     strategy: str = "auto",
@@ -47,7 +47,9 @@ def build_summary(
     check_size("k", k)
     keys = list(keys)
     val = value_column(value_cols)
-    sampled = sample_by_key(df, keys, k, id_cols, seed=seed, short=short, strategy=strategy)
+    if short not in ("cap", "error"):
+        raise ValueError("short must be 'cap' or 'error'")
+    sampled = sample_by_key(df, keys, k, id_cols, seed=seed, strategy=strategy)
     item_rows = sampled.select(
         *keys,
         F.lit(None).cast("bigint").alias("n"),
@@ -58,11 +60,13 @@ def build_summary(
         .select(*keys, "n", F.lit(None).cast(item_rows.schema[ITEM].dataType).alias(ITEM))
     )
     both = count_rows.unionByName(item_rows)
-    return both.groupBy(*keys).agg(
+    out = both.groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias("n"),
         F.lit(k).cast("bigint").alias("k"),
         F.sort_array(F.collect_list(ITEM)).alias("items"),
     )
+    # a filter, so that the check runs whatever columns are read later
+    return out.filter(too_short(F.col("n"), k)) if short == "error" else out
 
 
 def explode_summary(summary: DataFrame, keys: Sequence[str] | None = None,
@@ -86,12 +90,13 @@ RENDER_DATA_SIZE = " sample data size: "
 RENDER_DATA = " sample data: ["
 RENDER_ITEM_SEP = ", "
 RENDER_END = "]"
+RENDER_NULL = "null"
 
 
 def render_summary(n: Column, k: Column, items: Column, label: str = "SamplePool") -> Column:
     """Summary as text:
     ``SamplePool @  stream size: N  sample size: K  sample data size: M  sample data: [a, b]``.
-    An empty summary renders ``[]``.
+    An empty summary renders ``[]``, a null item ``null``.
     """
     values = F.transform(items, lambda x: x["value"].cast("string"))
     return F.concat(
@@ -99,5 +104,5 @@ def render_summary(n: Column, k: Column, items: Column, label: str = "SamplePool
         F.lit(RENDER_STREAM), n.cast("string"), F.lit(" "),
         F.lit(RENDER_SAMPLE), k.cast("string"), F.lit(" "),
         F.lit(RENDER_DATA_SIZE), F.size(items).cast("string"), F.lit(" "),
-        F.lit(RENDER_DATA), F.array_join(values, RENDER_ITEM_SEP), F.lit(RENDER_END),
+        F.lit(RENDER_DATA), F.array_join(values, RENDER_ITEM_SEP, RENDER_NULL), F.lit(RENDER_END),
     )

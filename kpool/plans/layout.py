@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def input_partitions(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - e.g. Spark Connect
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Inputs the optimizer holds to be at most this large are worth one exchange;
+# larger ones are read in many splits anyway.
+SPREAD_BYTES = 256 << 20
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that arrives in fewer partitions than the cluster has
-    cores (a small file with one row group is read by one task) before heavy
-    per-row work such as hashing.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate.  Plans only; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def estimated_partitions(df: DataFrame) -> int:
+    """Scan splits the estimate amounts to."""
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(1, -(-estimated_bytes(df) // int(split)))
 
-    Large inputs -- many files and row groups -- already arrive in more
-    partitions than cores; for them this is a no-op and adds no shuffle.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input, which one task may read whole (a file with one
+    row group), over the cores before heavy per-row work such as hashing.
+    Inputs above ``SPREAD_BYTES``, and streams, stay as they are.
     """
-    if df.isStreaming:  # a stream's partitions come from its source options
+    if df.isStreaming or estimated_bytes(df) > SPREAD_BYTES:
         return df
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if input_partitions(df) < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -18,9 +18,10 @@ from kpool.operators.merge import merge_summaries, merge_weighted
 from kpool.operators.pairing import pair_latest_unmatched
 from kpool.operators.reservoir import (reservoir_as_of, reservoir_by_key, reservoir_history, reservoir_replay,
                                       reservoir_summary)
+from kpool.operators import summary as R
 from kpool.operators.sample import PRIORITY, RANK, sample_by_key, sample_k
 from kpool.operators.summary import build_summary, explode_summary, render_summary
-from kpool.sources.generators import integer_range, random_strings
+from kpool.sources.generators import random_strings
 
 SEED = 42
 
@@ -115,11 +116,8 @@ def q_summary_build(spark, sf_dir):
 # --------------------------------------------------------- A7 A8 F1: merge_priority
 def _merge_priority_items(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    odd = orders.filter(parity("o_orderkey") == "odd")
-    even = orders.filter(parity("o_orderkey") == "even")
-    s1 = build_summary(odd, [], 300, "o_orderkey", ["o_orderkey"], seed=SEED)
-    s2 = build_summary(even, [], 300, "o_orderkey", ["o_orderkey"], seed=SEED)
-    merged = merge_summaries(s1.unionByName(s2), [], 200)
+    halves = build_summary(orders.withColumn("half", parity("o_orderkey")), ["half"], 300, "o_orderkey", ["o_orderkey"], seed=SEED)
+    merged = merge_summaries(halves, [], 200)
     return explode_summary(merged, [])
 
 
@@ -173,87 +171,58 @@ _MW_M = 20
 _MW_K = 20
 
 
-def _mw_side_sql(side: str) -> str:
-    agg = "min" if side == "left" else "max"
-    return f"""
-    SELECT CAST(n_regionkey AS BIGINT) AS r_regionkey, {agg}(n_nationkey) AS nationkey
-    FROM nation GROUP BY n_regionkey"""
-
-
 @register("merge_weighted", f"""
 WITH RECURSIVE
  cust AS (
-   SELECT c_custkey, c_nationkey, {_pri_sql('c_custkey')} AS priority,
-          row_number() OVER (PARTITION BY c_nationkey ORDER BY {_pri_sql('c_custkey')}, c_custkey) AS rk,
-          count(*) OVER (PARTITION BY c_nationkey) AS cnt
-   FROM customer),
- nstat AS (SELECT c_nationkey, max(cnt) AS n FROM cust GROUP BY c_nationkey),
- lside AS ({_mw_side_sql('left')}),
- rside AS ({_mw_side_sql('right')}),
+   SELECT c_custkey, CAST(n_regionkey AS BIGINT) AS r_regionkey, c_nationkey % 2 AS side, {_pri_sql('c_custkey')} AS priority,
+          row_number() OVER (PARTITION BY n_regionkey, c_nationkey % 2 ORDER BY {_pri_sql('c_custkey')}, c_custkey) AS rk
+   FROM customer JOIN nation ON n_nationkey = c_nationkey),
+ stat AS (SELECT r_regionkey, count(*) FILTER (side = 0) AS n1, count(*) FILTER (side = 1) AS n2 FROM cust GROUP BY r_regionkey),
  params AS (
-   SELECT r.r_regionkey, l.nationkey AS lnat, r.nationkey AS rnat,
-          coalesce(ln.n, 0) AS n1, coalesce(rn.n, 0) AS n2,
-          least({_MW_M}, coalesce(least(CASE WHEN coalesce(ln.n,0) > least(coalesce(ln.n,0), {_MW_K}) THEN {_MW_K} END,
-                                        CASE WHEN coalesce(rn.n,0) > least(coalesce(rn.n,0), {_MW_K}) THEN {_MW_K} END), {_MW_M}),
-                coalesce(ln.n, 0) + coalesce(rn.n, 0)) AS m_eff
-   FROM lside l JOIN rside r ON l.r_regionkey = r.r_regionkey
-   LEFT JOIN nstat ln ON ln.c_nationkey = l.nationkey
-   LEFT JOIN nstat rn ON rn.c_nationkey = r.nationkey),
+   SELECT *, least({_MW_M}, n1 + n2, CASE WHEN n1 > {_MW_K} THEN {_MW_K} END, CASE WHEN n2 > {_MW_K} THEN {_MW_K} END) AS m_eff FROM stat),
  fold(r_regionkey, i, a, b, c1, c2, m_eff) AS (
    SELECT r_regionkey, 0, n1, n2, 0, 0, m_eff FROM params
    UNION ALL
-   SELECT r_regionkey, i + 1,
-          CASE WHEN {sql_draw(SEED, 'CAST(r_regionkey AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN a - 1 ELSE a END,
-          CASE WHEN {sql_draw(SEED, 'CAST(r_regionkey AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN b ELSE b - 1 END,
-          CASE WHEN {sql_draw(SEED, 'CAST(r_regionkey AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c1 + 1 ELSE c1 END,
-          CASE WHEN {sql_draw(SEED, 'CAST(r_regionkey AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c2 ELSE c2 + 1 END,
-          m_eff
-   FROM fold WHERE i < m_eff),
- final AS (SELECT f.r_regionkey, f.c1, f.c2, p.lnat, p.rnat, p.n1 + p.n2 AS n, p.m_eff
-           FROM fold f JOIN params p ON f.r_regionkey = p.r_regionkey WHERE f.i = p.m_eff)
-SELECT f.r_regionkey, CAST(c.c_nationkey AS BIGINT) AS c_nationkey, c.c_custkey,
-       CAST(f.n AS BIGINT) AS n, CAST(f.m_eff AS BIGINT) AS k
-FROM final f JOIN cust c
-  ON (c.c_nationkey = f.lnat AND c.rk <= f.c1) OR (c.c_nationkey = f.rnat AND c.rk <= f.c2)
+   SELECT r_regionkey, i + 1, a - l, b - (1 - l), c1 + l, c2 + (1 - l), m_eff FROM (
+     SELECT *, CASE WHEN {sql_draw(SEED, 'merge', sql_id_text('r_regionkey'), 'i + 1', bound='a + b')} < a THEN 1 ELSE 0 END AS l
+     FROM fold WHERE i < m_eff))
+SELECT f.r_regionkey, c.side, c.c_custkey, CAST(p.n1 + p.n2 AS BIGINT) AS n, CAST(p.m_eff AS BIGINT) AS k
+FROM fold f JOIN params p ON f.r_regionkey = p.r_regionkey AND f.i = p.m_eff
+JOIN cust c ON c.r_regionkey = f.r_regionkey AND c.rk <= CASE WHEN c.side = 0 THEN f.c1 ELSE f.c2 END
 """)
 def q_merge_weighted(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("bigint"))
-    nation = table(spark, sf_dir, "nation")
-    summ = build_summary(cust, ["c_nationkey"], _MW_K, ["c_custkey", "c_nationkey"], ["c_custkey"], seed=SEED)
-    ends = nation.groupBy(F.col("n_regionkey").cast("bigint").alias("r_regionkey")).agg(
-        F.min("n_nationkey").cast("bigint").alias("lnat"), F.max("n_nationkey").cast("bigint").alias("rnat"))
-    # one row per region: Spark's size estimate decides the join strategy
-    left = summ.join(ends, summ.c_nationkey == ends.lnat).select("r_regionkey", "n", "k", "items")
-    right = summ.join(ends, summ.c_nationkey == ends.rnat).select("r_regionkey", "n", "k", "items")
-    merged = merge_weighted(left, right, ["r_regionkey"], _MW_M, seed=SEED)
-    ex = explode_summary(merged, ["r_regionkey"])
-    return ex.select("r_regionkey", F.col("value.c_nationkey").alias("c_nationkey"),
-                     F.col("value.c_custkey").alias("c_custkey"), "n", "k")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").cast("bigint").alias("r_regionkey"))
+    cust = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    cust = cust.select("c_custkey", "r_regionkey", (F.col("c_nationkey") % 2).alias("side"))
+    halves = build_summary(cust, ["r_regionkey", "side"], _MW_K, ["c_custkey", "side"], ["c_custkey"], seed=SEED)
+    even, odd = (halves.filter(F.col("side") == i).drop("side") for i in (0, 1))
+    merged = merge_weighted(even, odd, ["r_regionkey"], _MW_M, seed=SEED)
+    return explode_summary(merged, ["r_regionkey"]).select("r_regionkey", "value.side", "value.c_custkey", "n", "k")
 
 
 # --------------------------------------------------------- S1 F1 A7: range_merge_demo
+# The integer set split by parity, from the ids of a given table.
 @register("range_merge_demo", f"""
 SELECT priority, id, CAST(row_number() OVER (ORDER BY priority, id) AS BIGINT) AS sample_rank,
-       (SELECT count(*) FROM orders) AS n, CAST(200 AS BIGINT) AS k
-FROM (SELECT {_pri_sql('id')} AS priority, id
-      FROM (SELECT generate_series AS id FROM generate_series(1, (SELECT count(*) FROM orders))))
+       (SELECT count(*) FROM part) AS n, CAST(200 AS BIGINT) AS k
+FROM (SELECT {_pri_sql('p_partkey')} AS priority, p_partkey AS id FROM part)
 ORDER BY priority, id LIMIT 200
 """)
 def q_range_merge_demo(spark, sf_dir):
-    n = table(spark, sf_dir, "orders").count()
-    ids = integer_range(spark, 1, n, name="id")
-    odd = ids.filter(parity("id") == "odd")
-    even = ids.filter(parity("id") == "even")
-    s1 = build_summary(odd, [], 300, "id", ["id"], seed=SEED)
-    s2 = build_summary(even, [], 300, "id", ["id"], seed=SEED)
-    ex = explode_summary(merge_summaries(s1.unionByName(s2), [], 200), [])
-    return ex.select(PRIORITY, F.col("value").alias("id"), RANK, "n", "k")
+    ids = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    halves = build_summary(ids.withColumn("half", parity("id")), ["half"], 300, "id", ["id"], seed=SEED)
+    return explode_summary(merge_summaries(halves, [], 200), []).select(PRIORITY, F.col("value").alias("id"), RANK, "n", "k")
+
+
+def _render_sql(n: str, k: str, size: str, items: str) -> str:
+    """A rendered summary, spelled with the fixed values of ``summary.py``."""
+    return (f"'SamplePool{R.RENDER_AT}{R.RENDER_STREAM}' || {n} || ' {R.RENDER_SAMPLE}' || {k} || ' {R.RENDER_DATA_SIZE}' || {size} "
+            f"|| ' {R.RENDER_DATA}' || coalesce({items}, '') || '{R.RENDER_END}'")
 
 
 # --------------------------------------------------------- A11 S5 X4: summary_render
 @register("summary_render", f"""
-SELECT p_brand, 'SamplePool @  stream size: ' || max(n) || '  sample size: 5  sample data size: '
-       || count(*) || '  sample data: [' || string_agg(p_name, ', ' ORDER BY priority, p_partkey) || ']' AS text
+SELECT p_brand, {_render_sql('max(n)', '5', 'count(*)', "string_agg(coalesce(p_name, 'null'), ', ' ORDER BY priority, p_partkey)")} AS text
 FROM (
   SELECT p_brand, p_name, p_partkey, priority, count(*) OVER (PARTITION BY p_brand) AS n,
          row_number() OVER (PARTITION BY p_brand ORDER BY priority, p_partkey) AS rk
@@ -269,8 +238,8 @@ def q_summary_render(spark, sf_dir):
 # -------------------------------------------------------------- S3 X3: random_strings
 @register("random_strings", f"""
 SELECT event_id, array_to_string(list_transform(range(1, len + 1),
-         lambda i: chr(CAST(97 + {sql_draw(1, 'CAST(event_id AS VARCHAR)', 'i', bound='26')} AS INTEGER))), '') AS text
-FROM (SELECT event_id, 1 + {sql_draw(1, 'CAST(event_id AS VARCHAR)', "'len'", bound='10')} AS len FROM events)
+         lambda i: chr(CAST(97 + {sql_draw(1, 'letter', sql_id_text('event_id'), 'i', bound='26')} AS INTEGER))), '') AS text
+FROM (SELECT event_id, 1 + {sql_draw(1, 'len', sql_id_text('event_id'), bound='10')} AS len FROM events)
 """)
 def q_random_strings(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id")
@@ -279,26 +248,21 @@ def q_random_strings(spark, sf_dir):
 
 # ---------------------------------------- S3 A6 A8 A11: random_string_merge_render
 # The reference's two-source demo as a batch query: random strings for the
-# click events (seed 1) and the view events (seed 2), sampled with k=10 and
+# clicks (seed 1) and all other events (seed 2), sampled with k=10 and
 # k=15, merged with m=20 (Rule R lowers it to 10), each summary rendered.
 def _rs_sql(seed: int, kind: str) -> str:
     return f"""
     SELECT event_id, {_pri_sql('event_id')} AS priority,
            array_to_string(list_transform(range(1, len + 1),
-             lambda i: chr(CAST(97 + {sql_draw(seed, 'CAST(event_id AS VARCHAR)', 'i', bound='26')} AS INTEGER))), '')
+             lambda i: chr(CAST(97 + {sql_draw(seed, 'letter', sql_id_text('event_id'), 'i', bound='26')} AS INTEGER))), '')
              AS val
-    FROM (SELECT event_id, 1 + {sql_draw(seed, 'CAST(event_id AS VARCHAR)', "'len'", bound='10')} AS len
-          FROM events WHERE event_type = '{kind}')"""
-
-
-def _render_sql(n: str, k: str, size: str, items: str) -> str:
-    return (f"'SamplePool @  stream size: ' || {n} || '  sample size: ' || {k} || "
-            f"'  sample data size: ' || {size} || '  sample data: [' || coalesce({items}, '') || ']'")
+    FROM (SELECT event_id, 1 + {sql_draw(seed, 'len', sql_id_text('event_id'), bound='10')} AS len
+          FROM events WHERE {kind})"""
 
 
 @register("random_string_merge_render", f"""
-WITH c AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(1, 'click')})),
-     v AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(2, 'view')})),
+WITH c AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(1, "event_type = 'click'")})),
+     v AS (SELECT *, row_number() OVER (ORDER BY priority, event_id) AS rk FROM ({_rs_sql(2, "event_type <> 'click'")})),
      cs AS (SELECT count(*) AS n FROM c),
      vs AS (SELECT count(*) AS n FROM v),
      mm AS (SELECT cs.n + vs.n AS n,
@@ -323,8 +287,9 @@ FROM pooled WHERE rk <= (SELECT m FROM mm)
 def q_random_string_merge_render(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "event_type")
     sides = []
-    for seed, kind, k in ((1, "click", 10), (2, "view", 15)):
-        strings = random_strings(ev.filter(F.col("event_type") == kind), ["event_id"], seed=seed)
+    click = F.col("event_type") == "click"
+    for seed, side, k in ((1, click, 10), (2, ~click, 15)):
+        strings = random_strings(ev.filter(side), ["event_id"], seed=seed)
         sides.append(build_summary(strings, [], k, "text", ["event_id"], seed=SEED))
     merged = merge_summaries(sides[0].unionByName(sides[1]), [], 20)
     rendered = [summ.select(F.lit(kind).alias("kind"),
@@ -339,11 +304,10 @@ _RES_K = 100
 
 def _replay_sql(k: int, keys: str | None = None, upto: str | None = None) -> str:
     part = f"PARTITION BY {keys} " if keys else ""
-    key_part = f"CAST({keys} AS VARCHAR), " if keys else ""
     where = f"WHERE n <= {upto}" if upto else ""
     return f"""
     SELECT *, CASE WHEN n <= {k} THEN n
-                   ELSE 1 + {sql_draw(SEED, *( [f'CAST({keys} AS VARCHAR)'] if keys else []), 'n', bound='n')} END AS slot
+                   ELSE 1 + {sql_draw(SEED, 'slot', "''", *([sql_id_text(keys)] if keys else []), 'n', bound='n')} END AS slot
     FROM (SELECT *, row_number() OVER ({part}ORDER BY ts, event_id) AS n FROM events) {where}
     """
 
@@ -388,11 +352,11 @@ def q_reservoir_as_of(spark, sf_dir):
 
 
 # ----------------------------------------------- A4 + A8 + D6: reservoir_merge_weighted
-# Per user: the click reservoir (k=10) and the view reservoir (k=15), filled
+# Per user: the reservoir of clicks (k=10) and that of all other events (k=15), filled
 # by slot replacement in (ts, event_id) order, merged with the weighted
 # algorithm into m=20 items after a seeded permutation of each slot order.
 def _rmw_side_sql(kind: str, k: int, side: str) -> str:
-    kt = "CAST(user_id AS VARCHAR)"
+    kt = sql_id_text("user_id")
     return f"""
     SELECT user_id, event_id, n_all,
            row_number() OVER (PARTITION BY user_id ORDER BY
@@ -401,18 +365,18 @@ def _rmw_side_sql(kind: str, k: int, side: str) -> str:
       SELECT user_id, slot, arg_max(event_id, n) AS event_id, max(n_all) AS n_all
       FROM (
         SELECT *, CASE WHEN n <= {k} THEN n
-                       ELSE 1 + {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'n', bound='n')} END AS slot
+                       ELSE 1 + {sql_draw(SEED, 'slot', f"'{side}'", sql_id_text('user_id'), 'n', bound='n')} END AS slot
         FROM (SELECT user_id, event_id,
                      row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
                      count(*) OVER (PARTITION BY user_id) AS n_all
-              FROM events WHERE event_type = '{kind}'))
+              FROM events WHERE {kind}))
       WHERE slot <= {k} GROUP BY user_id, slot)"""
 
 
 _RMW_SQL = f"""
 WITH RECURSIVE
- l AS ({_rmw_side_sql('click', 10, 'L')}),
- r AS ({_rmw_side_sql('view', 15, 'R')}),
+ l AS ({_rmw_side_sql("event_type = 'click'", 10, 'L')}),
+ r AS ({_rmw_side_sql("event_type <> 'click'", 15, 'R')}),
  ls AS (SELECT user_id, max(n_all) AS n1, count(*) AS s1 FROM l GROUP BY user_id),
  rs AS (SELECT user_id, max(n_all) AS n2, count(*) AS s2 FROM r GROUP BY user_id),
  params AS (
@@ -425,10 +389,10 @@ WITH RECURSIVE
    SELECT user_id, 0, n1, n2, 0, 0, m_eff FROM params
    UNION ALL
    SELECT user_id, i + 1,
-          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN a - 1 ELSE a END,
-          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN b ELSE b - 1 END,
-          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c1 + 1 ELSE c1 END,
-          CASE WHEN {sql_draw(SEED, 'CAST(user_id AS VARCHAR)', 'i + 1', bound='a + b')} < a THEN c2 ELSE c2 + 1 END,
+          CASE WHEN {sql_draw(SEED, 'merge', sql_id_text('user_id'), 'i + 1', bound='a + b')} < a THEN a - 1 ELSE a END,
+          CASE WHEN {sql_draw(SEED, 'merge', sql_id_text('user_id'), 'i + 1', bound='a + b')} < a THEN b ELSE b - 1 END,
+          CASE WHEN {sql_draw(SEED, 'merge', sql_id_text('user_id'), 'i + 1', bound='a + b')} < a THEN c1 + 1 ELSE c1 END,
+          CASE WHEN {sql_draw(SEED, 'merge', sql_id_text('user_id'), 'i + 1', bound='a + b')} < a THEN c2 ELSE c2 + 1 END,
           m_eff
    FROM fold WHERE i < m_eff),
  final AS (SELECT f.user_id, f.c1, f.c2, p.n1 + p.n2 AS n, p.m_eff
@@ -444,10 +408,10 @@ FROM final f JOIN (SELECT user_id, event_id, pos, 'L' AS side FROM l
 def q_reservoir_merge_weighted(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     clicks = reservoir_summary(ev.filter(F.col("event_type") == "click"), ["user_id"], 10,
-                               ["ts", "event_id"], "event_id", seed=SEED)
-    views = reservoir_summary(ev.filter(F.col("event_type") == "view"), ["user_id"], 15,
-                              ["ts", "event_id"], "event_id", seed=SEED)
-    merged = merge_weighted(clicks, views, ["user_id"], 20, seed=SEED, permute=True)
+                               ["ts", "event_id"], "event_id", seed=SEED, salt="L")
+    others = reservoir_summary(ev.filter(F.col("event_type") != "click"), ["user_id"], 15,
+                               ["ts", "event_id"], "event_id", seed=SEED, salt="R")
+    merged = merge_weighted(clicks, others, ["user_id"], 20, seed=SEED)
     return explode_summary(merged, ["user_id"]).select("user_id", F.col("value").alias("event_id"), "n", "k")
 
 
@@ -457,7 +421,7 @@ def q_reservoir_merge_weighted(spark, sf_dir):
 _J1_CTES = """
  e AS (SELECT user_id, event_id, event_type = 'click' AS is_left,
               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
-       FROM events WHERE event_type IN ('click', 'view')),
+       FROM events),
  sm(user_id, rn, held_id, held_left, out_left, out_right, out_rf) AS (
    SELECT user_id, rn, event_id, is_left, NULL::BIGINT, NULL::BIGINT, NULL::BOOLEAN FROM e WHERE rn = 1
    UNION ALL
@@ -478,7 +442,7 @@ SELECT user_id, out_left AS left_id, out_right AS right_id, out_rf AS right_firs
 FROM sm WHERE out_left IS NOT NULL
 """)
 def q_pair_latest_unmatched(spark, sf_dir, strategy="auto"):
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
+    ev = table(spark, sf_dir, "events")
     side = F.col("event_type") == "click"
     return pair_latest_unmatched(ev, ["user_id"], side, ["ts", "event_id"], "event_id", strategy=strategy)
 
@@ -496,7 +460,7 @@ _AUDIT_SEEDS = 100
 WITH tagged AS (
   SELECT p_partkey, s.seed,
          row_number() OVER (PARTITION BY s.seed
-                            ORDER BY md5(concat_ws(':', CAST(s.seed AS VARCHAR), CAST(p_partkey AS VARCHAR))), p_partkey) AS rk
+                            ORDER BY md5(concat_ws(':', CAST(s.seed AS VARCHAR), {sql_id_text('p_partkey')})), p_partkey) AS rk
   FROM part, (SELECT generate_series AS seed FROM generate_series(1, {_AUDIT_SEEDS})) s)
 SELECT p.p_partkey, CAST(coalesce(t.times, 0) AS BIGINT) AS times
 FROM part p LEFT JOIN (SELECT p_partkey, count(*) AS times FROM tagged WHERE rk <= {_AUDIT_K} GROUP BY p_partkey) t
@@ -528,17 +492,18 @@ def q_stream_sample(spark, sf_dir):
 @register("stream_merge", f"""
 SELECT priority, event_id AS value,
        CAST(row_number() OVER (ORDER BY priority, event_id) AS BIGINT) AS sample_rank,
-       (SELECT count(*) FROM events WHERE event_type IN ('click', 'purchase')) AS n,
+       (SELECT count(*) FROM events) AS n,
        CAST(20 AS BIGINT) AS k
-FROM (SELECT {_pri_sql('event_id')} AS priority, event_id FROM events WHERE event_type IN ('click', 'purchase'))
+FROM (SELECT {_pri_sql('event_id')} AS priority, event_id FROM events)
 ORDER BY priority, event_id LIMIT 20
 """)
 def q_stream_merge(spark, sf_dir):
     from kpool.streaming.sample_stream import run_to_end, stream_merge, stream_sample
 
     ev = _event_stream(spark, sf_dir)
-    started = [stream_sample(ev.filter(F.col("event_type") == kind), [], 20, "event_id", ["event_id"], seed=SEED)
-               for kind in ("click", "purchase")]  # both streams run at the same time
+    click = F.col("event_type") == "click"
+    started = [stream_sample(ev.filter(side), [], 20, "event_id", ["event_id"], seed=SEED)
+               for side in (click, ~click)]  # both streams run at the same time
     for q, _ in started:
         run_to_end(q)
     merged = stream_merge(spark, [tdir for _, tdir in started], [], 20)
@@ -552,7 +517,7 @@ def _prefix_sample_sql(kind: str, k: int, bound: str) -> str:
     SELECT lp.user_id, ev.event_id, {_pri_sql('ev.event_id')} AS priority,
            count(*) OVER (PARTITION BY lp.user_id) AS cnt,
            row_number() OVER (PARTITION BY lp.user_id ORDER BY {_pri_sql('ev.event_id')}, ev.event_id) AS rk
-    FROM lp JOIN events ev ON ev.user_id = lp.user_id AND ev.event_type = '{kind}'
+    FROM lp JOIN events ev ON ev.user_id = lp.user_id AND {kind}
      AND (ev.ts < lp.{bound}_ts OR (ev.ts = lp.{bound}_ts AND ev.event_id <= lp.{bound}_id))"""
 
 
@@ -563,7 +528,7 @@ def _final_sample_sql(kind: str, label: str, k: int) -> str:
              count(*) OVER (PARTITION BY user_id) AS n,
              CAST(row_number() OVER (PARTITION BY user_id ORDER BY {_pri_sql('event_id')}, event_id) AS BIGINT)
                AS sample_rank
-      FROM events WHERE event_type = '{kind}')
+      FROM events WHERE {kind})
     WHERE sample_rank <= {k}"""
 
 
@@ -579,8 +544,8 @@ WITH RECURSIVE{_J1_CTES},
  lp AS (
    SELECT p.user_id, el.ts AS l_ts, el.event_id AS l_id, er.ts AS r_ts, er.event_id AS r_id
    FROM lastpair p JOIN events el ON el.event_id = p.out_left JOIN events er ON er.event_id = p.out_right),
- c AS ({_prefix_sample_sql('click', 10, 'l')}),
- v AS ({_prefix_sample_sql('view', 15, 'r')}),
+ c AS ({_prefix_sample_sql("event_type = 'click'", 10, 'l')}),
+ v AS ({_prefix_sample_sql("event_type <> 'click'", 15, 'r')}),
  cs AS (SELECT user_id, max(cnt) AS n1 FROM c GROUP BY user_id),
  vs AS (SELECT user_id, max(cnt) AS n2 FROM v GROUP BY user_id),
  mm AS (SELECT cs.user_id, n1 + n2 AS n,
@@ -594,25 +559,22 @@ WITH RECURSIVE{_J1_CTES},
 SELECT mm.user_id, 'merged' AS kind, CAST(mm.n AS BIGINT) AS n, CAST(mm.m_eff AS BIGINT) AS k,
        CAST(p.sample_rank AS BIGINT) AS sample_rank, p.priority, p.event_id AS value
 FROM mm JOIN pooled p ON p.user_id = mm.user_id AND p.sample_rank <= mm.m_eff
-UNION ALL {_final_sample_sql('click', 'sampled1', 10)}
-UNION ALL {_final_sample_sql('view', 'sampled2', 15)}
+UNION ALL {_final_sample_sql("event_type = 'click'", 'sampled1', 10)}
+UNION ALL {_final_sample_sql("event_type <> 'click'", 'sampled2', 15)}
 """
 
 
 @register("stream_paired_merge", _SP_SQL)
 def q_stream_paired_merge(spark, sf_dir):
     """Final summary per (user, kind) of the element-level paired stream over the
-    click stream (k=10) and the view stream (k=15), merged with m=20."""
-    from pyspark.sql import Window
-
+    click stream (k=10) and that of all other events (k=15), merged with m=20."""
     from kpool.streaming.paired import run_paired_stream
 
     ev = _event_stream(spark, sf_dir)
     clicks = ev.filter(F.col("event_type") == "click")
-    views = ev.filter(F.col("event_type") == "view")
-    out = run_paired_stream(clicks, views, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+    others = ev.filter(F.col("event_type") != "click")
+    out = run_paired_stream(clicks, others, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
                               k1=10, k2=15, m=20, seed=SEED)
     rows = spark.read.parquet(out)
-    last = rows.withColumn("_r", F.row_number().over(
-        Window.partitionBy("user_id", "kind").orderBy(F.col("seq").desc()))).filter(F.col("_r") == 1)
-    return explode_summary(last.select("user_id", "kind", "n", "k", "items"), ["user_id", "kind"])
+    last = rows.groupBy("user_id", "kind").agg(F.max_by(F.struct("n", "k", "items"), "seq").alias("s"))
+    return explode_summary(last.select("user_id", "kind", "s.*"), ["user_id", "kind"])

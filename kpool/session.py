@@ -3,7 +3,7 @@ that jobs use to cut lineage or keep streaming state."""
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -23,6 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # checkpoint files go when the plans that read them do; set it on a cluster too
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -34,13 +36,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` / the SparkContext).
-    Only when none is set -- as in local tests -- a folder is made and
-    registered, so that ``DataFrame.checkpoint()`` and streaming checkpoints
-    land in the same place.
+    Where none is set and the master is ``local`` -- as in tests -- a folder is
+    made and registered, so that ``DataFrame.checkpoint()`` and streaming
+    checkpoints land in the same place; on a cluster that raises, as executors
+    do not see the driver's folders.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpool-ckpt-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = base or tempfile.mkdtemp(prefix="kpool-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
     return base
@@ -52,12 +58,3 @@ def shared_dir(spark: SparkSession, *sub: str) -> str:
     for s in sub:
         path = f"{path}/{s}"
     return f"{path}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file APIs (tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -29,16 +29,32 @@ def read_messages(spark: SparkSession, fmt: str, options: dict | None = None, sc
     return df
 
 
-def summary_payload(summaries: DataFrame, label: str = "SamplePool", topic: str | None = None) -> DataFrame:
+def summary_payload(summaries: DataFrame, label: str = "SamplePool", topic: str | Column | None = None,
+                    prefix: str | Column | None = None) -> DataFrame:
     """Rows ready for a message sink: ``value`` = rendered summary as UTF-8
-    bytes, ``ingest_ts`` = when the row was written (T4, X4)."""
+    bytes, ``ingest_ts`` = when the row was written (T4, X4).
+
+    All other columns of ``summaries`` (keys, ``kind``, ...) are kept.
+    ``topic`` and ``prefix`` (text before the rendered summary) may be columns,
+    e.g. of ``kind``, so that one stream feeds several outputs."""
     text = render_summary(F.col("n"), F.col("k"), F.col("items"), label)
-    cols: list[Column] = [text.cast("binary").alias("value"), F.current_timestamp().alias("ingest_ts")]
+    if prefix is not None:
+        text = F.concat(prefix if isinstance(prefix, Column) else F.lit(prefix), text)
+    kept = [c for c in summaries.columns if c not in ("n", "k", "items", "value", "ingest_ts", "topic")]
+    cols: list[Column] = [*map(F.col, kept), text.cast("binary").alias("value"), F.current_timestamp().alias("ingest_ts")]
     if topic is not None:
-        cols.append(F.lit(topic).alias("topic"))
+        cols.append((topic if isinstance(topic, Column) else F.lit(topic)).alias("topic"))
     return summaries.select(*cols)
 
 
+def by_kind(values: dict[str, str], kind: str = "kind") -> Column:
+    """A column that maps ``kind`` to a topic or prefix; other kinds raise."""
+    out = F.raise_error(F.concat(F.lit("no output for kind "), F.coalesce(F.col(kind), F.lit("null")))).cast("string")
+    for name, value in values.items():
+        out = F.when(F.col(kind) == name, value).otherwise(out)
+    return out
+
+
 def kafka_records(payload: DataFrame) -> DataFrame:
     """Kafka sink columns: ``value`` (+ ``topic``), with the ingest time in a
     record header, since the sink takes only key/value/headers/topic/partition."""
@@ -51,14 +67,14 @@ def kafka_records(payload: DataFrame) -> DataFrame:
 
 
 def write_summaries(summaries: DataFrame, fmt: str, checkpoint: str, options: dict | None = None,
-                    output_mode: str = "append", label: str = "SamplePool", topic: str | None = None,
-                    path: str | None = None, trigger: dict | None = None):
+                    output_mode: str = "append", label: str = "SamplePool", topic: str | Column | None = None,
+                    prefix: str | Column | None = None, path: str | None = None, trigger: dict | None = None):
     """Start a stream writing rendered summaries (S5); returns the query."""
-    payload = summary_payload(summaries, label, topic if fmt == "kafka" else None)
+    payload = summary_payload(summaries, label, topic, prefix)
     if fmt == "kafka":
         payload = kafka_records(payload)
     elif fmt == "console":
-        payload = payload.select(F.col("value").cast("string").alias("value"), "ingest_ts")
+        payload = payload.withColumn("value", F.col("value").cast("string"))
     w = payload.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.options(**(options or {}))
     if trigger:

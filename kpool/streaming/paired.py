@@ -24,6 +24,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -35,6 +36,7 @@ from kpool.operators.sample import PRIORITY, check_size, with_priority
 from kpool.session import shared_dir
 
 
+ALL = "all_elements"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -105,7 +107,8 @@ class _PairedSampler(StatefulProcessor):
             n, items, pend_side, pend, seq = {1: 0, 2: 0}, {1: [], 2: []}, 0, (0, 0, []), 0
         out = []
         for side, pri, val in zip(batch["elem_side"], batch[PRIORITY], batch["elem_value"]):
-            side = int(side)
+            side, val = int(side), (val[0] if len(val) else None)
+            val = val.item() if isinstance(val, np.generic) else val
             n[side] += 1
             items[side] = _insert(items[side], (pri, val), self.k[side])
             seq += 1
@@ -151,12 +154,17 @@ def paired_sample_stream(
     summary the element-level paired stream emits (defaults k=10, m=10)."""
     for name, v in (("k1", k1), ("k2", k2), ("m", m)):
         check_size(name, v)
+    if not keys:  # global: one constant key, as the state needs a grouping
+        whole = paired_sample_stream(left.withColumn(ALL, F.lit(1)), right.withColumn(ALL, F.lit(1)), [ALL], value_col,
+                                     id_cols, order, k1, k2, m, seed)
+        return whole.drop(ALL)
     keys = list(keys)
 
     def prep(df: DataFrame, side: int) -> DataFrame:
         pdf = with_priority(df, id_cols, seed)
         return pdf.select(*keys, F.lit(side).alias("elem_side"), PRIORITY,
-                          F.col(value_col).alias("elem_value"),
+                          # none or one value: pandas would turn integers beside nulls into doubles
+                          F.when(F.col(value_col).isNotNull(), F.array(value_col)).otherwise(F.slice(F.array(value_col), 1, 0)).alias("elem_value"),
                           *[F.col(c).alias(f"elem_order{i}") for i, c in enumerate(order)])
 
     both = prep(left, 1).unionByName(prep(right, 2))

@@ -3,12 +3,18 @@
 import hashlib
 
 
-def md5_hex(*parts) -> str:
-    return hashlib.md5(":".join(str(p) for p in parts).encode()).hexdigest()
+def part(value) -> str:
+    """Identity text of one value."""
+    return "-" if value is None else f"{len(str(value))}#{value}"
 
 
-def draw(seed, *parts, bound):
-    h = md5_hex(seed, *parts)
+def md5_hex(seed, *ids) -> str:
+    """Priority of a row."""
+    return hashlib.md5(":".join([str(seed), *map(part, ids)]).encode()).hexdigest()
+
+
+def draw(seed, purpose, *parts, bound):
+    h = hashlib.md5(":".join(str(p) for p in (seed, purpose, *parts)).encode()).hexdigest()
     return int(h[:15], 16) % bound
 
 
@@ -25,15 +31,15 @@ def pair_state_machine(seq):
     return out
 
 
-def reservoir(seq_ids, k, seed, key_text=None):
+def reservoir(seq_ids, k, seed, key_text=None, salt=""):
     """Slot-replacement reservoir with the same draws as kpool."""
     slots = {}
     for n, ident in enumerate(seq_ids, start=1):
         if n <= k:
             s = n
         else:
-            parts = ([key_text] if key_text is not None else []) + [n]
-            s = 1 + draw(seed, *parts, bound=n)
+            parts = [salt] + ([part(key_text)] if key_text is not None else []) + [n]
+            s = 1 + draw(seed, "slot", *parts, bound=n)
         if s <= k:
             slots[s] = (n, ident)
     return slots

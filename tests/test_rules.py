@@ -1,0 +1,169 @@
+"""Rules that hold whatever the data: independent draws, checks that fire, no
+work while planning, histories that are never lost."""
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from kpool.functions.tags import row_priority
+from kpool.operators.merge import merge_summaries, merge_weighted
+from kpool.operators.reservoir import reservoir_candidates, reservoir_summary
+from kpool.operators.sample import sample_by_key, sample_k
+from kpool.operators.summary import build_summary, render_summary
+from kpool.sources.messages import by_kind, summary_payload
+from kpool.streaming.paired import run_paired_stream
+from kpool.streaming.sample_stream import latest_summary, run_to_end, stream_merge, stream_sample
+
+N, K, KEYS = 40, 10, 3000
+
+
+def _side(spark):
+    return spark.range(KEYS * N).select((F.col("id") % KEYS).alias("key"), F.floor(F.col("id") / KEYS).alias("i"))
+
+
+def test_reservoirs_with_salts_decide_independently(spark):
+    rows = _side(spark)
+    last = [reservoir_candidates(rows, K, ["i"], ["key"], seed=5, salt=s).filter(F.col("i") == N - 1).select("key") for s in "LR"]
+    share = [x.count() / KEYS for x in last]
+    both = last[0].join(last[1], "key").count() / KEYS
+    assert all(abs(s - K / N) < 0.03 for s in share) and abs(both - (K / N) ** 2) < 0.02
+
+
+def test_pairs_after_weighted_merge_are_uniform(spark):
+    rows = _side(spark)
+    left, right = (reservoir_summary(rows, ["key"], K, ["i"], "i", seed=5, salt=s) for s in "LR")
+    items = F.transform("items", lambda x: x["value"])
+    merged = merge_weighted(left, right, ["key"], K, seed=5).select(F.size(F.filter(items, lambda v: v == N - 1)).alias("n"))
+    pair = merged.filter("n = 2").count() / KEYS
+    assert abs(pair - K * (K - 1) / (2 * N * (2 * N - 1))) < 0.008
+
+
+def test_identity_is_one_to_one(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a:b", "c", t), ("a", "b:c", t), ("a", None, t), ("a", "-", t), ("a", "\\N", t), ("a", "-", t + dt.timedelta(microseconds=1))], "x string, y string, t timestamp")
+    assert df.select(row_priority(df, 1, ["x", "y", "t"]).alias("p")).distinct().count() == 6
+    ntz = df.select("x", "y", F.col("t").cast("timestamp_ntz").alias("t"))
+    assert ntz.select(row_priority(ntz, 1, ["x", "y", "t"]).alias("p")).distinct().count() == 6
+
+
+def _fails(df):
+    with pytest.raises(PySparkException):
+        df.collect()
+
+
+def test_short_error_fires_whatever_is_read(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, g string")
+    _fails(build_summary(df, ["g"], 2, "id", ["id"], short="error").select("g"))
+    _fails(sample_by_key(df, ["g"], 2, ["id"], short="error").select("id"))
+    _fails(sample_k(df, 4, ["id"], short="error").select("id"))
+    _fails(sample_k(df.filter("id > 9"), 1, ["id"], short="error").select("id"))
+    assert sample_k(df, 3, ["id"], short="error").count() == 3
+    assert build_summary(df, ["g"], 1, "id", ["id"], short="error").count() == 2
+    whole = build_summary(df, [], 3, "id", ["id"])
+    _fails(merge_summaries(whole, [], 50, short="error").select(F.lit(1)))
+    empty = build_summary(df.filter("id > 9"), [], 3, "id", ["id"])
+    _fails(merge_weighted(whole, empty, [], 2, short="error").select(F.lit(1)))
+    assert sample_k(spark.range(30), id_cols=["id"]).count() == 10
+
+
+def test_unsafe_merges_raise(spark):
+    df = spark.range(1000)
+    plain = build_summary(df, [], 100, "id", ["id"])
+    reservoir = reservoir_summary(df, [], 100, ["id"], "id")
+    _fails(merge_summaries(plain.unionByName(reservoir), [], 10).select("items"))
+    _fails(merge_summaries(merge_weighted(plain, reservoir, [], 10), [], 5).select("items"))
+    _fails(merge_weighted(plain.union(plain), plain, [], 10).select("n"))
+
+
+def test_null_items_are_rendered(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "id long, v string")
+    s = build_summary(df, [], 5, "v", ["id"])
+    text = s.select(render_summary(F.col("n"), F.col("k"), F.col("items"))).first()[0]
+    assert "sample data size: 2" in text and "null" in text and "x" in text
+
+
+def test_building_a_sample_runs_no_job(spark):
+    sc = spark.sparkContext
+    joined = spark.read.parquet(f"{SF_SMALL}/orders.parquet").join(spark.read.parquet(f"{SF_SMALL}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey"))
+    sc.setJobGroup("planning", "planning")
+    built = sample_k(joined, 20, ["o_orderkey"]), build_summary(joined, ["c_mktsegment"], 5, "o_orderkey", ["o_orderkey"])
+    assert len(sc.statusTracker().getJobIdsForGroup("planning")) == 0
+    sc.setJobGroup("other", "other")
+    assert built[0].count() == 20
+
+
+@pytest.mark.parametrize("k", [1001, 50_000])
+def test_large_k_is_pruned_before_the_shuffle(spark, k):
+    rows = spark.range(200_000).select("id", (F.col("id") % 2).alias("g"))
+    for keys in ([], ["g"]):
+        got = sample_by_key(rows, keys, k, ["id"], seed=2)
+        assert "ExistingRDD" in got._jdf.queryExecution().toString()  # ranks only what the threshold left
+        want = rows.withColumn("p", row_priority(rows, 2, ["id"]))
+        want = want.orderBy("p").limit(k) if not keys else want.withColumn("r", F.expr("row_number() over (partition by g order by p)")).filter(F.col("r") <= k)
+        assert got.select("id").exceptAll(want.select("id")).count() == 0 and got.count() == k * max(1, 2 * len(keys))
+        parts = build_summary(rows.withColumn("part", F.col("id") % 3), [*keys, "part"], k, "id", ["id"], seed=2)
+        merged = merge_summaries(parts, keys, k).select(F.explode("items.value").alias("id"))
+        assert merged.exceptAll(want.select("id")).count() == 0
+
+
+SCHEMA = "id long, g string"
+
+
+def _batches(spark, tmp_path, n=3):
+    for b in range(n):
+        spark.range(b * 100, b * 100 + 100).select("id", F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g")).coalesce(1).write.parquet(f"{tmp_path}/in/{b}")
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+
+
+def test_stream_over_batches_equals_batch(spark, tmp_path):
+    stream = _batches(spark, tmp_path)
+    q, table = stream_sample(stream, ["g"], 10, "id", ["id"], seed=3)
+    run_to_end(q)
+    want = build_summary(spark.range(300).select("id", F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g")), ["g"], 10, "id", ["id"], seed=3)
+    assert sorted(latest_summary(spark, table).select("g", "n", "k", "items").collect()) == sorted(want.select("g", "n", "k", "items").collect())
+    other, folder = stream_sample(stream, [], 10, "id", ["id"], seed=3)
+    run_to_end(other)
+    assert stream_merge(spark, [folder], [], 5).first()["n"] == 300
+    with pytest.raises(ValueError):
+        stream_merge(spark, [folder, f"{tmp_path}/none"], [], 5)
+
+
+def test_unreadable_history_raises(spark, tmp_path):
+    spark.range(10).select("id", F.lit("a").alias("g")).write.parquet(f"{tmp_path}/in/0")
+    stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    args = dict(table_dir=f"{tmp_path}/table", checkpoint=f"{tmp_path}/ckpt")
+    q, table = stream_sample(stream, ["g"], 5, "id", ["id"], **args)
+    run_to_end(q)
+    assert latest_summary(spark, table).first()["n"] == 10
+    slot = f"{tmp_path}/table/slot=0"
+    for name in os.listdir(slot):
+        if name.endswith(".parquet") or name.endswith(".crc"):
+            with open(f"{slot}/{name}", "wb") as f:
+                f.write(b"broken")
+    spark.range(10, 20).select("id", F.lit("a").alias("g")).write.parquet(f"{tmp_path}/in/1")
+    with pytest.raises(Exception):
+        run_to_end(stream_sample(stream, ["g"], 5, "id", ["id"], **args)[0])
+    with pytest.raises(Exception):
+        latest_summary(spark, table)
+
+
+def test_paired_stream_is_exact_beside_nulls_and_global(spark, tmp_path):
+    big = 2**53
+    rows = [(i, None if i % 5 == 0 else big + i, i % 2) for i in range(60)]
+    spark.createDataFrame(rows, "id long, v long, side int").coalesce(1).write.parquet(f"{tmp_path}/in/0")
+    stream = spark.readStream.schema("id long, v long, side int").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    out = run_paired_stream(stream.filter("side = 0"), stream.filter("side = 1"), [], "v", ["id"], ["id"], k1=10, k2=10, m=10)
+    got = spark.read.parquet(out)
+    assert got.columns == ["seq", "kind", "n", "k", "items"]
+    values = {r[0] for r in got.select(F.explode("items.value")).collect()}
+    assert values <= {v for _, v, _ in rows} and None in values
+    assert got.filter("kind = 'merged'").count() == 30  # strictly alternating sides pair every second element
+    topics = {"sampled1": "t1", "sampled2": "t2", "merged": "t3"}
+    sent = summary_payload(got, topic=by_kind(topics), prefix=by_kind({k: f"{k}: " for k in topics}))
+    assert {(r.kind, r.topic) for r in sent.select("kind", "topic").distinct().collect()} == set(topics.items())
+    assert all(bytes(r.value).decode().startswith(r.kind + ": SamplePool") for r in sent.limit(20).collect())
+    _fails(summary_payload(got, topic=by_kind({"merged": "t3"})))

@@ -3,7 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from helpers import draw
+from helpers import draw, part
 from kpool.operators.summary import build_summary, render_summary
 from kpool.sources.generators import integer_range, random_strings
 from kpool.sources.messages import read_messages, summary_payload, write_summaries
@@ -23,8 +23,8 @@ def test_random_strings_shape_and_python_twin(spark):
     assert set(lengths) == set(range(1, 11))
     assert set(letters) == set("abcdefghijklmnopqrstuvwxyz")
     for r in rows[:50]:
-        n = 1 + draw(1, r.id, "len", bound=10)
-        assert r.text == "".join(chr(97 + draw(1, r.id, i, bound=26)) for i in range(1, n + 1))
+        n = 1 + draw(1, "len", part(r.id), bound=10)
+        assert r.text == "".join(chr(97 + draw(1, "letter", part(r.id), i, bound=26)) for i in range(1, n + 1))
 
 
 def test_random_strings_on_a_stream(spark, tmp_path):
@@ -44,7 +44,7 @@ def test_payload_is_rendered_utf8_with_ingest_time(spark):
     part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
     summ = build_summary(part, ["p_brand"], 3, "p_name", ["p_partkey"], seed=1)
     pay = summary_payload(summ, topic="samples")
-    assert dict(pay.dtypes) == {"value": "binary", "ingest_ts": "timestamp", "topic": "string"}
+    assert dict(pay.dtypes) == {"p_brand": "string", "value": "binary", "ingest_ts": "timestamp", "topic": "string"}
     texts = sorted(bytes(r.value).decode("utf-8") for r in pay.collect())
     want = sorted(r.t for r in summ.select(render_summary(F.col("n"), F.col("k"), F.col("items")).alias("t")).collect())
     assert texts == want
