@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpool.llm._io import Scratch, fresh
+from kpool.llm._io import Scratch, fresh, ship
 from kpool.llm._tree import MAX_EPOCHS, SEED, WEIGHTS, levels
 from kpool.llm.mixing import mix, repeat_copies
 from kpool.llm.packing import pack, token_pieces
@@ -63,6 +63,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), Scratch()
     for name, stage in STAGES:
         now = Scratch()

@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import atexit
+import os
+import shutil
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpool.session import ensure_checkpoint_dir, shared_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let executors import this package: once a Spark application, it is added
+    as a Python file, unless PYTHONPATH (which workers inherit) holds it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    app = spark.sparkContext.applicationId
+    if root in known or app in _SHIPPED:
+        return
+    folder = tempfile.mkdtemp(prefix="kpool-package-")  # the driver serves the file as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    tree = os.path.join(folder, "tree")
+    shutil.copytree(os.path.join(root, "kpool"), os.path.join(tree, "kpool"), ignore=shutil.ignore_patterns("__pycache__"))
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "kpool-package"), "zip", tree))
+    _SHIPPED.add(app)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once, as a reliable checkpoint in ``spark.checkpoint.dir``.
     For narrow tables (ids, counts, links); tables with texts use ``Scratch``."""

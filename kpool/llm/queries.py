@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpool.llm._io import ship
 from kpool.llm._tree import MAX_EPOCHS, SEED, WEIGHTS, levels
 from kpool.llm._tree import ORACLE as MIX_SQL
 from pyspark.sql import functions as F
@@ -18,7 +19,11 @@ SEQUENCE = 4096
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
