@@ -30,19 +30,24 @@ MANY = 48  # repeated windows up to which membership is by search, else by sorti
 RULES = (
     ("length", "n_words", 50, 100_000, 100, 50_000),
     ("word_length", "mean_word", 2.5, 12.0, 3.0, 9.0),
-    ("symbols", "symbol_share", None, 0.10, 0.0, 0.01),
+    ("symbols", "symbol_share", None, 0.05, 0.0, 0.005),
+    ("symbol_ratio", "symbols_a_word", None, 0.10, 0.0, 0.02),
+    ("bare_words", "bare_share", None, 0.20, 0.0, 0.10),
     ("line_repeats", "line_share", None, 0.30, 0.0, 0.10),
     ("window_repeats", "window_share", None, 0.35, 0.0, 0.15),
     ("variety", "variety", 0.15, None, 0.30, 1.0),
-    ("letters", "letter_share", 0.70, None, 0.85, 1.0),
+    ("letters", "letter_share", 0.80, None, 0.90, 1.0),
 )
 
+#: Where EM starts: P(vote | good), P(vote | bad).  A rule rarely says bad of a good text.
+START = {1: (0.90, 0.50), 0: (0.08, 0.20), -1: (0.02, 0.30)}
+
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (and the
     shares the rules read) to ``docs``."""
     t = F.coalesce(F.col(text), F.lit(""))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_letters"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_letters", "n_bare"]
     docs = docs.drop(*[c for c in docs.columns if c in names])
     trimmed = F.regexp_replace(t, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
     docs = docs.withColumn("_w", F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE)).otherwise(F.array().cast("array<string>")))
@@ -69,6 +74,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words": F.coalesce(F.when(F.size("_p") > 0, cover), F.lit(0)).cast("long"),
         "n_lines": F.size("_l").cast("long"),
         "n_distinct": F.size(F.array_distinct("_w")).cast("long"),
+        # words without a letter
+        "n_bare": F.regexp_count(t, F.lit("(?<![^\\x20\\x09-\\x0D])[^\\p{L}\\x20\\x09-\\x0D]+(?![^\\x20\\x09-\\x0D])")).cast("long"),
         "n_letters": F.length(F.regexp_replace(t, "[^\\p{L}]", "")).cast("long"),
     }).drop("_w", "_g", "_r", "_o", "_p", "_l")
 
@@ -80,6 +87,7 @@ def _share(a: str, b: str) -> Column:
 def votes(measured: DataFrame) -> Column:
     """Array of votes, one for each of RULES."""
     shares = {"n_words": F.col("n_words"), "mean_word": _share("word_chars", "n_words"), "symbol_share": _share("n_symbols", "word_chars"),
+              "symbols_a_word": _share("n_symbols", "n_words"), "bare_share": _share("n_bare", "n_words"),
               "line_share": _share("n_dup_lines", "n_lines"), "window_share": _share("n_repeat_words", "n_words"),
               "variety": _share("n_distinct", "n_words"), "letter_share": _share("n_letters", "word_chars")}
 
@@ -93,17 +101,16 @@ def votes(measured: DataFrame) -> Column:
 
 
 def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, tolerance: float = 1e-7,
-                    prior: float = 0.8, accuracy: float = 0.8) -> tuple[float, list[dict[int, tuple[float, float]]]]:
+                    prior: float = 0.8) -> tuple[float, list[dict[int, tuple[float, float]]]]:
     """EM over counted vote patterns.  Returns the share of good texts and, for
     each rule, {vote: (P(vote | good), P(vote | bad))}.
 
-    It starts from ``accuracy`` for votes that agree with the class, so that
-    class 'good' stays the one the rules vote for; counts are smoothed by one.
+    It starts from START for every rule, so that class 'good' stays the one
+    the rules vote for; counts are smoothed by one.
     """
     rules = len(patterns[0][0]) if patterns else 0
     total = sum(n for _, n in patterns)
-    given = [{v: (accuracy if v > 0 else 1 - accuracy if v < 0 else 0.5, 1 - accuracy if v > 0 else accuracy if v < 0 else 0.5)
-              for v in (-1, 0, 1)} for _ in range(rules)]
+    given = [dict(START) for _ in range(rules)]
     before = -math.inf
     for _ in range(rounds):
         good = 0.0

@@ -26,7 +26,8 @@ def quality(rows):
         n, chars, symbols, dup, repeats, failed = base_counts(t)
         w, lines = WORDS.findall(t), [x for x in t.split("\n") if WORDS.search(x)]
         share = lambda a, b: a / b if b else 0.0
-        of = {"n_words": n, "mean_word": share(chars, n), "symbol_share": share(symbols, chars), "line_share": share(dup, len(lines)),
+        of = {"n_words": n, "mean_word": share(chars, n), "symbol_share": share(symbols, chars),
+              "symbols_a_word": share(symbols, n), "bare_share": share(sum(not any(c.isalpha() for c in x) for x in w), n), "line_share": share(dup, len(lines)),
               "window_share": share(repeats, n), "variety": share(len(set(w)), n), "letter_share": share(sum(c.isalpha() for c in t), chars)}
         v = []
         for _, key, low, high, a, b in Q.RULES:
