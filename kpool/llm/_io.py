@@ -40,6 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession, name: str):
+    """A fresh folder in the shared folder, deleted when the driver's JVM ends:
+    its path, and the file system and path object that delete it earlier."""
+    path = shared_dir(spark, name)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)  # only what exists can be registered
+    files.deleteOnExit(where)
+    return path, files, where
+
+
 class Scratch:
     """Tables computed once, as compressed Parquet in the shared folder, until
     ``drop``; those left are deleted when the driver's JVM ends.  For tables
@@ -50,11 +61,8 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         spark = df.sparkSession
-        path = shared_dir(spark, name)
-        df.write.parquet(path)
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.deleteOnExit(where)
+        path, files, where = scratch_folder(spark, name)
+        df.write.mode("overwrite").parquet(path)
         self.places.append((files, where))
         return spark.read.schema(df.schema).parquet(path)
 

@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut, running_start, text_bytes
-from kpool.session import shared_dir
+from kpool.llm._io import cut, running_start, scratch_folder, text_bytes
 
 MAGIC = b"KPTOKEN1"
 BLOCK = 1 << 16
@@ -240,14 +239,15 @@ class Shard:
 def write_token_shards(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id",
                        text: str = "text") -> DataFrame:
     """Encode whole texts, append the end id to each, and write one bit-packed
-    file per range of ids.  Returns the manifest (shard, path, n_docs, n_ids,
+    file per range of ids.  Without ``folder`` the files live in the shared folder
+    until the driver ends.  Returns the manifest (shard, path, n_docs, n_ids,
     start): shards ascend in ``id_col``; ``start`` counts the ids before.
 
     A task writes under a name of its own, and the manifest holds the names of
     the attempts that ended well, so a retried task leaves no wrong shard.
     """
     spark = docs.sparkSession
-    folder = folder or shared_dir(spark, "tokens")
+    folder = folder or scratch_folder(spark, "tokens")[0]
     bits = vocabulary_bits(tokenizer)
     end = np.array([END_ID], "<u4").tobytes()
 
