@@ -29,6 +29,7 @@ from kpool.llm._io import cut
 NONE = "(none)"
 HEX = 4  # digits of the order that name a slice
 BUCKETS = 16 ** HEX
+BROADCAST_LEAVES = 100_000  # about 10 MB; more leaves are joined by a shuffle
 
 
 def word_tokens(text: str) -> Column:
@@ -130,6 +131,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str,
     leaves = narrow.groupBy(*inner).agg(F.sum("_tokens").alias("tokens"))
     plan = cut(budgets(leaves, inner, dict(zip(inner, (weights.get(n, {}) for n in names))), total, max_epochs))
     ends = cut(_slices(narrow, plan, inner, seed))
+    if ends.count() <= BROADCAST_LEAVES:  # counted: texts need not move to meet their leaf
+        ends = F.broadcast(ends)
     if narrow_result:
         got = select_epochs(narrow, ends, inner, F.col("_tokens"), seed, "_id", F.col("_tie"))
         return got.select(F.col("_id").alias(id_col), *(F.col(i).alias(n) for i, n in zip(inner, names)), F.col("_tokens").alias("tokens"), F.col("copies").alias(copies))
