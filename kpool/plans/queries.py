@@ -564,17 +564,45 @@ UNION ALL {_final_sample_sql("event_type <> 'click'", 'sampled2', 15)}
 """
 
 
-@register("stream_paired_merge", _SP_SQL)
-def q_stream_paired_merge(spark, sf_dir):
-    """Final summary per (user, kind) of the element-level paired stream over the
-    click stream (k=10) and that of all other events (k=15), merged with m=20."""
+def _paired_changelog(spark, sf_dir) -> str:
+    """The element-level paired stream of clicks (k=10) and all other events
+    (k=15), merged with m=20: folder of every summary it emitted."""
     from kpool.streaming.paired import run_paired_stream
 
     ev = _event_stream(spark, sf_dir)
-    clicks = ev.filter(F.col("event_type") == "click")
-    others = ev.filter(F.col("event_type") != "click")
-    out = run_paired_stream(clicks, others, ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
-                              k1=10, k2=15, m=20, seed=SEED)
-    rows = spark.read.parquet(out)
+    click = F.col("event_type") == "click"
+    return run_paired_stream(ev.filter(click), ev.filter(~click), ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
+                             k1=10, k2=15, m=20, seed=SEED)
+
+
+@register("stream_paired_merge", _SP_SQL)
+def q_stream_paired_merge(spark, sf_dir):
+    """Final summary per (user, kind) of the paired stream."""
+    rows = spark.read.parquet(_paired_changelog(spark, sf_dir))
     last = rows.groupBy("user_id", "kind").agg(F.max_by(F.struct("n", "k", "items"), "seq").alias("s"))
     return explode_summary(last.select("user_id", "kind", "s.*"), ["user_id", "kind"])
+
+
+# ------------------------------------------------- S5 S6 X4 T4: stream_outputs
+# The paired stream's three kinds as one sink stream with a topic and a label
+# per kind, read back: the last message per user and topic.
+_TOPICS = {"sampled1": "clicks-sampled", "sampled2": "others-sampled", "merged": "merged"}
+
+
+@register("stream_outputs", f"""
+SELECT user_id, CASE kind WHEN 'sampled1' THEN 'clicks-sampled' WHEN 'sampled2' THEN 'others-sampled' ELSE 'merged' END AS topic,
+       kind || ': ' || {_render_sql('max(n)', 'max(k)', 'count(*)', "string_agg(CAST(value AS VARCHAR), ', ' ORDER BY sample_rank)")} AS text
+FROM ({_SP_SQL}) GROUP BY user_id, kind
+""")
+def q_stream_outputs(spark, sf_dir):
+    from kpool.session import shared_dir
+    from kpool.sources.messages import by_kind, write_summaries
+    from kpool.streaming.sample_stream import run_to_end
+
+    log = _paired_changelog(spark, sf_dir)
+    rows = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
+    sink = shared_dir(spark, "outputs")
+    run_to_end(write_summaries(rows, "parquet", shared_dir(spark, "outputs-ckpt"), path=sink, topic=by_kind(_TOPICS),
+                               prefix=by_kind({k: f"{k}: " for k in _TOPICS}), trigger={"availableNow": True}))
+    last = spark.read.parquet(sink).groupBy("user_id", "topic").agg(F.max_by("value", "seq").alias("value"))
+    return last.select("user_id", "topic", F.col("value").cast("string").alias("text"))
