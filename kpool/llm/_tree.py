@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def levels() -> dict[str, Column]:
-    number = F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "^src([0-9]{1,6})$", 1)
+    number = F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), "^src([0-9]{1,6})\\z", 1)
     number = F.when(number != "", number).cast("int")
     domain = F.when(number < 8, "web").when(number < 14, "reference").when(number.isNotNull(), "forum").otherwise("other")
     return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
@@ -37,7 +37,7 @@ def _level_sql(parent: str, children: str, keys: list[str], above: list[str], ou
 
 ORACLE = f"""
 WITH d0 AS (SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source, coalesce(text, '') AS text,
-    TRY_CAST(regexp_extract(coalesce(source, ''), '^src([0-9]{{1,6}})$', 1) AS INT) AS n FROM documents),
+    TRY_CAST(regexp_extract(coalesce(source, ''), '^src([0-9]{{1,6}})\\z', 1) AS INT) AS n FROM documents),
 d AS (SELECT doc_id, {_DOMAIN_SQL} AS domain, lang, source, md5(text) AS tie,
     len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens FROM d0),
 leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS t FROM d GROUP BY ALL HAVING sum(tokens) > 0),

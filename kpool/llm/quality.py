@@ -49,7 +49,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_letters", "n_bare"]
     docs = docs.drop(*[c for c in docs.columns if c in names])
-    trimmed = F.regexp_replace(t, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")
+    trimmed = F.regexp_replace(t, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+\\z", "")
     docs = docs.withColumn("_w", F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE)).otherwise(F.array().cast("array<string>")))
     docs = docs.withColumn("n_words", F.size("_w").cast("long"))
     # hashes of 3-word windows, one for each but the last two words

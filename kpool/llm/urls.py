@@ -69,7 +69,7 @@ def lexical(urls: DataFrame) -> DataFrame:
         "parameters": F.when(query != "", F.size(F.split(query, "&"))).otherwise(0).cast("double"),
         "hyphens": (F.length(u) - F.length(F.replace(u, F.lit("-")))).cast("double"),
         "fragment": F.contains(u, F.lit("#")).cast("double"),
-        "suffix": F.regexp_extract("host", "[^.]*$", 0),
+        "suffix": F.regexp_extract("host", "[^.]*\\z", 0),
     })
 
 

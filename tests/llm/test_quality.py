@@ -22,7 +22,7 @@ def brute(text):
 def test_base_counts_match_brute_force(spark):
     texts = [None, "", " \x0b\n ", "a", "a b", "a b c", "a a a a", "x y z x y z", "a b a b a b", "l1\nl1\n\nl2 é|ß\r\n l1\nl1",
              " ".join(f"w{i % 70}" for i in range(500)), "q " * 4000, "  nbsp is a word", "# * $ % & | < > ##",
-             "a\x1cb \x85 c", " ".join(f"v{i}" for i in range(60))]
+             "a\x1cb \x85 c", "abc  \x85", "x \u2028", " y\n\u2029\n", "\x85 z \r\n", " ".join(f"v{i}" for i in range(60))]
     df = spark.createDataFrame([(i if i % 4 else None, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
     got = [tuple(r[:7]) for r in Q.judge(df).collect()]
     want = [((i if i % 4 else None), *brute(t)) for i, t in enumerate(texts)]
