@@ -5,31 +5,24 @@ item is held.  An arrival of the other side pairs with it and clears it; an
 arrival of the same side replaces it (the older one is dropped); the
 arriving item is not kept after a match.
 
-Closed form (no per-row state machine): cut each key's sequence into maximal
-same-side runs.  Run i "ends pending" (its last item is held afterwards)
-iff its length is >= 2, or it has length 1 and run i-1 did not end pending;
-the first run starts with nothing held.  Hence, with s_i = number of
-length-1 runs among runs 1..i and j = the last run <= i with length >= 2:
-pending_i = (s_i - s_j) even if j exists, else s_i odd.  A pair is emitted at
-the first item of run i iff run i-1 ended pending, joining the last item of
-run i-1 with the first item of run i.
-
-Two plans compute it:
-
-* ``strategy="window"`` -- ``lag`` / running ``sum`` / ``last(ignorenulls)``
-  windows per key plus one aggregation per run.  Spills, parallel across
-  keys, but one key is one task.
-* ``strategy="distributed"`` -- no window over a whole key.  Positions come
-  from ``ordinal`` (range-partitioned, so a hot key spans many tasks); every
-  other step is an equi-join or aggregation on (key, position):
-  run starts/ends from one groupBy of (own, previous, next) side tags; the
-  run number r of a start is its ordinal among starts; a run ends one before
-  the next start.  A run of length >= 2 ends pending; for a length-1 run at
-  r with s length-1 runs up to r, q = r - s long runs precede it; joining
-  the q-th long run (its run number r_q) gives its place p = r - r_q in the
-  block of length-1 runs after it, and pending = p even (p odd when q = 0).
-* ``"auto"`` counts rows per key and switches to ``distributed`` when one
-  key holds more than ``HOT_KEY_ROWS`` rows.
+One plan for all sizes.  The rows are range-partitioned by (keys, order), so a
+key that holds a third of all rows spans many partitions; the rows of a key in
+a partition are a *slice*.
+
+*Within a slice*, cut the rows into maximal same-side runs 1, 2, ...  What is
+held before the slice matters in one way only: either it is nothing or of the
+first run's side (case A: no pair at run 1, which ends with an item held), or
+it is of the other side (case B: it pairs with run 1's first item, and run 1
+ends with an item held iff it has more).  Later runs end with an item held iff
+they are longer than 1 or the run before did not.  So with j the last run <= i
+longer than 1, run i ends held iff i - j is even; without such a j, iff i is
+odd (A) or even (B).  A pair is emitted at run i >= 2 iff run i - 1 ended held,
+joining the last item of run i - 1 with the first item of run i.
+
+*Across slices*, the case of a slice is a function of the case of the key's
+slice before: constant, equal or opposite.  The case is thus that of the last
+constant, turned over by the number of opposites since: running windows over
+one row per slice.
 """
 
 from __future__ import annotations
@@ -39,10 +32,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpool.operators.ordinal import ordinal
+from kpool.operators.ordinal import LOW_BITS
+from kpool.plans.layout import materialize
 
-# A key with more rows than this is paired by the distributed plan.
-HOT_KEY_ROWS = 5_000_000
+
+def _even(c: Column) -> Column:
+    return F.pmod(c, F.lit(2)) == 0
 
 
 def pair_latest_unmatched(
@@ -51,135 +46,73 @@ def pair_latest_unmatched(
     side: Column,
     order: Sequence,
     id_col: str,
-    strategy: str = "auto",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Pairs ``keys..., left_id, right_id, right_first`` from rows of ``df``.
 
     ``side`` is a boolean Column: true = left side, false = right side
     (rows where it is null are ignored).  ``order`` must be a total order
     within a key.  ``right_first`` is true when the held item was the right
-    one (the pair closed on a left arrival).
+    one (the pair closed on a left arrival).  ``num_partitions`` fixes the
+    number of range partitions (by default sized from the data).
     """
     keys = list(keys)
-    if strategy not in ("auto", "window", "distributed"):
-        raise ValueError("strategy must be 'auto', 'window' or 'distributed'")
-    if strategy == "auto":
-        biggest = (df.filter(side.isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-                   .agg(F.max("_c").alias("_m")).first())
-        hot = biggest is not None and biggest["_m"] is not None and biggest["_m"] > HOT_KEY_ROWS
-        strategy = "distributed" if hot else "window"
-    if strategy == "distributed":
-        return _pairs_distributed(df, keys, side, order, id_col)
-    return _pairs_window(df, keys, side, order, id_col)
-
-
-def _pairs_window(df: DataFrame, keys: list, side: Column, order: Sequence, id_col: str) -> DataFrame:
     ocols = [F.col(c) if isinstance(c, str) else c for c in order]
-    e = df.select(*keys, side.alias("_left"), F.struct(*ocols).alias("_o"), F.col(id_col).alias("_id")) \
+    onames = [f"_o{i}" for i in range(len(ocols))]
+    e = df.select(*keys, side.alias("_left"), *[c.alias(n) for c, n in zip(ocols, onames)], F.col(id_col).alias("_id")) \
         .filter(F.col("_left").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("_o")
-    prev = F.lag("_left").over(w)
+    by = [*keys, *onames]
+    ranged = e.repartitionByRange(*by) if num_partitions is None else e.repartitionByRange(num_partitions, *by)
+    ranged = ranged.sortWithinPartitions(*by).select(*keys, "_left", "_id", F.monotonically_increasing_id().alias("_at"))
+    # written once: range bounds come from a sample, and two readers could see different ones
+    e = materialize(ranged).withColumn("_pid", F.shiftright("_at", LOW_BITS))
+
+    in_slice = Window.partitionBy("_pid", *keys).orderBy("_at")
+    prev = F.lag("_left").over(in_slice)
     e = e.withColumn("_new", F.when(prev.isNull() | (prev != F.col("_left")), 1).otherwise(0))
-    e = e.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = e.groupBy(*keys, "_run").agg(
+    e = e.withColumn("_run", F.sum("_new").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = e.groupBy("_pid", *keys, "_run").agg(
         F.count(F.lit(1)).alias("_len"),
         F.first("_left").alias("_left"),
-        F.min_by("_id", "_o").alias("_first_id"),
-        F.max_by("_id", "_o").alias("_last_id"),
-    )
-    wr = Window.partitionBy(*keys).orderBy("_run")
-    upto = wr.rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("_s", F.sum(F.when(F.col("_len") == 1, 1).otherwise(0)).over(upto))
-    runs = runs.withColumn("_sj", F.last(F.when(F.col("_len") >= 2, F.col("_s")), ignorenulls=True).over(upto))
-    runs = runs.withColumn(
-        "_pending",
-        F.when(F.col("_sj").isNotNull(), F.pmod(F.col("_s") - F.col("_sj"), F.lit(2)) == 0)
-        .otherwise(F.pmod(F.col("_s"), F.lit(2)) == 1),
-    )
-    runs = runs.withColumn("_prev_pending", F.lag("_pending").over(wr)) \
-        .withColumn("_prev_last", F.lag("_last_id").over(wr))
-    pairs = runs.filter(F.col("_prev_pending"))
-    return pairs.select(
-        *keys,
-        F.when(F.col("_left"), F.col("_first_id")).otherwise(F.col("_prev_last")).alias("left_id"),
-        F.when(F.col("_left"), F.col("_prev_last")).otherwise(F.col("_first_id")).alias("right_id"),
-        F.col("_left").alias("right_first"),
-    )
-
-
-def _on(keys: list, other_suffix: str, extra: Sequence[tuple[str, str]] = ()) -> list[Column]:
-    cond = [F.col(c).eqNullSafe(F.col(f"{c}{other_suffix}")) for c in keys]
-    return cond + [F.col(a) == F.col(b) for a, b in extra]
-
-
-def _renamed(df: DataFrame, keys: list, suffix: str) -> DataFrame:
-    for c in keys:
-        df = df.withColumnRenamed(c, f"{c}{suffix}")
-    return df
-
-
-def _pairs_distributed(df: DataFrame, keys: list, side: Column, order: Sequence, id_col: str) -> DataFrame:
-    ocols = [F.col(c) if isinstance(c, str) else c for c in order]
-    e = df.select(*keys, side.alias("_left"), *[c.alias(f"_o{i}") for i, c in enumerate(ocols)],
-                  F.col(id_col).alias("_id")).filter(F.col("_left").isNotNull())
-    e = ordinal(e, [f"_o{i}" for i in range(len(ocols))], keys, out="_n") \
-        .select(*keys, "_n", "_left", "_id")
-
-    # own / previous / next side of every position: one shuffle on (key, n)
-    tags = (
-        e.select(*keys, "_n", F.col("_left").alias("_own"), "_id",
-                 F.lit(None).cast("boolean").alias("_prev"), F.lit(None).cast("boolean").alias("_next"))
-        .unionByName(e.select(*keys, (F.col("_n") + 1).alias("_n"), F.lit(None).cast("boolean").alias("_own"),
-                              F.lit(None).cast(e.schema["_id"].dataType).alias("_id"),
-                              F.col("_left").alias("_prev"), F.lit(None).cast("boolean").alias("_next")))
-        .unionByName(e.select(*keys, (F.col("_n") - 1).alias("_n"), F.lit(None).cast("boolean").alias("_own"),
-                              F.lit(None).cast(e.schema["_id"].dataType).alias("_id"),
-                              F.lit(None).cast("boolean").alias("_prev"), F.col("_left").alias("_next")))
+        F.min_by("_id", "_at").alias("_first_id"),
+        F.max_by("_id", "_at").alias("_last_id"),
     )
-    pos = tags.groupBy(*keys, "_n").agg(
-        F.max("_own").alias("_left"), F.max("_id").alias("_id"),
-        F.max("_prev").alias("_prev"), F.max("_next").alias("_next"),
-    ).filter(F.col("_left").isNotNull())
-    starts = pos.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_left"))) \
-        .select(*keys, F.col("_n").alias("_start"), "_left", F.col("_id").alias("_first_id"))
-    starts = ordinal(starts, ["_start"], keys, out="_r")
-
-    # a run ends one before the next run starts, or at the key's last position
-    nxt = _renamed(starts.select(*keys, (F.col("_r") - 1).alias("_r2"), F.col("_start").alias("_nstart")), keys, "_x")
-    last = _renamed(e.groupBy(*keys).agg(F.max("_n").alias("_last_n")), keys, "_y")
-    runs = (starts.join(nxt, _on(keys, "_x", [("_r", "_r2")]), "left")
-            .join(last, _on(keys, "_y"), "inner")
-            .select(*keys, "_r", "_left", "_start", "_first_id",
-                    F.coalesce(F.col("_nstart") - 1, F.col("_last_n")).alias("_end")))
-    ends = _renamed(e.select(*keys, F.col("_n").alias("_end2"), F.col("_id").alias("_last_id")), keys, "_z")
-    runs = runs.join(ends, _on(keys, "_z", [("_end", "_end2")]), "inner") \
-        .select(*keys, "_r", "_left", "_first_id", "_last_id",
-                (F.col("_end") - F.col("_start") + 1).alias("_len"))
-
-    # number single and long runs in one pass: ordinal keyed by (key, is_long)
-    kinds = ordinal(runs.select(*keys, "_r", (F.col("_len") >= 2).alias("_long")), ["_r"],
-                    keys + ["_long"], out="_i")
-    singles = kinds.filter(~F.col("_long")).select(*keys, "_r", F.col("_i").alias("_s"))
-    longs = kinds.filter(F.col("_long")).select(*keys, "_r", F.col("_i").alias("_q"))
-    longs_by_q = _renamed(longs.select(*keys, F.col("_q").alias("_q2"), F.col("_r").alias("_rq")), keys, "_w")
-    singles = singles.withColumn("_q", F.col("_r") - F.col("_s")) \
-        .join(longs_by_q, _on(keys, "_w", [("_q", "_q2")]), "left")
-    p = F.col("_r") - F.coalesce(F.col("_rq"), F.lit(0))
-    pend_single = singles.select(
-        *keys, "_r", F.when(F.col("_rq").isNull(), F.pmod(p, F.lit(2)) == 1)
-        .otherwise(F.pmod(p, F.lit(2)) == 0).alias("_pending"))
-    pend = pend_single.unionByName(longs.select(*keys, "_r", F.lit(True).alias("_pending")))
-
-    # run r pairs with run r-1 when run r-1 ended pending
-    prev_pending = _renamed(
-        pend.filter("_pending").select(*keys, (F.col("_r") + 1).alias("_rp")), keys, "_v")
-    prev_last = _renamed(runs.select(*keys, (F.col("_r") + 1).alias("_rl"), F.col("_last_id").alias("_prev_last")),
-                         keys, "_u")
-    pairs = (runs.join(prev_pending, _on(keys, "_v", [("_r", "_rp")]), "left_semi")
-             .join(prev_last, _on(keys, "_u", [("_r", "_rl")]), "inner"))
+    by_run = Window.partitionBy("_pid", *keys).orderBy("_run")
+    upto = by_run.rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("_j", F.last(F.when(F.col("_len") >= 2, F.col("_run")), ignorenulls=True).over(upto))
+    since = _even(F.col("_run") - F.col("_j"))
+    runs = runs.withColumn("_held_a", F.coalesce(since, ~_even(F.col("_run")))) \
+        .withColumn("_held_b", F.coalesce(since, _even(F.col("_run"))))
+    inner = runs.select("_pid", *keys, "_left", "_first_id", F.lag("_last_id").over(by_run).alias("_other_id"),
+                        F.lag("_held_a").over(by_run).alias("_pair_a"), F.lag("_held_b").over(by_run).alias("_pair_b")) \
+        .filter(F.col("_pair_a") | F.col("_pair_b"))
+
+    # one row per slice; the case of each: true = B
+    end = F.max_by(F.struct("_held_a", "_held_b", "_left", "_last_id"), "_run")
+    start = F.min_by(F.struct("_left", "_first_id"), "_run")
+    slices = runs.groupBy("_pid", *keys).agg(start.alias("_start"), end.alias("_end"))
+    by_pid = Window.partitionBy(*keys).orderBy("_pid") if keys else Window.orderBy("_pid")
+    before = F.lag("_end").over(by_pid)
+    turned = before["_left"] != F.col("_start._left")
+    slices = slices.withColumn("_before", before) \
+        .withColumn("_from_a", F.coalesce(before["_held_a"] & turned, F.lit(False))) \
+        .withColumn("_from_b", F.coalesce(before["_held_b"] & turned, F.lit(False)))
+    fixed, opposite = F.col("_from_a") == F.col("_from_b"), F.col("_from_a") & ~F.col("_from_b")
+    so_far = by_pid.rowsBetween(Window.unboundedPreceding, 0)
+    slices = slices.withColumn("_turns", F.sum(opposite.cast("int")).over(so_far))
+    mark = F.last(F.when(fixed, F.struct(F.col("_from_a").alias("b"), F.col("_turns").alias("t"))), ignorenulls=True).over(so_far)
+    slices = slices.withColumn("_mark", mark)
+    slices = slices.withColumn("_case_b", F.col("_mark.b") != ~_even(F.col("_turns") - F.col("_mark.t")))
+
+    cross = slices.filter("_case_b").select(*keys, F.col("_start._left").alias("_left"), F.col("_start._first_id").alias("_first_id"),
+                                            F.col("_before._last_id").alias("_other_id"))
+    cases = slices.select(F.col("_pid").alias("_spid"), *[F.col(c).alias(f"_sk{i}") for i, c in enumerate(keys)], "_case_b")
+    same = [F.col("_pid") == F.col("_spid")] + [F.col(c).eqNullSafe(F.col(f"_sk{i}")) for i, c in enumerate(keys)]
+    chosen = inner.join(cases, same).filter(F.when(F.col("_case_b"), F.col("_pair_b")).otherwise(F.col("_pair_a")))
+    pairs = chosen.select(*keys, "_left", "_first_id", "_other_id").union(cross)
     return pairs.select(
         *keys,
-        F.when(F.col("_left"), F.col("_first_id")).otherwise(F.col("_prev_last")).alias("left_id"),
-        F.when(F.col("_left"), F.col("_prev_last")).otherwise(F.col("_first_id")).alias("right_id"),
+        F.when(F.col("_left"), F.col("_first_id")).otherwise(F.col("_other_id")).alias("left_id"),
+        F.when(F.col("_left"), F.col("_other_id")).otherwise(F.col("_first_id")).alias("right_id"),
         F.col("_left").alias("right_first"),
     )

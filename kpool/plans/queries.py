@@ -441,14 +441,15 @@ WITH RECURSIVE{_J1_CTES}
 SELECT user_id, out_left AS left_id, out_right AS right_id, out_rf AS right_first
 FROM sm WHERE out_left IS NOT NULL
 """)
-def q_pair_latest_unmatched(spark, sf_dir, strategy="auto"):
+def q_pair_latest_unmatched(spark, sf_dir, num_partitions=None):
     ev = table(spark, sf_dir, "events")
     side = F.col("event_type") == "click"
-    return pair_latest_unmatched(ev, ["user_id"], side, ["ts", "event_id"], "event_id", strategy=strategy)
+    return pair_latest_unmatched(ev, ["user_id"], side, ["ts", "event_id"], "event_id", num_partitions)
 
 
+# the same rows in many slices, so that keys span partitions at any size
 register("pair_latest_unmatched_distributed", ORACLE["pair_latest_unmatched"])(
-    lambda spark, sf: q_pair_latest_unmatched(spark, sf, "distributed"))
+    lambda spark, sf: q_pair_latest_unmatched(spark, sf, 64))
 
 
 # ------------------------------------------------------------ §5: inclusion_audit

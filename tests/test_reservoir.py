@@ -1,5 +1,7 @@
 import itertools
+import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -86,7 +88,8 @@ def test_reservoir_inclusion_is_uniform_not_slot_biased():
         assert abs(c[ident] / trials - 3 / 8) < 0.04
 
 
-def test_pairing_closed_form_equals_state_machine_all_strings(spark):
+@pytest.mark.parametrize("slices", [None, 1, 300])
+def test_pairing_closed_form_equals_state_machine_all_strings(spark, slices):
     rows = []
     seqs = {}
     key = 0
@@ -97,7 +100,7 @@ def test_pairing_closed_form_equals_state_machine_all_strings(spark):
             seqs[key] = seq
             rows += [(key, i, is_left, ident) for i, (is_left, ident) in enumerate(seq)]
     df = spark.createDataFrame(rows, "k bigint, pos bigint, is_left boolean, ident bigint")
-    got = pair_latest_unmatched(df, ["k"], F.col("is_left"), ["pos"], "ident").collect()
+    got = pair_latest_unmatched(df, ["k"], F.col("is_left"), ["pos"], "ident", num_partitions=slices).collect()
     got_by = {}
     for r in got:
         got_by.setdefault(r.k, []).append((r.left_id, r.right_id))
@@ -124,23 +127,25 @@ def test_ordinal_exact_with_sparse_range_sampling(spark):
         spark.conf.set(key, old)
 
 
-def test_pairing_distributed_equals_state_machine(spark):
-    rows = []
+@pytest.mark.parametrize("slices", [1, 5, 40])
+def test_pairing_of_keys_that_span_slices(spark, slices):
+    rng = random.Random(slices)
     seqs = {}
-    key = 0
-    for length in range(0, 8):
-        for pattern in itertools.product([True, False], repeat=length):
-            key += 1
-            seq = [(is_left, key * 100 + i) for i, is_left in enumerate(pattern)]
-            seqs[key] = seq
-            rows += [(key, i, is_left, ident) for i, (is_left, ident) in enumerate(seq)]
+    for key in [None, *range(5)]:  # from nearly alternating to long runs
+        turn, side, seq = (0.99, 0.9, 0.5, 0.2, 1.0, 0.7)[key or 0], True, []
+        for i in range(200):
+            side = side != (rng.random() < turn)
+            seq.append((side, (key or 9) * 1000 + i))
+        seqs[key] = seq
+    rows = [(k, i, is_left, ident) for k, seq in seqs.items() for i, (is_left, ident) in enumerate(seq)]
     df = spark.createDataFrame(rows, "k bigint, pos bigint, is_left boolean, ident bigint")
-    got = pair_latest_unmatched(df, ["k"], F.col("is_left"), ["pos"], "ident", strategy="distributed").collect()
-    got_by = {}
-    for r in got:
-        got_by.setdefault(r.k, []).append((r.left_id, r.right_id))
+    got = pair_latest_unmatched(df, ["k"], F.col("is_left"), ["pos"], "ident", num_partitions=slices).collect()
     for k, seq in seqs.items():
-        assert sorted(got_by.get(k, [])) == sorted(pair_state_machine(seq)), seq
+        assert sorted((r.left_id, r.right_id) for r in got if r.k == k) == sorted(pair_state_machine(seq))
+    one = df.filter("k = 3")
+    got = pair_latest_unmatched(one, [], F.col("is_left"), ["pos"], "ident", num_partitions=slices).collect()
+    assert sorted((r.left_id, r.right_id) for r in got) == sorted(pair_state_machine(seqs[3]))
+
 
 
 def test_keyed_ordinal_local_plan_equals_row_number(spark):
