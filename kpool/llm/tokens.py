@@ -52,12 +52,16 @@ class Encoder(dict):
     runs of letters go straight to the library's merge model, which spares its
     normaliser.  Words with an apostrophe, other scripts or a possible special
     token go through the library whole.  Only ASCII letters are lower-cased
-    before look-up, which the tokenizer does anyway.
+    before look-up, and not in words where one stands before a character that
+    may join it: the tokenizer composes first and lower-cases after, and some
+    composed letters exist in lower case only.
     """
 
     #: letters that are single code points under NFC and lower-case to one letter
     LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
     PLAIN = re.compile(f"[\x21-\x26\x28-\x40\x5b-\x7e{LETTERS}]+")  # no apostrophe, no control
+    #: a capital before a character from U+0180 on, as all that compose with a letter before them are
+    JOINED = re.compile(rb"[A-Z][\xc6-\xff]")
     PIECES = re.compile(f"([{LETTERS}]+)|[0-9]|[^0-9{LETTERS}]+")
 
     def __init__(self, path: str, limit: int = 600_000):
@@ -106,8 +110,8 @@ class Encoder(dict):
         return known
 
     def ids(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            words = [w if b"<|" in w else w.lower() for w in text.split()]
+        if b"<|" in text or not text.isascii() and self.JOINED.search(text):
+            words = [w if b"<|" in w or self.JOINED.search(w) else w.lower() for w in text.split()]
         else:
             words = text.lower().split()
         return b"".join(map(self.__getitem__, words))

@@ -31,6 +31,19 @@ def test_encoder_equals_library(reference):
         assert np.frombuffer(enc.ids(s.encode()), "<u4").tolist() == reference(s)[:-1]
 
 
+def test_capitals_with_combining_marks(reference):
+    enc = K.Encoder(word_tokenizer())
+    marks = [chr(c) for c in [*range(0x300, 0x370), 0x93C, 0x1DC4, 0x20D7, 0x3099, 0xFE20]]
+    for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+        for m in marks:
+            for s in (a + m, f"x{a}{m}Q{a} Plain", f"{a}\u0323{m}", f"\u0416{a}{m}a {a}'{m}"):
+                assert np.frombuffer(enc.ids(s.encode()), "<u4").tolist() == reference(s)[:-1], ascii(s)
+    rng, letters = random.Random(6), "aAJHTWYjwy\u030a\u030c\u0308\u0331\u0301\u0323\u00c9\u0416'., <|1"
+    for _ in range(8000):
+        s = "".join(rng.choice(letters) for _ in range(rng.randrange(14)))
+        assert np.frombuffer(enc.ids(s.encode()), "<u4").tolist() == reference(s)[:-1], ascii(s)
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_bit_packing_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 1001, dtype=np.uint64).astype("<u4")
