@@ -39,7 +39,8 @@ BUCKETS = 1 << 15
 TEMPER = 0.25  # weight of a trigram beside independent evidence
 MOST = 400.0  # cap on a page's log-likelihood ratio, so that no text outweighs all doubt
 
-_HIDDEN = re.compile(r"(?is)<(script|style|template|noscript|nav)\b.*?(</\1\s*>|\Z)|<!--.*?(-->|\Z)")
+_MARK = re.compile(r"(?ai)<(?:(script|style|template|noscript|/?nav)(?=[\s/>])[^>]*(?:>|\Z)|!--)")
+_END = {name: re.compile(rf"(?ai)</{name}(?=[\s/>])[^>]*(?:>|\Z)") for name in ("script", "style", "template", "noscript")} | {"": re.compile("-->")}
 _TAG = re.compile(r"(?s)<[^>]*(>|\Z)")
 _LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,8})")
 
@@ -59,8 +60,34 @@ def trigrams(data: bytes) -> np.ndarray:
     return ((x[:-2] << 16 | x[1:-1] << 8 | x[2:]) * np.uint32(2654435761)) >> np.uint32(17)
 
 
+def _without_hidden(page: str) -> str:
+    """A page without comments, scripts, styles, templates and navigation.
+
+    What is never closed hides the rest of the page, as a browser has it, but
+    not ``nav`` and ``noscript``.  An end of ``nav`` closes the last one open.
+    """
+    parts, at, navs, unclosed = [], 0, [], False
+    while mark := _MARK.search(page, at):
+        parts.append(page[at:mark.start()])
+        at, name = mark.end(), (mark[1] or "").lower()
+        if name == "nav":
+            navs.append(len(parts))
+        elif name == "/nav":
+            if navs:
+                del parts[navs.pop():]
+        elif name == "noscript" and unclosed:
+            continue
+        elif end := _END[name].search(page, at):
+            at = end.end()
+        elif name == "noscript":
+            unclosed = True
+        else:
+            return " ".join(parts)
+    return " ".join([*parts, page[at:]])
+
+
 def visible_text(page: str) -> str:
-    return markup.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
+    return markup.unescape(_TAG.sub(" ", _without_hidden(page)))
 
 
 def declared_language(page: str) -> str | None:

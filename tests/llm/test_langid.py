@@ -43,6 +43,25 @@ def test_pages(spark):
     assert all(0.25 <= r.p <= 1 for r in got)
 
 
+def test_visible_text():
+    seen = lambda page: L.visible_text(page).split()
+    for name in ("nav-bar", "template-x", "script-list", "noscripts", "navigation", "style:a"):
+        assert seen(f"<body><{name}></{name}><p>whole text</p>") == ["whole", "text"]
+        assert seen(f"<body><{name} class=a>more</{name}><p>whole text</p>") == ["more", "whole", "text"]
+    for name in ("nav", "noscript", "NAV class='a'"):  # never closed
+        assert seen(f"<body><{name}><p>whole text</p></body>") == ["whole", "text"]
+        assert seen(f"a<{name}>b " * 3 + "c") == list("abababc")
+    assert seen("a<nav>b<p>c<nav>d</nav>e") == ["a", "b", "c", "e"]  # the inner one is closed
+    assert seen("a<nav>b<nav>c</nav>d</nav>e</nav>f") == ["a", "e", "f"]
+    for name in ("nav", "noscript", "script", "style", "template"):
+        assert seen(f"a<{name} x=1>b<i>c</{name.upper()}\n>d<{name}>e</{name} y>f") == ["a", "d", "f"]
+    for name in ("script", "style", "template"):
+        assert seen(f"a<nav>b</nav><{name}>c<p>d") == ["a"]
+    assert seen("a<script>'<nav>'</script>b<!-- <nav> -->c<style/>d</style>e<!-- f") == ["a", "b", "c", "e"]
+    many = "<nav><noscript>x " * 50_000  # in one pass
+    assert len(seen(many)) == 50_000
+
+
 def brute(pages, model, strength=10.0, doubt=1.0):
     """The posterior by hand, page by page."""
     n, rows = len(model.langs), []
