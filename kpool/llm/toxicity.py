@@ -9,6 +9,8 @@
    trie, so all terms within reach are met in one walk.  Near spellings that
    the sample holds get log-odds of their own, so ordinary words that happen
    to lie near a term count for little.
+   A token that is no term and holds more than letters is looked up by its
+   runs of letters too, as the lexicon is learned from them.
 3. *Context.*  Around each hit a window of words is scored: quotation marks and
    words of report lower it (quotation), second persons raise it (abuse).
 4. *Score.*  A logistic regression over these sums, fitted on the sample, gives
@@ -38,10 +40,16 @@ EDGE = "\"'`.,;:!?()[]{}<>*_~#$%&|-‘’“”«»…"
 QUOTES = frozenset("\"“”«»`")
 REPORT = frozenset("said says called calling word words term quote quoted quoting wrote write means meaning phrase insult slur".split())
 SECOND = frozenset("you your you're youre yours u ur yourself".split())
+LONG = 80  # letters of the longest token kept between texts
+LETTERS = re.compile(r"[^\W\d_]+")
 SPAN = 6  # words looked at on either side of a hit
 FEATURES = ("plain", "quoted", "near", "near_quoted", "addressed", "density", "any")
 
 
+#: a word with the quotation marks around it, and its (weight, exact) if it is a hit
+Piece = tuple[str, tuple[float, bool] | None]
+
+
 def edits_allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
@@ -71,7 +79,7 @@ class Lexicon:
                     self.middles[len(piece)].add(piece)
         self.lengths = {n for t in self.terms if (k := edits_allowed(len(t))) for n in range(len(t) - k, len(t) + k + 1)}
         self.seen: set[str] = set()
-        self.hits: dict[str, tuple[float, bool]] = {}
+        self.hits: dict[str, list[Piece]] = {}
 
     def __getstate__(self):
         return self.terms, self.variants, self.unseen, self.limit
@@ -138,16 +146,32 @@ class Lexicon:
         weight = self.terms[found[1]] if found[0] == 0 else self.variants.get(core, self.unseen)
         return (weight, found[0] == 0) if weight > 0 else None
 
-    def hits_among(self, tokens: set[str]) -> dict[str, tuple[float, bool]]:
-        """Hits of a text's distinct tokens; tokens met before are not looked up again."""
+    def pieces(self, token: str) -> list[Piece] | None:
+        """The token as one hit, or its runs of letters if a hit is among them."""
+        whole = self.hit(token)
+        if not (whole and whole[1] or token.strip(EDGE).isalpha()):
+            runs, at = [], 0
+            for run in LETTERS.finditer(token):
+                runs.append((_quotes(token[at:run.start()]) + run[0], self.hit(run[0])))
+                at = run.end()
+            if any(got and (got[1] or not whole) for _, got in runs):
+                runs[-1] = runs[-1][0] + _quotes(token[at:]), runs[-1][1]
+                return runs
+        return [(token, whole)] if whole else None
+
+    def hits_among(self, tokens: set[str]) -> dict[str, list[Piece]]:
+        """Pieces of a text's distinct tokens that hold hits; tokens met before
+        are not looked up again, long ones are not kept."""
         if len(self.seen) > self.limit:
             self.seen, self.hits = set(), {}
+        long = {}
         for token in tokens - self.seen:
-            got = self.hit(token)
+            got = self.pieces(token)
+            if len(token) <= LONG:
+                self.seen.add(token)
             if got is not None:
-                self.hits[token] = got
-        self.seen |= tokens
-        return {t: self.hits[t] for t in tokens & self.hits.keys()}
+                (self.hits if len(token) <= LONG else long)[token] = got
+        return {t: self.hits[t] for t in tokens & self.hits.keys()} | long
 
     def features(self, text: str | None) -> list[float]:
         tokens = (text or "").lower().split()
@@ -155,17 +179,19 @@ class Lexicon:
         if not hits:
             return [0.0] * len(FEATURES)
         sums = dict.fromkeys(FEATURES, 0.0)
-        for i, token in enumerate(tokens):
-            if token not in hits:
+        pieces = [p for t in tokens for p in hits.get(t) or ((t, None),)]
+        words = [p[0] for p in pieces]
+        for i, (word, hit) in enumerate(pieces):
+            if hit is None:
                 continue
-            weight, exact = hits[token]
-            around = tokens[max(0, i - SPAN):i], tokens[i + 1:i + 1 + SPAN]
-            quoted = self._quoted(token, *around)
+            weight, exact = hit
+            around = words[max(0, i - SPAN):i], words[i + 1:i + 1 + SPAN]
+            quoted = self._quoted(word, *around)
             sums[("quoted" if quoted else "plain") if exact else ("near_quoted" if quoted else "near")] += weight
             if not quoted and any(w.strip(EDGE) in SECOND for side in around for w in side):
                 sums["addressed"] += weight
         loud = sums["plain"] + sums["near"]
-        return [math.log1p(sums[k]) for k in FEATURES[:5]] + [math.log1p(100 * loud / len(tokens)), float(sums["plain"] > 0)]
+        return [math.log1p(sums[k]) for k in FEATURES[:5]] + [math.log1p(100 * loud / len(words)), float(sums["plain"] > 0)]
 
     @staticmethod
     def _quoted(token: str, before: list[str], after: list[str]) -> bool:
@@ -176,6 +202,10 @@ class Lexicon:
         return opened and closed or any(w.strip(EDGE) in REPORT for w in before[-3:])
 
 
+def _quotes(marks: str) -> str:
+    return "".join([c for c in marks if c in QUOTES])
+
+
 def _one_of_copies(texts: DataFrame, shingle: int = 4) -> DataFrame:
     """One text for each least shingle hash, which near copies mostly share."""
 
@@ -196,13 +226,12 @@ def _one_of_copies(texts: DataFrame, shingle: int = 4) -> DataFrame:
 
 def vocabulary(texts: DataFrame, text: str, toxic: str) -> DataFrame:
     """word, toxic and other texts that hold it."""
-    letters = re.compile(r"[^\W\d_]+")
 
     def count(batches):
         for batch in batches:
             words, marks = [], []
             for value, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = set(letters.findall((value or "").lower()))
+                own = set(LETTERS.findall((value or "").lower()))
                 words += own
                 marks += [mark] * len(own)
             if words:

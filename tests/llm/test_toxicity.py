@@ -56,6 +56,20 @@ def test_misspelling_quotation_and_address():
     assert f("you clown")[at["addressed"]] > 0 == f("a clown")[at["addressed"]]
 
 
+def test_terms_inside_tokens():
+    lexicon = X.Lexicon({"worthless": 4.0, "clown": 4.0, "idiot": 4.0}, {"crown": -2.0})
+    at = dict(zip(X.FEATURES, range(9)))
+    f = lexicon.features
+    for text, spaced in (("that idiot,moron", "that idiot, moron"), ("stupid/clown here", "stupid clown here"), ("<b>idiot</b>", "b idiot b"),
+                         ("idiot...clown,worthless", "idiot clown worthless"), ("you/idiot", "you idiot"), ("9clown_x", "clown x"), ("the/wrthless/one", "the wrthless one"),
+                         ('they said,"clown"twice', 'they said, "clown" twice'), ('a("idiot,clown")', 'a "idiot clown"'), ("x" * 60 + "/idiot/" + "y" * 60, "x idiot y")):
+        for _ in range(2):  # a token met before gives the same
+            assert f(text) == f(spaced) != f("a"), text
+    assert f('it is"clown,idiot"then')[at["plain"]] == 0 < f('it is"clown,idiot"then')[at["quoted"]]
+    assert f("that cl0wn!")[at["near"]] > 0 == f("that cl0wn!")[at["plain"]]
+    assert f("the/crown,of 1.5e3 a_b <br/> crow-n") == f("") and not any(len(t) > X.LONG for t in lexicon.seen)
+
+
 def test_held_out_documents(spark):
     got = {r.doc_id: r for r in QUERIES["op1_toxicity"](spark, MID).collect()}
     docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang").collect()
