@@ -2,7 +2,8 @@
 
 Equal vectors become one node that keeps its ``k + 1`` least ids (all that a
 top-k can hold), so a vector shared by a third of all rows is one node.  Nodes
-are dealt to shards of about ``shard_size`` by hash.  In each shard a task
+are dealt to shards of about ``shard_size`` by bands of their norm (a factor of
+16 each, so at most 530 for a length) and by hash.  In each shard a task
 builds a directed graph: nodes arrive in growing batches, a greedy beam search
 over the graph so far proposes neighbours, and relaxed (``alpha``) distance
 pruning keeps diverse ones; edges back are pruned the same way.  Inner products
@@ -25,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from kpool.llm._io import cut
@@ -33,8 +34,15 @@ from kpool.llm._io import cut
 DEGREE, ALPHA, BUILD_BEAM, SEARCH_BEAM, EXPAND, ENTRIES = 32, 1.2, 64, 128, 4, 16
 
 
+def _scaled(x: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``x`` over the power of two just above ``top``, and that power's exponent."""
+    exponent = np.frexp(top)[1]
+    return np.ldexp(x, -exponent), exponent
+
+
 class Graph:
     def __init__(self, vectors: np.ndarray, neighbours: np.ndarray | None = None, degree: int = DEGREE):
+        vectors = _scaled(vectors, np.abs(vectors).max())[0]
         norms = np.einsum("ij,ij->i", vectors, vectors)
         scale = math.sqrt(norms.max()) or 1.0
         lift = np.sqrt(np.maximum(0.0, 1 - norms / scale**2))
@@ -148,7 +156,19 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-NODE = "dim int, shard int, node int, ids array<long>, v array<double>, edges array<int>"
+def _scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products of (q, m, d) and (q, d); where partial sums overflow, by scaled vectors."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = np.einsum("qmd,qd->qm", vectors, queries, optimize=True)
+        wrong = ~np.isfinite(scores)
+        if wrong.any():
+            q, m = np.nonzero(wrong)
+            (x, a), (y, b) = (_scaled(v, np.abs(v).max(axis=1, keepdims=True)) for v in (vectors[q, m], queries[q]))
+            scores[q, m] = np.ldexp(np.einsum("nd,nd->n", x, y), (a + b)[:, 0])
+    return scores
+
+
+NODE = "dim int, shard long, node int, ids array<long>, v array<double>, edges array<int>"
 
 
 def build_index(nodes: DataFrame) -> DataFrame:
@@ -180,8 +200,9 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, block_size: int =
         asked, names, out = _matrix(left.column("v")), left.column("id").to_numpy(), [[], [], []]
         for i in range(0, len(asked), 512):
             some = asked[i:i + 512]
-            found, _ = graph.search(np.column_stack([some, np.zeros(len(some))]).astype(np.float32), max(beam, 2 * k + 2))
-            exact = np.einsum("qmd,qd->qm", vectors[found], some, optimize=True)
+            unit = _scaled(some, np.abs(some).max(axis=1, keepdims=True))[0]
+            found, _ = graph.search(np.column_stack([unit, np.zeros(len(some))]).astype(np.float32), max(beam, 2 * k + 2))
+            exact = _scores(vectors[found], some)
             exact[found < 0] = -np.inf
             for q, row, score in zip(names[i:i + 512].tolist(), found, exact):
                 got = []
@@ -207,6 +228,13 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
     return rows.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(v).alias("v"))
 
 
+def norm_band(v: Column) -> Column:
+    """Whole number that grows by one when the norm of a vector grows 16 times; norm 1 lies in a band's middle."""
+    top = F.array_max(F.transform(v, F.abs))
+    squares = F.aggregate(v, F.lit(0.0), lambda total, x: total + (x / top) * (x / top))
+    return F.floor((F.log2(top) + F.log2(squares) / 2 + 2) / 4)
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int = 8192, id_col: str = "vec_id", vector: str = "embedding",
             beam: int = SEARCH_BEAM) -> DataFrame:
     """The ``k`` nearest of every vector whose id is divisible by ``every``:
@@ -214,9 +242,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int =
     rows = cut(valid_vectors(vectors, id_col, vector))
     same = W.partitionBy("v").orderBy("id")
     least = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1)  # cut before the shuffle as well
-    nodes = cut(least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
-    shards = max(1, math.ceil(nodes.count() / shard_size))
-    nodes = nodes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), "ids", "v")
+    nodes = least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    nodes = cut(nodes.select(F.size("v").alias("dim"), norm_band(F.col("v")).alias("band"), "ids", "v"))
+    sizes = nodes.groupBy("dim", "band").agg(F.ceil(F.count("*") / shard_size).alias("shards"))  # few bands for each length of vectors
+    shard = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("v"), F.col("shards"))
+    nodes = nodes.join(F.broadcast(sizes), ["dim", "band"]).select("dim", shard.alias("shard"), "ids", "v")
     index = cut(build_index(nodes))
     found = search_index(index, rows.filter(F.col("id") % every == 0), k, beam=beam)
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

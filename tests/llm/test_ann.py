@@ -60,6 +60,26 @@ def test_inner_product_many_shards_and_copies(spark, lengths):
         assert copies == [i for _, i in want[2020]]
 
 
+@pytest.mark.parametrize("length", [1e4, 1e200])
+def test_one_very_long_vector(spark, length):
+    x = np.random.default_rng(2).normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1234] *= length
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    assert recall(A.nearest(df, k=10, every=20).collect(), brute(rows, 10, 20), 10) >= 0.95
+
+
+def test_lengths_of_all_sizes(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 6)) * 10.0 ** rng.uniform(-150, 150, size=(600, 1))
+    rows = [*enumerate(x.tolist()), (1000, [1e200, 1e200, 0.0]), (1001, [1e200, -1e200, 0.0]), (1003, [-1e200, 1e-300, 1e200])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = A.nearest(df, k=10, every=20, shard_size=64).collect()
+    assert recall([r for r in got if r.query_id < 1000], brute(rows[:600], 10, 20), 10) >= 0.95
+    assert [(r.vec_id, r.score) for r in got if r.query_id == 1000] == [(1001, 0.0), (1003, -math.inf)]
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [nan, 1.0]), (6, [inf, 1.0]), (None, [1.0, 1.0]), (7, [1.0, None]),
