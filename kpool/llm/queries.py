@@ -113,3 +113,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.langid import identify_language
 
     return identify_language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
