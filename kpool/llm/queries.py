@@ -120,3 +120,16 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kpool.llm.whitening import whiten
 
     return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+@register("op12_byte_level_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from kpool.llm.byte_bpe import decode_bpe, encode_bpe
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = encode_bpe(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decode_bpe(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                           F.sha2(digits.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
