@@ -133,3 +133,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decode_bpe(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                                            F.sha2(digits.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kpool.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
