@@ -86,6 +86,7 @@ def ordinal(
     out: str = "n",
     num_partitions: int | None = None,
     plan: str = "auto",
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus a bigint column ``out`` = 1-based position in ``order``
     (within each key when ``keys`` are given).
@@ -97,7 +98,11 @@ def ordinal(
     vectorised pandas pass (no shuffle) and broadcasts only the offsets of
     keys that continue from an earlier partition -- at most one per
     partition boundary; ``"auto"`` picks ``broadcast`` when the slice table
-    is small enough, else ``local``."""
+    is small enough, else ``local``.
+
+    ``start`` (keys, ``seen``; one row a key at most) makes each key's
+    positions go on after ``seen`` earlier rows.  It is added to the offsets of
+    slices, so no row moves to meet it."""
     keys = list(keys)
     spark = df.sparkSession
     if plan not in ("auto", "broadcast", "local"):
@@ -127,6 +132,14 @@ def ordinal(
         "_first",
         F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("bigint").alias("_before"),
     )
+    if start is not None and keys:
+        known = start.select(*[F.col(c).alias(f"_st{i}") for i, c in enumerate(keys)], F.col("seen").alias("_seen"))
+        same = [F.col(alias[c]).eqNullSafe(F.col(f"_st{i}")) for i, c in enumerate(keys)]
+        offsets = offsets.join(known, same, "left").withColumn("_before", F.col("_before") + F.coalesce(F.col("_seen"), F.lit(0)))
+        offsets = offsets.select("_spid", *alias.values(), "_first", "_before")
+    elif start is not None:
+        row = start.agg(F.sum("seen").cast("bigint").alias("s")).first()  # one number
+        offsets = offsets.withColumn("_before", F.col("_before") + F.lit(row["s"] or 0))
     cond = [F.col("_pid") == F.col("_spid")] + [F.col(c).eqNullSafe(F.col(a)) for c, a in alias.items()]
     drop = ["_mid", "_pid", "_pos", "_spid", "_first", "_before", "_local", *alias.values()]
     if keys and plan == "auto":
@@ -142,6 +155,7 @@ def ordinal(
     local_schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
     local = ranged.mapInPandas(_local_rank(keys, "_local"), schema=local_schema)
     carried = offsets.filter(F.col("_before") > 0).drop("_first")
-    joined = local.join(F.broadcast(carried), cond, "left")
+    # with earlier rows every key may have an offset: no bound, so the join is Spark's to choose
+    joined = local.join(F.broadcast(carried) if start is None else carried, cond, "left")
     n = F.coalesce(F.col("_before"), F.lit(0)) + F.col("_local")
     return joined.withColumn(out, n.cast("bigint")).drop(*[c for c in drop if c != out])

@@ -607,3 +607,94 @@ def q_stream_outputs(spark, sf_dir):
                                prefix=by_kind({k: f"{k}: " for k in _TOPICS}), trigger={"availableNow": True}))
     last = spark.read.parquet(sink).groupBy("user_id", "topic").agg(F.max_by("value", "seq").alias("value"))
     return last.select("user_id", "topic", F.col("value").cast("string").alias("text"))
+
+
+# ----------------------------------- T1 element mode, J1 and T2 over several micro-batches
+_PARTS = 4  # micro-batches that the events arrive in
+
+
+def _arriving(spark, sf_dir, start, cols, parts=_PARTS) -> DataFrame:
+    from kpool.streaming.changelog import run_arrivals
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", *cols)
+    return spark.read.parquet(run_arrivals(spark, ev, ["ts", "event_id"], parts, start))
+
+
+def _events_sql(part: str, extra: str = "") -> str:
+    return f"""
+    SELECT *, {_pri_sql('event_id')} AS priority, row_number() OVER (PARTITION BY {part} ORDER BY ts, event_id) AS n{extra} FROM events"""
+
+
+# Per event type: every element that changes the sample, and what it pushes out.
+# The SQL counts earlier smaller elements pair by pair.
+@register("stream_sample_changelog", f"""
+WITH e AS ({_events_sql('event_type')}),
+ a AS (SELECT x.event_type, x.n, x.event_id, x.priority FROM e x LEFT JOIN e y
+       ON y.event_type = x.event_type AND y.n < x.n AND y.priority <= x.priority
+       GROUP BY ALL HAVING count(y.n) < 10),
+ full_at AS (SELECT x.event_type, x.n, y.event_id AS gone,
+                    row_number() OVER (PARTITION BY x.event_type, x.n ORDER BY y.priority, y.n) AS r
+             FROM a x JOIN e y ON y.event_type = x.event_type AND y.n < x.n)
+SELECT a.event_type, CAST(a.n AS BIGINT) AS n, a.event_id AS entered, f.gone, f.gone IS NOT NULL AS was_full
+FROM a LEFT JOIN full_at f ON f.event_type = a.event_type AND f.n = a.n AND f.r = 10
+""")
+def q_stream_sample_changelog(spark, sf_dir):
+    from kpool.streaming.changelog import stream_changelog
+
+    def start(sdf, **places):
+        return stream_changelog(sdf, ["event_type"], 10, "event_id", ["event_id"], ["ts", "event_id"], seed=SEED, **places)
+
+    return _arriving(spark, sf_dir, start, ["event_type"]).drop("batch")
+
+
+@register("stream_pairs", ORACLE["pair_latest_unmatched"])
+def q_stream_pairs(spark, sf_dir):
+    """J1 over 7 micro-batches equals the batch query."""
+    from kpool.streaming.changelog import stream_pairs
+
+    def start(sdf, **places):
+        return stream_pairs(sdf, ["user_id"], F.col("event_type") == "click", ["ts", "event_id"], "event_id", **places)
+
+    return _arriving(spark, sf_dir, start, ["user_id", "event_type"], 7).drop("batch")
+
+
+# Every summary of the paired stream.  The SQL takes each element's prefix
+# samples from scratch, and the pairs from the state machine.
+_PC_SQL = f"""
+WITH RECURSIVE{_J1_CTES},
+ p AS ({_events_sql("user_id, event_type = 'click'", ", CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS side")}),
+ prefix AS (SELECT * FROM (
+     SELECT x.user_id, x.side, x.n, x.event_id AS upto, y.event_id, y.priority,
+            row_number() OVER (PARTITION BY x.event_id ORDER BY y.priority, y.n) AS r
+     FROM p x JOIN p y ON y.user_id = x.user_id AND y.side = x.side AND y.n <= x.n) WHERE r <= CASE side WHEN 1 THEN 10 ELSE 15 END),
+ pairs AS (SELECT sm.user_id, l.n AS n1, r.n AS n2, out_left, out_right FROM sm
+           JOIN p l ON l.event_id = out_left JOIN p r ON r.event_id = out_right WHERE out_left IS NOT NULL),
+ pooled AS (SELECT q.user_id, n1, n2, x.event_id, x.priority,
+                   row_number() OVER (PARTITION BY q.user_id, n1, n2 ORDER BY x.priority, x.event_id) AS r,
+                   least(20, CASE WHEN n1 > 10 THEN 10 END, CASE WHEN n2 > 15 THEN 15 END) AS m
+            FROM pairs q JOIN prefix x ON x.upto = q.out_left OR x.upto = q.out_right)
+SELECT user_id, 'sampled' || side AS kind, CASE side WHEN 1 THEN n END AS n1, CASE side WHEN 2 THEN n END AS n2, n,
+       CAST(CASE side WHEN 1 THEN 10 ELSE 15 END AS BIGINT) AS k, string_agg(event_id, ',' ORDER BY r) AS items
+FROM prefix GROUP BY ALL
+UNION ALL
+SELECT user_id, 'merged', n1, n2, n1 + n2, CAST(m AS BIGINT), string_agg(event_id, ',' ORDER BY r)
+FROM pooled WHERE r <= m GROUP BY ALL
+"""
+
+
+@register("stream_paired_changelog", _PC_SQL)
+def q_stream_paired_changelog(spark, sf_dir):
+    rows = _paired_rows(spark, sf_dir)
+    return rows.select("user_id", "kind", "n1", "n2", "n", "k",
+                       F.array_join(F.transform("items", lambda x: x["value"].cast("string")), ",").alias("items"))
+
+
+def _paired_rows(spark, sf_dir):
+    """Clicks (k=10) and all other events (k=15), merged with m=20."""
+    from kpool.streaming.changelog import stream_paired_changelog
+
+    def start(sdf, **places):
+        return stream_paired_changelog(sdf, ["user_id"], F.col("event_type") == "click", "event_id", ["event_id"], ["ts", "event_id"],
+                                       k1=10, k2=15, m=20, seed=SEED, **places)
+
+    return _arriving(spark, sf_dir, start, ["user_id", "event_type"])
