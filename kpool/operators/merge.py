@@ -224,3 +224,76 @@ def merge_weighted(
         c2.alias("c2"),
         F.array_sort(F.concat(taken_l, taken_r)).alias("items"),
     )
+
+
+def merge_sides(
+    summaries: DataFrame,
+    keys: Sequence[str],
+    side: str,
+    m: int = DEFAULT_SIZE,
+    seed: int = 0,
+    short: str = "cap",
+    permute: bool | None = None,
+) -> DataFrame:
+    """Weighted MERGE of any number of summaries per key whose items' priorities
+    cannot be compared (reservoirs): ``keys..., n, k, items``.
+
+    ``summaries`` has ``keys..., side, n, k, items``, one row per key and side;
+    several raise.  A sample of m of the union takes a multivariate
+    hypergeometric number from each side.  It is drawn side after side: of the
+    draws left, those that fall on this side and not on the later ones are counted
+    by seeded draws without replacement; the rest go on.  This fold reads the
+    sides' n only; items stay where they are until their side's number is known,
+    and then the front of each side's (permuted) items is taken.
+
+    Rule R, ``short`` and ``permute`` as in ``merge_weighted``, over all sides.
+    """
+    check_size("m", m)
+    keys = list(keys)
+    if short not in ("cap", "error"):
+        raise ValueError("short must be 'cap' or 'error'")
+    types = {f.name: f.dataType for f in summaries.schema.fields}
+    rows = materialize(one_row_each(summaries.select(*keys, side, "n", "k", "items"), [*keys, side]))
+    key_txt = _key_text(keys, types)
+    side_txt = id_text(side, types.get(side))
+    stats = rows.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(side_txt.alias("s"), F.col("n").cast("bigint").alias("n")))).alias("_sides"),
+        F.sum("n").cast("bigint").alias("_n"), F.min(F.col("n")).alias("_least"),
+        F.min(_incomplete_k(F.col("n"), F.col("k"), F.col("items"))).cast("bigint").alias("_kmin"))
+    m_eff = F.least(_rule_r(m, F.col("_kmin"), short, F.col("_n")), F.col("_n"))
+    if short == "error":
+        empty = F.raise_error(F.lit("a side of the merge is empty")).cast("boolean")
+        stats = stats.filter(F.when(F.col("_least") <= 0, empty).otherwise(m_eff > 0))
+    stats = stats.select(*keys, "_sides", "_n", m_eff.alias("_m"), key_txt.alias("_kt"))
+    zero = F.lit(0).cast("bigint")
+
+    def of_side(acc, s):
+        """How many of the ``acc.m`` draws left fall on side ``s``; later sides hold ``acc.rest - s.n``."""
+        def one(d, i):
+            hit = draw(seed, "side", F.col("_kt"), s["s"], i, bound=d["a"] + d["b"]) < d["a"]
+            return F.struct(F.when(hit, d["a"] - 1).otherwise(d["a"]).alias("a"), F.when(hit, d["b"]).otherwise(d["b"] - 1).alias("b"),
+                            F.when(hit, d["c"] + 1).otherwise(d["c"]).alias("c"))
+
+        steps = F.when(acc["m"] >= 1, F.sequence(F.lit(1).cast("bigint"), acc["m"])).otherwise(F.array().cast("array<bigint>"))
+        drawn = F.aggregate(steps, F.struct(s["n"].alias("a"), (acc["rest"] - s["n"]).alias("b"), zero.alias("c")), one, lambda d: d["c"])
+        # a one-element array binds the count, so that the draws are made once
+        return F.get(F.transform(F.array(drawn), lambda c: F.struct(
+            (acc["m"] - c).alias("m"), (acc["rest"] - s["n"]).alias("rest"),
+            F.concat(acc["taken"], F.array(F.struct(s["s"].alias("s"), c.alias("c")))).alias("taken"))), F.lit(0))
+
+    none = F.array().cast("array<struct<s:string,c:bigint>>")
+    folded = F.aggregate("_sides", F.struct(F.col("_m").alias("m"), F.col("_n").alias("rest"), none.alias("taken")), of_side)
+    counts = materialize(stats.select(*keys, "_n", "_m", "_kt", folded["taken"].alias("_taken")))
+    taken = counts.select(*keys, "_kt", F.explode("_taken").alias("_t")).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], "_kt", F.col("_t.s").alias("_s"), F.col("_t.c").alias("_c")).filter(F.col("_c") > 0)
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)] + [side_txt == F.col("_s")]
+    items = F.col("items")
+    if permute is not False:
+        mixed = permute_items(items, seed, F.concat("_kt", F.lit("|"), "_s"))
+        items = mixed if permute else F.when(F.get(items, F.lit(0))["priority"].startswith(SLOT_TAG), mixed).otherwise(items)
+    tag = lambda i: F.concat(F.lit(DRAWN_TAG), priority(seed, F.lit("s"), F.col("_kt"), F.col("_s"), i.cast("string")))
+    chosen = rows.join(taken, same).select(*keys, "_kt", "_s", F.slice(items, 1, F.col("_c").cast("int")).alias("_items")) \
+        .select(*keys, F.explode(F.transform("_items", lambda x, i: F.struct(tag(i).alias("priority"), x["value"].alias("value")))).alias(ITEM))
+    heads = counts.select(*keys, F.col("_n").alias("n"), F.col("_m").alias("k"), F.lit(None).cast(chosen.schema[ITEM].dataType).alias(ITEM))
+    tails = chosen.select(*keys, F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("k"), ITEM)
+    return heads.unionByName(tails).groupBy(*keys).agg(F.max("n").alias("n"), F.max("k").alias("k"), F.sort_array(F.collect_list(ITEM)).alias("items"))

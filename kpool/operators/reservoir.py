@@ -43,12 +43,14 @@ def reservoir_candidates(
     seed: int = 0,
     num_partitions: int | None = None,
     salt: str = "",
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Elements that are written to a slot at least once: ``df`` + n + slot."""
+    """Elements that are written to a slot at least once: ``df`` + n + slot.
+    ``seen`` (keys, ``seen``): rows of each key that came before."""
     check_size("k", k)
     keys = list(keys)
     types = {f.name: f.dataType for f in df.schema.fields}
-    numbered = ordinal(df, order, keys, out="n", num_partitions=num_partitions)
+    numbered = ordinal(df, order, keys, out="n", num_partitions=num_partitions, start=seen)
     key_parts = [id_text(c, types.get(c)) for c in keys]
     return numbered.withColumn("slot", slot_of(F.col("n"), k, seed, key_parts, salt)).filter(F.col("slot") <= k)
 
@@ -71,6 +73,43 @@ def reservoir_replay(
         *keys, "slot", F.col("_b.n").alias("n"), *[F.col(f"_b.{c}").alias(c) for c in value_cols])
 
 
+def count_seen(df: DataFrame, keys: Sequence[str] = (), seen: DataFrame | None = None) -> DataFrame:
+    """``keys..., seen``: rows of each key, with those counted before."""
+    now = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen"))
+    if seen is not None:
+        now = now.unionByName(seen.select(*keys, "seen")).groupBy(*keys).agg(F.sum("seen").cast("bigint").alias("seen"))
+    return now
+
+
+def reservoir_intervals(df: DataFrame, k: int, order: Sequence, value_cols: Sequence[str], keys: Sequence[str] = (), seed: int = 0,
+                        pool: DataFrame | None = None, seen: DataFrame | None = None, salt: str = "",
+                        num_partitions: int | None = None) -> DataFrame:
+    """What ``df`` does to a stored pool: ``keys..., slot, from_n, to_n, value_cols...``
+    of every item that was in ``pool`` or enters it; ``to_n`` is the last n before
+    it was replaced, null while it is held.
+
+    Elements get their n after the ``seen`` rows of their key, so their slots are
+    those of one replay over everything; ``pool`` (``keys..., slot, n,
+    value_cols...``) is overlaid by the newest writer of each slot."""
+    keys = list(keys)
+    cand = reservoir_candidates(df, k, order, keys, seed, num_partitions, salt, seen).select(*keys, "slot", "n", *value_cols)
+    if pool is not None:
+        cand = cand.unionByName(pool.select(*keys, "slot", "n", *value_cols))
+    w = Window.partitionBy(*keys, "slot").orderBy("n")
+    return cand.select(*keys, "slot", F.col("n").alias("from_n"), (F.lead("n").over(w) - 1).cast("bigint").alias("to_n"), *value_cols)
+
+
+def reservoir_update(df: DataFrame, k: int, order: Sequence, value_cols: Sequence[str], keys: Sequence[str] = (), seed: int = 0,
+                     pool: DataFrame | None = None, seen: DataFrame | None = None, salt: str = "") -> tuple[DataFrame, DataFrame]:
+    """(pool, seen) after ``df``: UPDATE of stored pools by the rows that arrived
+    since, each key's in ``order``.  Starts empty without ``pool`` and ``seen``;
+    rows given in any number of parts leave the pool of one replay."""
+    if (pool is None) != (seen is None):
+        raise ValueError("a stored pool goes with the counts of the rows it has seen")
+    rows = reservoir_intervals(df, k, order, value_cols, keys, seed, pool, seen, salt)
+    return rows.filter("to_n IS NULL").select(*keys, "slot", F.col("from_n").alias("n"), *value_cols), count_seen(df, keys, seen)
+
+
 def reservoir_by_key(df: DataFrame, keys: Sequence[str], k: int, order: Sequence,
                      value_cols: Sequence[str], seed: int = 0, salt: str = "") -> DataFrame:
     """One reservoir per key (A5 with A4's algorithm)."""

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from kpool.functions.tags import sql_draw, sql_id_text, sql_priority
 from kpool.operators.audit import count_by, inclusion_audit, parity
-from kpool.operators.merge import merge_summaries, merge_weighted
+from kpool.operators.merge import merge_sides, merge_summaries, merge_weighted
+from kpool.operators.ordinal import ordinal
 from kpool.operators.pairing import pair_latest_unmatched
 from kpool.operators.reservoir import (reservoir_as_of, reservoir_by_key, reservoir_history, reservoir_replay,
-                                      reservoir_summary)
+                                      reservoir_summary, reservoir_update)
 from kpool.operators import summary as R
 from kpool.operators.sample import PRIORITY, RANK, sample_by_key, sample_k
 from kpool.operators.summary import build_summary, explode_summary, render_summary
+from kpool.plans.layout import materialize
 from kpool.sources.generators import random_strings
 
 SEED = 42
@@ -613,11 +615,15 @@ def q_stream_outputs(spark, sf_dir):
 _PARTS = 4  # micro-batches that the events arrive in
 
 
-def _arriving(spark, sf_dir, start, cols, parts=_PARTS) -> DataFrame:
+def _run_events(spark, sf_dir, start, cols, parts=_PARTS) -> dict[str, str]:
     from kpool.streaming.changelog import run_arrivals
 
     ev = table(spark, sf_dir, "events").select("event_id", "ts", *cols)
-    return spark.read.parquet(run_arrivals(spark, ev, ["ts", "event_id"], parts, start))
+    return run_arrivals(spark, ev, ["ts", "event_id"], parts, start)
+
+
+def _arriving(spark, sf_dir, start, cols, parts=_PARTS) -> DataFrame:
+    return spark.read.parquet(_run_events(spark, sf_dir, start, cols, parts)["out_dir"])
 
 
 def _events_sql(part: str, extra: str = "") -> str:
@@ -698,3 +704,89 @@ def _paired_rows(spark, sf_dir):
                                        k1=10, k2=15, m=20, seed=SEED, **places)
 
     return _arriving(spark, sf_dir, start, ["user_id", "event_type"])
+
+
+# ----------------------------------------------- A4 T5: reservoirs that go on from their state
+@register("reservoir_resume", ORACLE["reservoir_by_key"])
+def q_reservoir_resume(spark, sf_dir):
+    """One reservoir per user, updated by three parts of the events one after another."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    at = ordinal(ev, ["ts", "event_id"], out="at")
+    total = at.count()
+    pool = seen = None
+    for i in range(3):
+        part = at.filter((F.col("at") > total * i // 3) & (F.col("at") <= total * (i + 1) // 3)).drop("at")
+        pool, seen = reservoir_update(part, 10, ["ts", "event_id"], ["event_id"], ["user_id"], seed=SEED, pool=pool, seen=seen)
+        pool, seen = materialize(pool), materialize(seen)
+    return pool
+
+
+@register("stream_reservoir", ORACLE["reservoir_by_key"])
+def q_stream_reservoir(spark, sf_dir):
+    from kpool.streaming.reservoir_stream import stream_pool, stream_reservoir
+
+    def start(sdf, **places):
+        return stream_reservoir(sdf, 10, ["ts", "event_id"], ["event_id"], ["user_id"], seed=SEED, **places)
+
+    places = _run_events(spark, sf_dir, start, ["user_id"])
+    return stream_pool(spark, places["table_dir"], ["event_id"], ["user_id"])
+
+
+@register("stream_reservoir_history", ORACLE["reservoir_history"])
+def q_stream_reservoir_history(spark, sf_dir):
+    """Intervals closed by later micro-batches, 7 of them."""
+    from kpool.streaming.reservoir_stream import stream_history, stream_reservoir
+
+    def start(sdf, **places):
+        return stream_reservoir(sdf, _RES_K, ["ts", "event_id"], ["event_id"], seed=SEED, **places)
+
+    places = _run_events(spark, sf_dir, start, [], 7)
+    return stream_history(spark, places["table_dir"], places["out_dir"], ["event_id"])
+
+
+# --------------------------------------------- A12: merge_sides, any number of reservoirs
+# Per user: the reservoirs (k=10) of all event types, merged into m=20 items.  The
+# SQL walks from side to side and draw to draw in one recursion.
+_KT = sql_id_text("user_id")
+_ST = sql_id_text("event_type")
+
+
+def _side_draw(key: str, side: str, i: str, bound: str) -> str:
+    return sql_draw(SEED, "side", key, side, i, bound=bound)
+
+
+@register("merge_sides", f"""
+WITH RECURSIVE
+ r AS (SELECT user_id, event_type, slot, arg_max(event_id, n) AS event_id, max(n_all) AS n_all FROM (
+         SELECT *, CASE WHEN n <= 10 THEN n ELSE 1 + {sql_draw(SEED, 'slot', "''", _KT, _ST, 'n', bound='n')} END AS slot
+         FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n,
+                      count(*) OVER (PARTITION BY user_id, event_type) AS n_all FROM events))
+       WHERE slot <= 10 GROUP BY user_id, event_type, slot),
+ s AS (SELECT *, row_number() OVER w AS i, sum(n) OVER (PARTITION BY user_id) AS total,
+              sum(n) OVER (PARTITION BY user_id ORDER BY st ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later,
+              min(cap) OVER (PARTITION BY user_id) AS kmin
+       FROM (SELECT user_id, event_type, {_KT} AS kt, {_ST} AS st, max(n_all) AS n, CASE WHEN max(n_all) > count(*) THEN 10 END AS cap
+             FROM r GROUP BY ALL) WINDOW w AS (PARTITION BY user_id ORDER BY st)),
+ f(user_id, i, step, m, a, b, c) AS (
+   SELECT user_id, i, 0::BIGINT, least(20, kmin, total)::BIGINT, n::BIGINT, coalesce(later, 0)::BIGINT, 0::BIGINT FROM s WHERE i = 1
+   UNION ALL
+   SELECT g.user_id, g.i + (g.step = g.m)::BIGINT, CASE WHEN g.step = g.m THEN 0 ELSE g.step + 1 END, CASE WHEN g.step = g.m THEN g.m - g.c ELSE g.m END,
+          CASE WHEN g.step = g.m THEN t.n::BIGINT WHEN hit THEN g.a - 1 ELSE g.a END,
+          CASE WHEN g.step = g.m THEN coalesce(t.later, 0)::BIGINT WHEN hit THEN g.b ELSE g.b - 1 END,
+          CASE WHEN g.step = g.m THEN 0 WHEN hit THEN g.c + 1 ELSE g.c END
+   FROM (SELECT f.*, CASE WHEN f.step < f.m THEN {_side_draw('o.kt', 'o.st', 'f.step + 1', 'f.a + f.b')} < f.a END AS hit
+         FROM f JOIN s o ON o.user_id = f.user_id AND o.i = f.i) g
+   LEFT JOIN s t ON t.user_id = g.user_id AND t.i = g.i + 1
+   WHERE g.step < g.m OR t.i IS NOT NULL)
+SELECT q.user_id, q.event_id, CAST(q.total AS BIGINT) AS n, CAST(least(20, q.kmin, q.total) AS BIGINT) AS k FROM (
+  SELECT r.user_id, r.event_id, s.total, s.kmin, s.i,
+         row_number() OVER (PARTITION BY r.user_id, r.event_type
+           ORDER BY md5(concat_ws(':', '{SEED}', 'perm', s.kt || '|' || s.st, CAST(r.slot - 1 AS VARCHAR)))) AS pos
+  FROM r JOIN s ON s.user_id = r.user_id AND s.event_type = r.event_type) q
+JOIN f ON f.user_id = q.user_id AND f.i = q.i AND f.step = f.m AND q.pos <= f.c
+""")
+def q_merge_sides(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    pools = reservoir_summary(ev, ["user_id", "event_type"], 10, ["ts", "event_id"], "event_id", seed=SEED)
+    merged = merge_sides(pools, ["user_id"], "event_type", 20, seed=SEED)
+    return explode_summary(merged, ["user_id"]).select("user_id", F.col("value").alias("event_id"), "n", "k")

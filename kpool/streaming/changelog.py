@@ -90,7 +90,8 @@ def _batch_writer(step: Callable, table_dir: str, out_dir: str):
     return on_batch
 
 
-def _start(sdf: DataFrame, step: Callable, table_dir: str | None, out_dir: str | None, checkpoint: str | None, trigger: dict | None):
+def start_step(sdf: DataFrame, step: Callable, table_dir: str | None, out_dir: str | None, checkpoint: str | None, trigger: dict | None):
+    """Run ``step(batch, state) -> (rows, next state)`` on each micro-batch; returns ``(query, out_dir)``."""
     spark = sdf.sparkSession
     table_dir, out_dir = table_dir or shared_dir(spark, "changelog-state"), out_dir or shared_dir(spark, "changelog")
     writer = sdf.writeStream.foreachBatch(_batch_writer(step, table_dir, out_dir)) \
@@ -112,7 +113,7 @@ def stream_changelog(sdf: DataFrame, keys: Sequence[str], k: int = DEFAULT_SIZE,
     def step(batch, state):
         return changelog_step(batch, keys, k, value_cols, id_cols, order, seed, state)
 
-    return _start(sdf, step, table_dir, out_dir, checkpoint, trigger)
+    return start_step(sdf, step, table_dir, out_dir, checkpoint, trigger)
 
 
 # --- J1: pairs of any two keyed streams -------------------------------------
@@ -145,7 +146,7 @@ def stream_pairs(sdf: DataFrame, keys: Sequence[str], side: Column, order: Seque
     def step(batch, state):
         return pair_step(batch, keys, side, order, id_col, state)
 
-    return _start(sdf, step, table_dir, out_dir, checkpoint, trigger)
+    return start_step(sdf, step, table_dir, out_dir, checkpoint, trigger)
 
 
 # --- T2: two sampled streams and their merged summaries ---------------------
@@ -206,7 +207,7 @@ def stream_paired_changelog(sdf: DataFrame, keys: Sequence[str], side: Column, v
     def step(batch, state):
         return paired_step(batch, keys, side, k1, k2, m, value_cols, id_cols, order, seed, state)
 
-    return _start(sdf, step, table_dir, out_dir, checkpoint, trigger)
+    return start_step(sdf, step, table_dir, out_dir, checkpoint, trigger)
 
 
 # --- arrivals ---------------------------------------------------------------
@@ -224,12 +225,12 @@ def arrivals(spark: SparkSession, df: DataFrame, order: Sequence, parts: int) ->
         yield folder
 
 
-def run_arrivals(spark: SparkSession, df: DataFrame, order: Sequence, parts: int, start: Callable) -> str:
+def run_arrivals(spark: SparkSession, df: DataFrame, order: Sequence, parts: int, start: Callable) -> dict[str, str]:
     """Run a stream over the arrivals of ``df``, stopping and going on from its
     checkpoint between them.  ``start(sdf, table_dir=, out_dir=, checkpoint=)``
-    starts it; returns the output folder."""
+    starts it; returns these three folders."""
     places = {name: shared_dir(spark, f"arrivals-{name}") for name in ("table_dir", "out_dir", "checkpoint")}
     for folder in arrivals(spark, df, order, parts):
         query, _ = start(spark.readStream.schema(df.schema).parquet(folder), **places)
         run_to_end(query)
-    return places["out_dir"]
+    return places

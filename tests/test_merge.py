@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from kpool.operators.audit import parity
-from kpool.operators.merge import merge_summaries, merge_weighted
+from kpool.operators.merge import merge_sides, merge_summaries, merge_weighted
 from kpool.operators.sample import sample_k
 from kpool.operators.summary import build_summary, explode_summary, render_summary
 
@@ -94,3 +94,60 @@ def test_render_format_and_empty(spark):
     got = [r.t for r in df.select(render_summary(F.col("n"), F.col("k"), F.col("items")).alias("t")).collect()]
     assert got[0] == "SamplePool @  stream size: 3  sample size: 5  sample data size: 2  sample data: [a, b]"
     assert got[1].endswith("sample data: []")
+
+
+# --- any number of sides ----------------------------------------------------
+
+def _sides(spark, sizes, k, groups=1, null_side=False):
+    """Summaries of one key a group, sides of the given sizes, items in slot order."""
+    rows = []
+    for g in range(groups):
+        for s, n in enumerate(sizes):
+            items = [(f"slot-{i + 1:020d}", s * 1000 + i) for i in range(min(n, k))]
+            rows.append((g, None if null_side and s == 0 else f"s{s}", n, k, items))
+    return spark.createDataFrame(rows, "g int, side string, n long, k long, items array<struct<priority:string,value:int>>")
+
+
+def test_merge_sides_takes_every_pair_alike(spark):
+    """Five complete sides of different sizes: each pair of elements is together in
+    the merged sample as often as any other."""
+    sizes, m, groups = [1, 2, 3, 4, 5], 5, 3000
+    got = merge_sides(_sides(spark, sizes, 10, groups), ["g"], "side", m, seed=3).collect()
+    total, pairs, single = sum(sizes), {}, {}
+    for r in got:
+        values = sorted(x["value"] for x in r["items"])
+        assert len(values) == m == r["k"] and r["n"] == total
+        for i, a in enumerate(values):
+            single[a] = single.get(a, 0) + 1
+            for b in values[i + 1:]:
+                pairs[a, b] = pairs.get((a, b), 0) + 1
+    p, q = m / total, m * (m - 1) / (total * (total - 1))
+    assert len(single) == total and len(pairs) == total * (total - 1) // 2
+    assert all(abs(c / groups - p) < 5 * (p * (1 - p) / groups) ** 0.5 for c in single.values())
+    assert all(abs(c / groups - q) < 5 * (q * (1 - q) / groups) ** 0.5 for c in pairs.values())
+
+
+def test_merge_sides_rules(spark):
+    df = _sides(spark, [50, 4, 30], 10, null_side=True)
+    out = merge_sides(df, ["g"], "side", 20, seed=1).collect()
+    assert [(r["n"], r["k"], len(r["items"])) for r in out] == [(84, 10, 10)]  # Rule R: incomplete sides hold 10
+    tags = [x["priority"] for x in out[0]["items"]]
+    assert tags == sorted(tags) and all(t.startswith("drawn-") for t in tags)
+    assert merge_sides(_sides(spark, [2, 3], 10), ["g"], "side", 20).first()["k"] == 5  # all there is
+    one = merge_sides(_sides(spark, [7], 10), ["g"], "side", 3).first()
+    assert one["n"] == 7 and len(one["items"]) == 3
+    whole = merge_sides(df.drop("g"), [], "side", 20, seed=1).collect()
+    assert len(whole) == 1 and len(whole[0]["items"]) == 10
+    assert merge_sides(df.limit(0), ["g"], "side", 5).count() == 0
+    for bad in (lambda: merge_sides(df, ["g"], "side", 0), lambda: merge_sides(df, ["g"], "side", 5, short="x"),
+                lambda: merge_sides(df.union(df), ["g"], "side", 5).collect(),  # a side twice
+                lambda: merge_sides(df, ["g"], "side", 20, short="error").collect(),  # above an incomplete side
+                lambda: merge_sides(_sides(spark, [3, 0], 10), ["g"], "side", 2, short="error").collect()):  # an empty side
+        with pytest.raises(Exception):
+            bad()
+
+
+def test_merge_sides_of_two_equals_the_share_of_sizes(spark):
+    got = merge_sides(_sides(spark, [300, 100], 10, 500), ["g"], "side", 10, seed=8).collect()
+    left = sum(x["value"] < 1000 for r in got for x in r["items"]) / (500 * 10)
+    assert abs(left - 0.75) < 0.03
