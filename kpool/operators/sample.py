@@ -77,8 +77,18 @@ def choose_strategy(num_partitions: int, k: int, limit: int = 1000) -> str:
     return "prune" if k > limit or num_partitions * k > PRUNE_ROWS else "window"
 
 
+def rank_rows(pdf: DataFrame, keys: Sequence[str], k: int, order: Sequence) -> DataFrame:
+    """Rows of rank at most k per key by ``order``, ranked by range-partitioned
+    ordinals: no task holds a key's rows, and no key all of a task's."""
+    from kpool.operators.ordinal import ordinal
+
+    return ordinal(pdf, order, keys, out=RANK).filter(F.col(RANK) <= k)
+
+
 def _window_sample(pdf: DataFrame, keys: Sequence[str], k: int, id_cols: Sequence) -> DataFrame:
     order = _order_cols(id_cols)
+    if k > group_limit(pdf.sparkSession):  # a key's sample may be too large for one task
+        return rank_rows(pdf, keys, k, order)
     if not keys:
         top = pdf.orderBy(*order).limit(k)
         return top.withColumn(RANK, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpool.functions.tags import sql_draw, sql_id_text, sql_priority
@@ -568,21 +568,23 @@ UNION ALL {_final_sample_sql("event_type <> 'click'", 'sampled2', 15)}
 
 
 def _paired_changelog(spark, sf_dir) -> str:
-    """The element-level paired stream of clicks (k=10) and all other events
-    (k=15), merged with m=20: folder of every summary it emitted."""
-    from kpool.streaming.paired import run_paired_stream
+    """The paired stream of clicks (k=10) and all other events (k=15), merged
+    with m=20: folder of every summary it emitted."""
+    from kpool.streaming.changelog import stream_paired_changelog
+    from kpool.streaming.sample_stream import run_to_end
 
     ev = _event_stream(spark, sf_dir)
-    click = F.col("event_type") == "click"
-    return run_paired_stream(ev.filter(click), ev.filter(~click), ["user_id"], "event_id", ["event_id"], ["ts", "event_id"],
-                             k1=10, k2=15, m=20, seed=SEED)
+    query, out = stream_paired_changelog(ev, ["user_id"], F.col("event_type") == "click", "event_id", ["event_id"], ["ts", "event_id"],
+                                         k1=10, k2=15, m=20, seed=SEED)
+    run_to_end(query)
+    return out
 
 
 @register("stream_paired_merge", _SP_SQL)
 def q_stream_paired_merge(spark, sf_dir):
     """Final summary per (user, kind) of the paired stream."""
     rows = spark.read.parquet(_paired_changelog(spark, sf_dir))
-    last = rows.groupBy("user_id", "kind").agg(F.max_by(F.struct("n", "k", "items"), "seq").alias("s"))
+    last = rows.groupBy("user_id", "kind").agg(F.max_by(F.struct("n", "k", "items"), "n").alias("s"))
     return explode_summary(last.select("user_id", "kind", "s.*"), ["user_id", "kind"])
 
 
@@ -603,7 +605,7 @@ def q_stream_outputs(spark, sf_dir):
     from kpool.streaming.sample_stream import run_to_end
 
     log = _paired_changelog(spark, sf_dir)
-    rows = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log)
+    rows = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log).withColumn("seq", F.col("n"))
     sink = shared_dir(spark, "outputs")
     run_to_end(write_summaries(rows, "parquet", shared_dir(spark, "outputs-ckpt"), path=sink, topic=by_kind(_TOPICS),
                                prefix=by_kind({k: f"{k}: " for k in _TOPICS}), trigger={"availableNow": True}))
@@ -612,7 +614,7 @@ def q_stream_outputs(spark, sf_dir):
 
 
 # ----------------------------------- T1 element mode, J1 and T2 over several micro-batches
-_PARTS = 4  # micro-batches that the events arrive in
+_PARTS = 3  # micro-batches that the events arrive in
 
 
 def _run_events(spark, sf_dir, start, cols, parts=_PARTS) -> dict[str, str]:
@@ -790,3 +792,93 @@ def q_merge_sides(spark, sf_dir):
     pools = reservoir_summary(ev, ["user_id", "event_type"], 10, ["ts", "event_id"], "event_id", seed=SEED)
     merged = merge_sides(pools, ["user_id"], "event_type", 20, seed=SEED)
     return explode_summary(merged, ["user_id"]).select("user_id", F.col("value").alias("event_id"), "n", "k")
+
+
+# ------------------------------------------------------------ T4: stream_arrival
+# The time at which an element was read stays with it through update and merge:
+# ranked, the times of the merged sample's items are their micro-batches.
+@register("stream_arrival", f"""
+WITH e AS (SELECT event_id, {_pri_sql('event_id')} AS priority, row_number() OVER (ORDER BY ts, event_id) AS n, count(*) OVER () AS total FROM events)
+SELECT event_id, CAST(total AS BIGINT) AS n,
+       CAST(1 + (n > total // {_PARTS})::INT + (n > total * 2 // {_PARTS})::INT AS BIGINT) AS arrival
+FROM e ORDER BY priority LIMIT 60
+""")
+def q_stream_arrival(spark, sf_dir):
+    from kpool.sources.messages import stamp_arrival
+    from kpool.streaming.sample_stream import stream_merge, stream_sample
+
+    sides = []
+
+    def start(side, name):
+        def run(sdf, table_dir, checkpoint, **_):
+            sides.append(f"{table_dir}-{name}")
+            return stream_sample(stamp_arrival(sdf).filter(side), [], 60, ["event_id", "arrival_ts"], ["event_id"], seed=SEED,
+                                 table_dir=sides[-1], checkpoint=f"{checkpoint}-{name}")
+        return run
+
+    def both(sdf, **places):
+        from kpool.streaming.sample_stream import run_to_end
+
+        click = F.col("event_type") == "click"
+        run_to_end(start(click, "left")(sdf, **places)[0])
+        return start(~click, "right")(sdf, **places)
+
+    _run_events(spark, sf_dir, both, ["event_type"])
+    merged = explode_summary(stream_merge(spark, sorted(set(sides)), [], 60), []).select("value.event_id", "n", "value.arrival_ts")
+    # two streams read a part one after the other: their times are ranked apart
+    side = table(spark, sf_dir, "events").select("event_id", (F.col("event_type") == "click").alias("side"))
+    by_time = Window.partitionBy("side").orderBy("arrival_ts")
+    return merged.join(side, "event_id").select("event_id", "n", F.dense_rank().over(by_time).cast("bigint").alias("arrival"))
+
+
+# ----------------------------------------------- A3 A6 A8 at large sizes: summary rows
+@register("summary_rows_merge", f"""
+SELECT o_orderkey AS value, priority, CAST(row_number() OVER (ORDER BY priority, o_orderkey) AS BIGINT) AS sample_rank,
+       (SELECT count(*) FROM orders) AS n, CAST(4000 AS BIGINT) AS k
+FROM (SELECT o_orderkey, {_pri_sql('o_orderkey')} AS priority FROM orders) ORDER BY priority, o_orderkey LIMIT 4000
+""")
+def q_summary_rows_merge(spark, sf_dir):
+    """Odd and even orders sampled and merged at a size above Spark's group limit,
+    as rows: no array holds a pool, no task ranks it whole."""
+    from kpool.operators.summary_rows import build_rows, merge_rows
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    parts = [build_rows(orders.filter(F.col("o_orderkey") % 2 == side), [], 4000, "o_orderkey", ["o_orderkey"], seed=SEED) for side in (0, 1)]
+    stats, items = merge_rows(parts, [], 4000)
+    row = stats.first()
+    return items.select("value", PRIORITY, RANK, F.lit(row["n"]).alias("n"), F.lit(row["k"]).alias("k"))
+
+
+# ------------------------------------------------------------------ A12: merge_tree
+# Events by hour in a stored tree of summaries, appended in three parts; each of ten
+# ranges of hours is answered from few nodes.
+_TREE_RANGES = 10
+
+
+@register("merge_tree", f"""
+WITH e AS (SELECT event_id, {_pri_sql('event_id')} AS priority, CAST(epoch(ts) AS BIGINT) // 3600 AS hour FROM events),
+ b AS (SELECT min(hour) AS lo, max(hour) - min(hour) + 1 AS span FROM e),
+ q AS (SELECT i, lo + span * i // {_TREE_RANGES + 3} AS begins, lo + span * (i + 3 + i % 3) // {_TREE_RANGES + 3} + 1 AS ends
+       FROM b, (SELECT unnest(range({_TREE_RANGES})) AS i))
+SELECT CAST(i AS BIGINT) AS i, n, priority, event_id AS value, CAST(r AS BIGINT) AS sample_rank FROM (
+  SELECT i, priority, event_id, count(*) OVER (PARTITION BY i) AS n, row_number() OVER (PARTITION BY i ORDER BY priority, event_id) AS r
+  FROM q JOIN e ON hour >= begins AND hour < ends) WHERE r <= 30
+""")
+def q_merge_tree(spark, sf_dir):
+    from kpool.operators.merge_tree import MergeTree
+    from kpool.session import shared_dir
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    ev = ev.withColumn("hour", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600))
+    low, high = ev.agg(F.min("hour"), F.max("hour")).first()
+    tree = MergeTree(spark, shared_dir(spark, "tree"), k=30, levels=12)
+    for i in range(3):  # parts of the hours, one after another; hours of one part may be appended to later
+        tree.append(ev.filter(F.pmod(F.col("event_id"), F.lit(3)) == i), "hour", "event_id", ["event_id"], seed=SEED, append_id=i)
+    span = high - low + 1
+    steps = _TREE_RANGES + 3
+    out = None
+    for i in range(_TREE_RANGES):
+        found = explode_summary(tree.between(low + span * i // steps, low + span * (i + 3 + i % 3) // steps + 1, 30), [])
+        found = found.select(F.lit(i).cast("bigint").alias("i"), "n", PRIORITY, "value", RANK)
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -29,6 +29,13 @@ def read_messages(spark: SparkSession, fmt: str, options: dict | None = None, sc
     return df
 
 
+def stamp_arrival(messages: DataFrame, name: str = "arrival_ts") -> DataFrame:
+    """``messages`` with the time at which they were read (T4).  It is one time per
+    micro-batch, taken where the stream enters; given to a sampler as one of its
+    ``value_cols`` it stays inside each item through UPDATE, MERGE and payload."""
+    return messages.withColumn(name, F.current_timestamp())
+
+
 def summary_payload(summaries: DataFrame, label: str = "SamplePool", topic: str | Column | None = None,
                     prefix: str | Column | None = None) -> DataFrame:
     """Rows ready for a message sink: ``value`` = rendered summary as UTF-8
