@@ -3,21 +3,30 @@
 Equal vectors become one node that keeps its ``k + 1`` least ids (all that a
 top-k can hold), so a vector shared by a third of all rows is one node.  Nodes
 are dealt to shards of about ``shard_size`` by bands of their norm (a factor of
-16 each, so at most 530 for a length) and by hash.  In each shard a task
-builds a directed graph: nodes arrive in growing batches, a greedy beam search
-over the graph so far proposes neighbours, and relaxed (``alpha``) distance
-pruning keeps diverse ones; edges back are pruned the same way.  Inner products
-are turned into distances by one more coordinate that gives all vectors of a
-shard the same norm.  A query's beam search visits every shard, in blocks of
-queries; the shards' best are scored exactly in double precision and merged by
-one window per query.
-
-Every row is indexed.  Recall against brute force is tested (at least 0.9).
+1.1 each) and by hash.  In each shard a task builds a directed graph: nodes
+arrive in growing batches, a greedy beam search over the graph so far proposes
+neighbours, and relaxed (``alpha``) distance pruning keeps diverse ones; edges
+back are pruned the same way.  Inner products are turned into distances by one
+more coordinate that gives all vectors of a shard the same norm; in a narrow
+band that coordinate is small and hides no direction.
+
+Queries search the longest bands first (as many as hold ``shard_size`` nodes).
+No inner product exceeds the product of the norms, so a query then goes on only
+to shards whose longest vector could still beat its k-th score.  Shards and the
+queries that visit them meet in sorted partitions: a task holds one graph and
+reads its queries one after another, and a shard is sent once per ``block_size``
+queries.  The best of each shard, scored in double precision, are merged by one
+window per query.
+
+Every row is indexed.  Recall against brute force is tested (at least 0.9), for
+vectors of one norm and of norms that differ.
 
 Defined cases: null, empty or zero vectors, vectors that hold a null, NaN or
-infinity, and rows without an id take no part.  Of several rows with one id
-only that of the least vector does.  Vectors meet only those of their length.
-Ties go to the smaller id.
+infinity, and rows without an id take no part.  Of several vectors under one id
+each is indexed and each asks; an id counts with its best score, and an id is no
+neighbour of itself.  Vectors meet only those of their length, of any size.
+Ties go to the smaller id.  Repeated rows count once.  Other columns are not
+read, whatever their names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut
+from kpool.llm._io import cut, ship
 
-DEGREE, ALPHA, BUILD_BEAM, SEARCH_BEAM, EXPAND, ENTRIES = 32, 1.2, 64, 128, 4, 16
+DEGREE, ALPHA, BUILD_BEAM, SEARCH_BEAM, EXPAND, ENTRIES = 48, 1.2, 64, 192, 4, 16
+BAND = 1.1                # longest norm of a band over its shortest
+MAX_SHARDS = 1_000_000    # most shards whose (number, norm) are broadcast
 
 
 def _scaled(x: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +61,7 @@ class Graph:
         self.n, self.degree = len(self.x), degree
         middle = int(np.argmax(self.x @ self.x.mean(axis=0)))
         spread = np.linspace(0, self.n - 1, min(self.n, ENTRIES)).astype(int)
-        self.entries = np.unique(np.append(spread, middle))
+        self.entries = np.arange(self.n) if self.n <= SEARCH_BEAM else np.unique(np.append(spread, middle))
         if neighbours is None:
             self.neighbours = np.full((self.n, degree), -1, np.int32)
             self._build()
@@ -183,72 +194,119 @@ def build_index(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("dim", "shard").applyInArrow(build, NODE)
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int, block_size: int = 16_384, beam: int = SEARCH_BEAM) -> DataFrame:
-    """(query_id, vec_id, score): each shard's ``k`` best for each of ``queries`` (id, v)."""
-    blocks = max(1, math.ceil(queries.count() / block_size))
-    at = queries.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    at = at.join(index.select("dim", F.col("shard").alias("part")).distinct(), "dim")
-    shards = index.select(F.col("dim").alias("length"), "shard", "node", "ids", "v", "edges").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        nodes = right.sort_by("node")
-        vectors, ids = _matrix(nodes.column("v")), nodes.column("ids").to_pylist()
-        graph = Graph(vectors, _matrix(nodes.column("edges")).astype(np.int32))
-        asked, names, out = _matrix(left.column("v")), left.column("id").to_numpy(), [[], [], []]
-        for i in range(0, len(asked), 512):
-            some = asked[i:i + 512]
-            unit = _scaled(some, np.abs(some).max(axis=1, keepdims=True))[0]
-            found, _ = graph.search(np.column_stack([unit, np.zeros(len(some))]).astype(np.float32), max(beam, 2 * k + 2))
-            exact = _scores(vectors[found], some)
-            exact[found < 0] = -np.inf
-            for q, row, score in zip(names[i:i + 512].tolist(), found, exact):
-                got = []
-                for j in np.argsort(-score, kind="stable").tolist():
-                    if len(got) >= k and score[j] < got[k - 1][0] or row[j] < 0:
-                        break
-                    got += [(float(score[j]), v) for v in ids[row[j]] if v != q]
-                    got.sort(key=lambda g: (-g[0], g[1]))
-                    del got[k:]
-                for s, v in got:
-                    out[0].append(q)
-                    out[1].append(v)
-                    out[2].append(s)
-        return pa.table([pa.array(o, f.type) for o, f in zip(out, schema)], schema=schema)
-
-    return at.groupBy("dim", "part", "block").cogroup(shards.groupBy("length", "shard", "copy")).applyInArrow(search, "query_id long, vec_id long, score double")
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _answers(graph: Graph, vectors: np.ndarray, ids: list, asked: np.ndarray, names: list, k: int, beam: int):
+    """The ``k`` best ids of one shard for each query."""
+    for i in range(0, len(asked), 512):
+        some, out = asked[i:i + 512], [[], [], []]
+        unit = _scaled(some, np.abs(some).max(axis=1, keepdims=True))[0]
+        found, _ = graph.search(np.column_stack([unit, np.zeros(len(some))]).astype(np.float32), max(beam, 2 * k + 2))
+        exact = _scores(vectors[found], some)
+        exact[found < 0] = -np.inf
+        for q, row, score in zip(names[i:i + 512], found, exact):
+            got, have = [], {q}
+            order = [j for j in np.argsort(-score, kind="stable").tolist() if row[j] >= 0]
+            for a, j in enumerate(order):
+                got += [(float(score[j]), v) for v in ids[row[j]] if v not in have]
+                have.update(ids[row[j]])
+                if len(got) >= k and (a + 1 == len(order) or score[order[a + 1]] < score[j]):
+                    break  # nodes of one score stay together: ties go by id
+            got.sort(key=lambda g: (-g[0], g[1]))
+            for s, v in got[:k]:
+                out[0].append(q)
+                out[1].append(v)
+                out[2].append(s)
+        yield pa.RecordBatch.from_arrays([pa.array(o, f.type) for o, f in zip(out, FOUND)], schema=FOUND)
+
+
+def _search(k: int, beam: int):
+    def task(batches):
+        """Sorted rows: the nodes of a shard (in order), then its queries, then the next shard."""
+        where, parts, ready = None, [], None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            marks = np.column_stack([table.column(c).to_numpy() for c in ("dim", "shard", "block", "kind")])
+            cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(marks)]):
+                part, (dim, shard, block, kind) = table.slice(begin, end - begin), marks[begin].tolist()
+                if where != (dim, shard, block):
+                    where, parts, ready = (dim, shard, block), [], None
+                if not kind:
+                    parts.append(part)
+                    continue
+                if ready is None and parts:
+                    nodes = pa.concat_tables(parts)
+                    vectors = _matrix(nodes.column("v"))
+                    ready, parts = (Graph(vectors, _matrix(nodes.column("edges")).astype(np.int32)), vectors, nodes.column("ids").to_pylist()), []
+                if ready is not None:
+                    yield from _answers(*ready, _matrix(part.column("v")), part.column("id").to_pylist(), k, beam)
+    return task
+
+
+def search_index(index: DataFrame, visits: DataFrame, k: int, block_size: int = 1 << 18, beam: int = SEARCH_BEAM) -> DataFrame:
+    """(query_id, vec_id, score): the ``k`` best of the shards that queries visit
+    (``visits``: dim, shard, id, v)."""
+    blocks = visits.groupBy("dim", "shard").agg(F.ceil(F.count("*") / block_size).cast("int").alias("blocks"))
+    nothing = F.lit(None)
+    nodes = index.join(blocks, ["dim", "shard"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("dim", "shard", "block", F.lit(0).alias("kind"), "node", "ids", "v", "edges", nothing.cast("long").alias("id"))
+    block = F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int")
+    asked = visits.join(blocks, ["dim", "shard"]) \
+        .select("dim", "shard", block.alias("block"), F.lit(1).alias("kind"), nothing.cast("int").alias("node"), nothing.cast("array<long>").alias("ids"), "v",
+                nothing.cast("array<int>").alias("edges"), "id")
+    rows = nodes.unionByName(asked).repartition("dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", "kind", "node")
+    return rows.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """Distinct (id, v) of the rows that take part."""
     v = F.col(vector).cast("array<double>")
     fit = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull()).filter(fit)
-    return rows.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(v).alias("v"))
+    return rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).distinct()
 
 
-def norm_band(v: Column) -> Column:
-    """Whole number that grows by one when the norm of a vector grows 16 times; norm 1 lies in a band's middle."""
+def log_norm(v: Column) -> Column:
+    """log2 of a vector's norm, for norms beyond a double as well."""
     top = F.array_max(F.transform(v, F.abs))
     squares = F.aggregate(v, F.lit(0.0), lambda total, x: total + (x / top) * (x / top))
-    return F.floor((F.log2(top) + F.log2(squares) / 2 + 2) / 4)
+    return F.log2(top) + F.log2(squares) / 2
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int = 8192, id_col: str = "vec_id", vector: str = "embedding",
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int = 16_384, id_col: str = "vec_id", vector: str = "embedding",
             beam: int = SEARCH_BEAM) -> DataFrame:
     """The ``k`` nearest of every vector whose id is divisible by ``every``:
     query_id, rank, vec_id, score."""
+    ship(vectors.sparkSession)
     rows = cut(valid_vectors(vectors, id_col, vector))
     same = W.partitionBy("v").orderBy("id")
     least = rows.withColumn("nth", F.row_number().over(same)).filter(F.col("nth") <= k + 1)  # cut before the shuffle as well
     nodes = least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    nodes = cut(nodes.select(F.size("v").alias("dim"), norm_band(F.col("v")).alias("band"), "ids", "v"))
-    sizes = nodes.groupBy("dim", "band").agg(F.ceil(F.count("*") / shard_size).alias("shards"))  # few bands for each length of vectors
+    nodes = nodes.select(F.size("v").alias("dim"), "ids", "v", log_norm(F.col("v")).alias("norm"))
+    # norm 1 lies in the middle of a band
+    nodes = cut(nodes.withColumn("band", F.floor(F.col("norm") / math.log2(BAND) + 0.5)))
+    bands = nodes.groupBy("dim", "band").agg(F.count("*").alias("n"))  # at most 15 500 a length
+    longer = W.partitionBy("dim").orderBy(F.desc("band")).rowsBetween(W.unboundedPreceding, -1)
+    bands = bands.select("dim", "band", F.ceil(F.col("n") / shard_size).alias("shards"),
+                         (F.coalesce(F.sum("n").over(longer), F.lit(0)) < shard_size).alias("lead"))
     shard = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("v"), F.col("shards"))
-    nodes = nodes.join(F.broadcast(sizes), ["dim", "band"]).select("dim", shard.alias("shard"), "ids", "v")
-    index = cut(build_index(nodes))
-    found = search_index(index, rows.filter(F.col("id") % every == 0), k, beam=beam)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    nodes = nodes.join(bands, ["dim", "band"]).select("dim", shard.alias("shard"), "ids", "v", "norm", "lead")
+    shards = cut(nodes.groupBy("dim", "shard").agg(F.max("norm").alias("top"), F.first("lead").alias("lead")))
+    if shards.count() <= MAX_SHARDS:
+        shards = F.broadcast(shards)
+    index = cut(build_index(nodes.select("dim", "shard", "ids", "v")))
+    asked = rows.filter(F.col("id") % every == 0).select("id", "v", F.size("v").alias("dim"))
+    first = cut(search_index(index, asked.join(shards.filter("lead"), "dim").select("dim", "shard", "id", "v"), k, beam=beam))
+    # the k-th score so far: what the other shards' longest vectors have to beat
+    by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    once = first.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    bound = once.withColumn("r", F.row_number().over(by_score)).filter(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    open_ = asked.join(bound, "id", "left").join(shards.filter("NOT lead"), "dim")
+    could = F.col("top") + log_norm(F.col("v")) + 1e-6 >= F.least(F.log2("kth"), F.lit(1024.0))  # null: no k-th score, or none above zero
+    rest = open_.filter(F.coalesce(could, F.lit(True)) | (F.col("kth") <= 0)).select("dim", "shard", "id", "v")
+    found = first.union(search_index(index, cut(rest), k, beam=beam))
+    best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = best.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -11,11 +11,20 @@ def brute(rows, k, every):
     ok = {}
     for i, v in rows:
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            ok[i] = min(ok.get(i, v), v)
+            ok.setdefault((i, len(v)), []).append(v)
     out = {}
-    for q in (i for i in ok if i % every == 0):
-        scored = sorted((-float(np.dot(np.array(ok[q], float), np.array(v, float))), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))
-        out[q] = scored[:k]
+    for length in {d for _, d in ok}:
+        ids, x = zip(*((i, v) for (i, d), some in ok.items() if d == length for v in some))
+        ids, x = np.array(ids), np.array(x, float)
+        for q in sorted({i for i in ids.tolist() if i % every == 0}):
+            best = {}
+            for own in x[ids == q]:
+                with np.errstate(over="ignore"):
+                    scores = x @ own
+                for i, s in zip(ids.tolist(), scores.tolist()):
+                    if i != q:
+                        best[i] = max(best.get(i, -math.inf), s)
+            out[q] = sorted((*out.get(q, []), *((-s, i) for i, s in best.items())))[:k]
     return out
 
 
@@ -86,5 +95,54 @@ def test_edge_rows(spark):
             (8, [1.0, 0.0]), (8, [1.0, 0.0]), (20, [1.0, 0.0, 0.0]), (40, [2.0, 0.0]), (40, [3.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(map(tuple, A.nearest(df, k=3, every=20).collect()))
-    assert got == [(0, 1, 40, 2.0), (0, 2, 8, 1.0), (0, 3, 1, 0.5), (40, 1, 0, 2.0), (40, 2, 8, 2.0), (40, 3, 1, 1.0)]
+    # id 40 has two vectors: each is indexed and asks, the best score counts
+    assert got == [(0, 1, 40, 3.0), (0, 2, 8, 1.0), (0, 3, 1, 0.5), (40, 1, 0, 3.0), (40, 2, 8, 3.0), (40, 3, 1, 1.5)]
     assert A.nearest(df.filter("vec_id > 99")).collect() == []
+
+
+@pytest.mark.parametrize("components", [64, 128])
+@pytest.mark.parametrize("spread", [0.0, 0.5])
+def test_recall_when_norms_differ(spark, components, spread):
+    """Gaussian vectors, and log-normal norms on top, at the query's k and more than one shard."""
+    rng = np.random.default_rng(components)
+    x = rng.normal(size=(8192, components)) * np.exp(rng.normal(scale=spread, size=(8192, 1)))
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    want = brute(rows, 20, 20)
+    assert recall(A.nearest(df).collect(), want, 20) >= 0.9
+    if components == 64:
+        assert recall(A.nearest(df, shard_size=1500).collect(), want, 20) >= 0.9
+
+
+def test_short_shards_are_skipped(spark):
+    """Vectors that cannot beat the k-th score are not visited, and nothing is lost."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:1000] *= 50
+    x[:, 0] = np.abs(x[:, 0]) + np.linalg.norm(x, axis=1) * 0.3
+    rows = list(enumerate(x.tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    visited = []
+    kept = A.search_index
+
+    def spy(index, visits, *args, **named):
+        visited.append(visits.count())
+        return kept(index, visits, *args, **named)
+
+    A.search_index = spy
+    try:
+        got = A.nearest(df, k=10, shard_size=500).collect()
+    finally:
+        A.search_index = kept
+    assert recall(got, brute(rows, 10, 20), 10) >= 0.95
+    assert visited[0] > 0 and visited[1] < 0.5 * visited[0]
+
+
+def test_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i % 300, v) for i, v in enumerate(rng.normal(size=(900, 8)).tolist())] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = A.nearest(df, k=10, shard_size=200).collect()
+    assert recall(got, brute(rows, 10, 20), 10) >= 0.95
+    assert len({(r.query_id, r.vec_id) for r in got}) == len(got)
