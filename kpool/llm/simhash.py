@@ -1,14 +1,14 @@
 """SimHash near-duplicates: exact search for fingerprints within a Hamming radius.
 
 Fingerprints are made in Arrow batches; documents of one fingerprint then
-become one row.  Two fingerprints that differ in at most ``radius`` bits agree
-on at least one of ``radius + 1`` bit fields, so each goes to one cell per
-field, by the field's value.  Cells are cut into tiles of at most about
-``TILE`` fingerprints along their population counts, and tile pairs of a cell
-whose population counts differ by more than the radius are skipped: such
-fingerprints cannot be close.  The other pairs are compared whole, with numpy
-exclusive-or and bit counts.  No cell, tile or partner is capped: a crowded
-cell only has more tile pairs, each of which is a task's small group.
+become one row.  Cut into ``radius + j`` bit fields, two fingerprints that differ
+in at most ``radius`` bits agree on at least j of them, so each goes to one cell
+for every choice of j fields (j grows with the number of fingerprints, so that
+cells stay small).  Every cell is cut into tiles of one population count; pairs
+of tiles whose counts differ by more than the radius are skipped, as such
+fingerprints cannot be close, and the other pairs are compared whole, with numpy
+exclusive-or and bit counts.  No cell, tile or partner is capped: a crowded cell
+is dealt to tasks by pairs of bands of population counts.
 
 Of the links in a batch of tile pairs only a spanning forest leaves the task;
 it has the same components.
@@ -20,15 +20,20 @@ component without any id has a null name.  Repeated rows share a fingerprint.
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut, fresh, text_bytes
+from kpool.llm._io import cut, fresh, ship, text_bytes
 from kpool.llm.components import connected_components, spanning_links
 
-TILE = 4096
+TILE = 4096          # fingerprints of a cell, or of a band, in one task
+CELL = 256           # fingerprints that a cell holds by chance, above which more fields must agree
+COMPARED = 1 << 20   # comparisons made at once
 SEED = 42
 
 
@@ -58,6 +63,7 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, name: str = "fp") -> DataFrame:
     """``docs`` with its signed 64-bit fingerprint in column ``name`` (replaced
     if it exists); column ``text`` must be a string."""
+    ship(docs.sparkSession)
     docs = docs.drop(name) if name in docs.columns else docs
     kept = docs.columns
 
@@ -84,10 +90,42 @@ def _close(a: np.ndarray, b: np.ndarray, radius: int, same: bool):
         yield x, y
 
 
+def tile_pairs(group: np.ndarray, side: np.ndarray, count: np.ndarray, radius: int):
+    """Pairs of tiles to compare, as (begin, size, begin, size) columns, and how
+    many pairs of the same groups are skipped.
+
+    Rows are sorted by (group, side, population count).  A tile is a run of rows
+    of one population count; tiles of side 0 meet each other, those of side 1
+    meet those of side 2.  Counts further apart than the radius are skipped."""
+    if not len(group):
+        return np.zeros((0, 4), np.int64), 0
+    change = (np.diff(group) != 0) | (np.diff(side) != 0) | (np.diff(count) != 0)
+    begin = np.concatenate([[0], np.flatnonzero(change) + 1])
+    size = np.diff(np.append(begin, len(group)))
+    number = np.cumsum(np.concatenate([[0], np.diff(group[begin]) != 0]))
+    key = (number * 4 + side[begin]) * 256 + count[begin] + 64  # ascending; counts may be looked for below and above
+    pairs = []
+    for apart in range(-radius, radius + 1):
+        for mine, other in ((0, 0), (1, 2)):
+            if mine == other and apart < 0:
+                continue
+            own = np.flatnonzero(side[begin] == mine)
+            want = key[own] + (other - mine) * 256 + apart
+            at = np.searchsorted(key, want)
+            hit = (at < len(key)) & (key[np.minimum(at, len(key) - 1)] == want)
+            pairs.append(np.column_stack([begin[own[hit]], size[own[hit]], begin[at[hit]], size[at[hit]]]))
+    found = np.concatenate(pairs)
+    tiles = np.zeros((number[-1] + 1, 3), np.int64)
+    np.add.at(tiles, (number, side[begin]), 1)
+    return found, int((tiles[:, 0] * (tiles[:, 0] + 1) // 2 + tiles[:, 1] * tiles[:, 2]).sum()) - len(found)
+
+
 def _compare(group: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: int):
-    """Spanning links of all groups in a batch; rows of a group are adjacent."""
-    bounds = np.flatnonzero(np.diff(group, prepend=group[:1] - 1)) if len(group) else np.empty(0, np.int64)
-    sizes = np.diff(np.append(bounds, len(group)))
+    """Spanning links of all groups in a batch, by comparing tile pairs."""
+    count = np.bitwise_count(fps).astype(np.int64)
+    order = np.lexsort((count, side, group))
+    group, side, fps, count = group[order], side[order].astype(np.int64), fps[order], count[order]
+    pairs, _ = tile_pairs(group, side, count, radius)
     found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
 
     def keep(x, y):
@@ -95,39 +133,55 @@ def _compare(group: np.ndarray, side: np.ndarray, fps: np.ndarray, radius: int):
         found_a.append(x)
         found_b.append(y)
 
-    small = sizes <= 48
-    where = np.repeat(np.where(small, bounds + sizes, 0), sizes)  # end of a small group
-    rows, shift = np.flatnonzero(where > 0), 1
-    while len(rows):  # all small groups at once: each row against the one ``shift`` below
-        rows = rows[rows + shift < where[rows]]
-        hit = np.bitwise_count(fps[rows] ^ fps[rows + shift]) <= radius
+    cost = pairs[:, 1] * pairs[:, 3]
+    for a, n, b, m in pairs[cost > COMPARED].tolist():  # large tiles, as matrices
+        for x, y in _close(fps[a:a + n], fps[b:b + m], radius, a == b):
+            keep(x + a, y + b)
+    pairs, cost = pairs[cost <= COMPARED], cost[cost <= COMPARED]
+    cuts = np.flatnonzero(np.diff(np.cumsum(cost) // COMPARED, prepend=0)) if len(cost) else []
+    for part, total in zip(np.split(pairs, cuts), np.split(cost, cuts)):  # small ones, many at once
+        which = np.repeat(np.arange(len(part)), total)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(total) - total, total)
+        x, y = part[which, 0] + nth // part[which, 3], part[which, 2] + nth % part[which, 3]
+        hit = (np.bitwise_count(fps[x] ^ fps[y]) <= radius) & ((part[which, 0] != part[which, 2]) | (x < y))
         if hit.any():
-            keep(rows[hit], rows[hit] + shift)
-        shift += 1
-    for lo, n in zip(bounds[~small].tolist(), sizes[~small].tolist()):
-        at, of = np.arange(lo, lo + n), side[lo:lo + n]
-        own = at[of == 0]
-        for x, y in _close(fps[own], fps[own], radius, True):
-            keep(own[x], own[y])
-        left, right = at[of == 1], at[of == 2]
-        if len(left) and len(right):
-            for x, y in _close(fps[left], fps[right], radius, False):
-                keep(left[x], right[y])
+            keep(x[hit], y[hit])
     return spanning_links(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def close_links(distinct: DataFrame, radius: int = 3, fp: str = "fp", tile: int = TILE) -> DataFrame:
+def fields_for(n: int, radius: int) -> int:
+    """Bit fields to cut fingerprints into: of more fields more must agree, so that
+    cells stay small as ``n`` grows; at most 64 cells a fingerprint."""
+    fields = radius + 1
+    while n >> (64 * (fields - radius) // fields) >= CELL and math.comb(fields + 1, radius) <= 64:
+        fields += 1
+    return fields
+
+
+def cells_of(fp: str, radius: int, fields: int) -> Column:
+    """The cells of a fingerprint: one for each choice of ``fields - radius`` fields,
+    named by the choice and the bits in them.  Of fingerprints within the radius at
+    least one choice has no differing bit."""
+    edges = np.linspace(0, 64, fields + 1).astype(int).tolist()
+    masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
+    cells = []
+    for i, chosen in enumerate(combinations(masks, fields - radius)):
+        mask = sum(chosen)
+        cells.append(F.xxhash64(F.lit(i), F.col(fp).bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))))
+    return F.array(*cells)
+
+
+def close_links(distinct: DataFrame, radius: int = 3, fp: str = "fp", tile: int = TILE, fields: int | None = None) -> DataFrame:
     """Links (a, b) between distinct fingerprints at most ``radius`` bits
     apart, thinned to forests that keep every component."""
     if not 0 <= radius <= 15:
         raise ValueError("radius must lie in 0..15")
-    fields, edges = radius + 1, np.linspace(0, 64, radius + 2).astype(int).tolist()
-    value = [F.shiftrightunsigned(F.col(fp), lo).bitwiseAND(F.lit((1 << hi - lo) - 1 if hi - lo < 64 else -1))
-             for lo, hi in zip(edges, edges[1:])]
-    cells = F.array(*[F.struct(F.lit(i).alias("f"), v.alias("v")) for i, v in enumerate(value)])
-    rows = (distinct.select(F.col(fp).alias("fp"), F.bit_count(fp).cast("int").alias("pc"), F.explode(cells).alias("c"))
-            .select("fp", "pc", F.xxhash64("c.f", "c.v").alias("cell")))
+    fields = fields_for(distinct.count(), radius) if fields is None else fields
+    if fields <= radius:
+        raise ValueError("more fields than differing bits are needed")
+    rows = distinct.select(F.col(fp).alias("fp"), F.bit_count(fp).cast("int").alias("pc"), F.explode(cells_of(fp, radius, fields)).alias("cell"))
 
+    # cells of more than ``tile`` are dealt to tasks by pairs of bands of population counts
     counts = rows.groupBy("cell", "pc").count()
     counts = counts.withColumn("total", F.sum("count").over(W.partitionBy("cell")))
     crowded = counts.filter(F.col("total") > tile)

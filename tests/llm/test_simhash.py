@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -80,3 +81,44 @@ def test_chain_is_one_component(spark):
     assert {r[1] for r in connected_components(links).collect()} == {0}
     a, b = spanning_links(np.array([5, 4, 3, 9]), np.array([4, 3, 5, 8]))
     assert sorted(zip(a.tolist(), b.tolist())) == [(4, 3), (5, 3), (9, 8)]
+
+
+def test_tile_pairs_are_skipped_on_documents(spark):
+    """Every cell is cut by population counts: pairs of tiles beyond the radius are
+    not compared, and no link is lost by it."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    fps = S.fingerprints(docs, "text").select("fp").distinct()
+    rows = fps.select("fp", F.explode(S.cells_of("fp", 3, 4)).alias("cell")).collect()
+    values = np.array([r["fp"] for r in rows]).view(np.uint64)
+    cell = np.array([r["cell"] for r in rows])
+    count = np.bitwise_count(values).astype(np.int64)
+    order = np.lexsort((count, cell))
+    values, cell, count = values[order], cell[order], count[order]
+    pairs, skipped = S.tile_pairs(cell, np.zeros(len(cell), np.int64), count, 3)
+    assert skipped > 100 and len(pairs) > 0
+    compared = {(int(values[i]), int(values[j])) for a, n, b, m in pairs.tolist() for i in range(a, a + n) for j in range(b, b + m) if values[i] != values[j]}
+    compared |= {(b, a) for a, b in compared}
+    near = np.unique(values)
+    close = {(int(near[i]), int(near[j])) for i in range(len(near)) for j in np.flatnonzero(np.bitwise_count(near ^ near[i]) <= 3) if i != j}
+    assert close <= compared
+
+
+@pytest.mark.parametrize("fields,tile", [(4, 4096), (4, 8), (5, 64), (6, 16), (7, 4096)])
+def test_any_number_of_fields_and_tiles(spark, fields, tile):
+    rng = np.random.default_rng(fields)
+    base = rng.integers(0, 1 << 63, 150, dtype=np.uint64)
+    near = [int(b) ^ sum(1 << int(i) for i in rng.choice(64, rng.integers(0, 5), replace=False)) for b in np.repeat(base, 4)]
+    near += [(1 << i) - 1 for i in range(65)] + [0, (1 << 64) - 1]  # a chain through all counts
+    fps = np.unique(np.array(near, np.uint64))
+    df = spark.createDataFrame([(int(v),) for v in fps.view(np.int64)], "fp long")
+    roots = {r["node"]: r["root"] for r in connected_components(S.close_links(df, 3, tile=tile, fields=fields)).collect()}
+    signed = fps.view(np.int64).tolist()
+    assert [roots.get(v, v) for v in signed] == brute_components(signed, [int(v) for v in fps])
+
+
+def test_more_fields_for_more_fingerprints():
+    assert S.fields_for(0, 3) == S.fields_for(10**6, 3) == 4
+    assert S.fields_for(10**9, 3) == 5 and S.fields_for(10**12, 3) == 6
+    assert S.fields_for(10**15, 0) >= 1 and S.fields_for(10**15, 15) >= 16
+    with pytest.raises(ValueError):
+        S.close_links(None, 16)
