@@ -99,14 +99,17 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     rates = rates.select("suffix", ((F.col("_b") + strength * rate) / (F.col("_n") + strength)).alias("suffix_rate"), F.log1p("_n").alias("suffix_seen"))
     rows = rows.join(rates, "suffix", "left").fillna({"suffix_rate": rate, "suffix_seen": 0.0})
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    some = (rows.filter(F.col("_v").isNotNull()).withColumn("label", (F.col("_v") == "block").cast("double"))
-            .orderBy(F.xxhash64("_u"), "_u").limit(sample).select("label", *FEATURES))
-    some = vector.transform(cut(some.repartition(4))).select("label", "features")
-    found = some.agg(F.min("label"), F.max("label")).first()
-    if found[0] == found[1]:  # the sample holds one class: the rate decides
-        scored = rows.withColumn("_p", F.col("suffix_rate"))
-    else:
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed).fit(some)
-        scored = model.transform(vector.transform(rows)).withColumn("_p", vector_to_array("probability")[1])
+    # distinct URLs, of each class up to ``sample``, weighted so that classes and copies count as in all rows
+    urls = rows.filter(F.col("_v").isNotNull()).withColumn("label", (F.col("_v") == "block").cast("double")) \
+        .groupBy("_u").agg(F.first("label").alias("label"), F.count("*").cast("double").alias("weight"), *[F.first(f).alias(f) for f in FEATURES])
+    some = None
+    for label, rows_of_class in ((0.0, n - blocked), (1.0, blocked)):
+        part = cut(urls.filter(F.col("label") == label).orderBy(F.xxhash64("_u"), "_u").limit(sample).select("label", "weight", *FEATURES).repartition(4))
+        held = part.agg(F.sum("weight")).first()[0]
+        part = part.withColumn("weight", F.col("weight") * (rows_of_class / held))
+        some = part if some is None else some.union(part)
+    some = vector.transform(cut(some)).select("label", "weight", "features")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, weightCol="weight").fit(some)
+    scored = model.transform(vector.transform(rows)).withColumn("_p", vector_to_array("probability")[1])
     p = F.when(F.col("_v").isNull(), F.col("_p"))
     return scored.select(*out, F.coalesce("_v", F.when(p >= 0.5, "block").otherwise("allow")).alias("verdict"), p.alias("p_block")).withColumnRenamed("_id", id_col)

@@ -65,3 +65,47 @@ def test_entropy_and_edge_tables(spark):
     one = spark.createDataFrame([(1, "x://a.net/es/"), (2, "x://a.org/")], "page_id long, url string")
     assert {r.page_id: r.verdict for r in U.judge_urls(one, URL_RULES).collect()} == {1: "block", 2: "block"}
     assert {r.verdict for r in U.judge_urls(one, []).collect()} == {"allow"}
+
+
+def test_features_equal_brute_force(spark):
+    """What the trees see, for whole URLs."""
+    urls = [u for u in URLS if u is not None]
+    host, path = U.address("_u")
+    rows = U.lexical(spark.createDataFrame([(u,) for u in urls], "_u string").withColumn("host", host).withColumn("path", path)).collect()
+    for r in rows:
+        u, (host, path, _, _) = r["_u"], brute(r["_u"])
+        query = re.search(r"\?([^#]*)", u)
+        want = {"length": len(u), "host_length": len(host), "host_labels": len(host.split(".")), "depth": sum(p != "" for p in path.split("/")),
+                "digit_ratio": sum("0" <= c <= "9" for c in u) / len(u) if u else 0, "parameters": len(query[1].split("&")) if query and query[1] else 0,
+                "hyphens": u.count("-"), "fragment": "#" in u}
+        assert {k: r[k] for k in want} == want and r["suffix"] == host.rsplit(".", 1)[-1], u
+
+
+def labelled_urls(count, salt=""):
+    bad = [f"http://s{i}.{'aa' if i % 2 else 'bb'}/a-{i * 977}/b-{i}{salt}?p={i}&q={i}" for i in range(count)]
+    good = [f"http://www.{'cc' if i % 2 else 'dd'}/page/{'text' if i % 3 else 'word'}{salt}{'x' * (i % 7)}" for i in range(count)]
+    return bad, good
+
+
+def test_accuracy_on_urls_and_suffixes_left_out(spark):
+    """URLs of known suffixes that no rule names, and URLs of suffixes without any label."""
+    rules = [("block", "aa/"), ("block", "bb/"), ("allow", "cc/"), ("allow", "dd/")]
+    bad, good = labelled_urls(300)
+    unseen_bad, unseen_good = ([u.replace(".aa", ".zz").replace(".bb", ".yy").replace(".cc", ".zz").replace(".dd", ".yy") for u in us] for us in labelled_urls(60, "n"))
+    urls = bad + good + unseen_bad + unseen_good
+    got = {r.page_id: r for r in U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    right = [got[600 + i].verdict == ("block" if i < 60 else "allow") for i in range(120)]
+    assert sum(right) >= 0.9 * len(right)
+
+
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    """A URL that holds most labelled rows is one URL of the sample, and both classes have their own bound."""
+    rules = [("block", "aa/"), ("block", "bb/"), ("allow", "cc/"), ("allow", "dd/")]
+    bad, good = labelled_urls(100)
+    unseen = [u.replace(".aa", ".zz").replace(".bb", ".zz") for u in labelled_urls(40, "n")[0]]
+    urls = [good[0]] * 2000 + bad + good + unseen
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in U.judge_urls(df, rules, sample=80).collect()}
+    scores = [got[2200 + i].p_block for i in range(40)]
+    assert len({round(x, 6) for x in scores}) >= 1 and all(x is not None for x in scores)
+    assert min(scores) > max(r.p_block or 0 for i, r in got.items() if i < 2200) or sum(x > 0.5 for x in scores) >= 20
