@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut
+from kpool.llm._io import Scratch, cut, fresh
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 MANY = 48  # repeated windows up to which membership is by search, else by sorting
@@ -155,8 +155,13 @@ def _model(marked: DataFrame):
     return fit_label_model(sorted((tuple(r[0]), r[1]) for r in marked.groupBy("_votes").count().collect()))  # at most 3^rules
 
 
+def base_test(n_words: str = "n_words", n_repeat_words: str = "n_repeat_words") -> Column:
+    """True for texts that fail it: few words, or most of them in repeated windows."""
+    return (F.col(n_words) < 50) | (100 * F.col(n_repeat_words) > 50 * F.col(n_words))
+
+
 def _judged(marked: DataFrame, model, keep_from: float) -> DataFrame:
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = base_test()
     return (marked.withColumn("p_good", posterior(model, "_votes")).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= keep_from)).drop("_votes"))
 
@@ -172,12 +177,14 @@ def judge(docs: DataFrame, keep_from: float = 0.5, id_col: str = "doc_id", text:
 
 
 def keep_good(docs: DataFrame, keep_from: float = 0.5, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` that are kept; columns unchanged.  The measures are
-    computed twice, for the model and for the verdicts, rather than written
-    out with the texts."""
+    """Rows of ``docs`` that are kept; columns unchanged.  The texts are measured
+    once: rows and votes are written (compressed) to the shared folder, where
+    the model and the verdicts read them."""
     kept = docs.columns
     measured = measures(docs.select(F.struct(*kept).alias("_row"), F.col(text).alias("_t")), "_t")
-    marked = measured.select("_row", "n_words", "n_repeat_words", votes(measured).alias("_votes"))
-    # the row number keeps the optimizer from copying the measures into the filter, once for each use
-    numbered = marked.withColumn("_n", F.monotonically_increasing_id())
-    return _judged(numbered, _model(marked), keep_from).filter("kept AND _n >= 0").select("_row.*")
+    names = [fresh(kept, n) for n in ("votes", "n_words", "n_repeat_words")]
+    marked = Scratch().write(measured.select("_row.*", votes(measured).alias(names[0]), *[F.col(n).alias(m) for n, m in zip(("n_words", "n_repeat_words"), names[1:])]),
+                             "quality")
+    model = _model(marked.select(F.col(names[0]).alias("_votes")))
+    good = posterior(model, names[0]) >= keep_from
+    return marked.filter(~base_test(*names[1:]) & good).select(*kept)
