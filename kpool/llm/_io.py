@@ -36,6 +36,7 @@ def ship(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once, as a reliable checkpoint in ``spark.checkpoint.dir``.
     For narrow tables (ids, counts, links); tables with texts use ``Scratch``."""
+    ship(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -61,6 +62,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         spark = df.sparkSession
+        ship(spark)
         path, files, where = scratch_folder(spark, name)
         df.write.mode("overwrite").parquet(path)
         self.places.append((files, where))

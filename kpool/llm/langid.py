@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut, text_bytes
+from kpool.llm._io import cut, ship, text_bytes
 from kpool.llm.urls import address
 
 BUCKETS = 1 << 15
@@ -174,6 +174,7 @@ def _smoothed(counts: Column, parent: Column, strength: float) -> Column:
 def identify_language(pages: DataFrame, texts: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", text: str = "text",
                       lang: str = "lang", strength: float = 10.0, doubt: float = 1.0) -> DataFrame:
     """One row per page: id, lang, p (its posterior), text_lang (by text alone), declared, host."""
+    ship(pages.sparkSession)
     model = fit_text_model(texts, text, lang)
     n, names = len(model.langs), F.array(*map(F.lit, model.langs)).cast("array<string>")
     none = F.lit(None).cast("string")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut, text_bytes
+from kpool.llm._io import cut, ship, text_bytes
 from kpool.llm.tokens import END_ID, encoder
 
 PIECE_FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -35,6 +35,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, id_col:
     (the last piece may be shorter).  A null text is an empty one: one piece
     that holds the end id.  Rows with a null or repeated id are documents of
     their own."""
+    ship(docs.sparkSession)
     end = np.array([END_ID], "<u4").tobytes()
     fields = PIECE_FIELDS[:6 if with_ids else 5]
 
@@ -118,6 +119,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length", order:
     interchangeable, so ties (equal ``order``) may be placed either way.
     Columns with clashing names (``sequence_id``, ``offset``) are replaced.
     """
+    ship(pieces.sparkSession)
     pieces = cut(pieces.drop("sequence_id", "offset").withColumn("_pid", F.spark_partition_id()))
     histogram = {r[0]: r[1] for r in pieces.groupBy(length).count().collect()}  # at most ``capacity`` rows
     if any(x is None or not 1 <= x <= capacity for x in histogram):

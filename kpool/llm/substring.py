@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import Scratch, cut, fresh, text_bytes
+from kpool.llm._io import cut, fresh, Scratch, ship, text_bytes
 
 WINDOW = 35
 PREFIX = 10
@@ -228,6 +228,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
                      prefix: int = PREFIX, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """(key, key2, spans) for texts with repeats: ``spans`` holds (first window,
     windows) runs; the keys are hashes of the text."""
+    ship(docs.sparkSession)
     if not 1 <= prefix <= window:
         raise ValueError("1 <= prefix <= window")
     rows = _keyed(docs, id_col, text)
@@ -263,6 +264,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     ``digest=True``: id, n_words, n_removed and kept_sha256 (of the kept words
     joined by one space).
     """
+    ship(docs.sparkSession)
     spans = repeated_windows(docs, window, id_col, text, group_limit=group_limit)
     kept = docs.columns
     key, key2, marks, data = (fresh(kept, n) for n in ("key", "key2", "spans", "data"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpool.llm._io import cut, running_start, scratch_folder, text_bytes
+from kpool.llm._io import cut, running_start, scratch_folder, ship, text_bytes
 
 MAGIC = b"KPTOKEN1"
 BLOCK = 1 << 16
@@ -250,6 +250,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, folder: str | None = Non
     A task writes under a name of its own, and the manifest holds the names of
     the attempts that ended well, so a retried task leaves no wrong shard.
     """
+    ship(docs.sparkSession)
     spark = docs.sparkSession
     folder = folder or scratch_folder(spark, "tokens")[0]
     bits = vocabulary_bits(tokenizer)
@@ -279,6 +280,7 @@ def write_token_shards(docs: DataFrame, tokenizer: str, folder: str | None = Non
 def read_token_shards(manifest: DataFrame, id_name: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """One row per document from the files: id, start, n_tokens, ids_crc32 and,
     if asked for, the ids."""
+    ship(manifest.sparkSession)
 
     def read(batches):
         for batch in batches:

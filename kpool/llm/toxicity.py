@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from kpool.llm._io import Scratch, cut
+from kpool.llm._io import cut, Scratch, ship
 
 EDGE = "\"'`.,;:!?()[]{}<>*_~#$%&|-‘’“”«»…"
 QUOTES = frozenset("\"“”«»`")
@@ -285,6 +285,7 @@ def held_out(id_col: str) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
                    sample: int = 20_000, ridge: float = 1.0) -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
+    ship(docs.sparkSession)
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_toxic")))
     some = cut(marks.orderBy(F.xxhash64("_id"), "_id").limit(sample))  # at most ``sample`` rows: safe to broadcast
