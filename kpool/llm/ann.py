@@ -42,6 +42,7 @@ from kpool.llm._io import cut, ship
 
 DEGREE, ALPHA, BUILD_BEAM, SEARCH_BEAM, EXPAND, ENTRIES = 48, 1.2, 64, 192, 4, 16
 BAND = 1.1                # longest norm of a band over its shortest
+MAX_PARTS = 20_000        # of the work on graphs
 MAX_SHARDS = 1_000_000    # most shards whose (number, norm) are broadcast
 
 
@@ -245,9 +246,9 @@ def _search(k: int, beam: int):
     return task
 
 
-def search_index(index: DataFrame, visits: DataFrame, k: int, block_size: int = 1 << 18, beam: int = SEARCH_BEAM) -> DataFrame:
+def search_index(index: DataFrame, visits: DataFrame, k: int, block_size: int = 1 << 18, beam: int = SEARCH_BEAM, parts: int | None = None) -> DataFrame:
     """(query_id, vec_id, score): the ``k`` best of the shards that queries visit
-    (``visits``: dim, shard, id, v)."""
+    (``visits``: dim, shard, id, v), in ``parts`` partitions."""
     blocks = visits.groupBy("dim", "shard").agg(F.ceil(F.count("*") / block_size).cast("int").alias("blocks"))
     nothing = F.lit(None)
     nodes = index.join(blocks, ["dim", "shard"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
@@ -256,7 +257,9 @@ def search_index(index: DataFrame, visits: DataFrame, k: int, block_size: int =
     asked = visits.join(blocks, ["dim", "shard"]) \
         .select("dim", "shard", block.alias("block"), F.lit(1).alias("kind"), nothing.cast("int").alias("node"), nothing.cast("array<long>").alias("ids"), "v",
                 nothing.cast("array<int>").alias("edges"), "id")
-    rows = nodes.unionByName(asked).repartition("dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", "kind", "node")
+    where = ("dim", "shard", "block")
+    rows = nodes.unionByName(asked)
+    rows = (rows.repartition(*where) if parts is None else rows.repartition(parts, *where)).sortWithinPartitions("dim", "shard", "block", "kind", "node")
     return rows.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
 
 
@@ -275,7 +278,7 @@ def log_norm(v: Column) -> Column:
     return F.log2(top) + F.log2(squares) / 2
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int = 16_384, id_col: str = "vec_id", vector: str = "embedding",
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int = 8192, id_col: str = "vec_id", vector: str = "embedding",
             beam: int = SEARCH_BEAM) -> DataFrame:
     """The ``k`` nearest of every vector whose id is divisible by ``every``:
     query_id, rank, vec_id, score."""
@@ -293,12 +296,14 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int =
                          (F.coalesce(F.sum("n").over(longer), F.lit(0)) < shard_size).alias("lead"))
     shard = F.col("band") * (1 << 32) + F.pmod(F.xxhash64("v"), F.col("shards"))
     nodes = nodes.join(bands, ["dim", "band"]).select("dim", shard.alias("shard"), "ids", "v", "norm", "lead")
-    shards = cut(nodes.groupBy("dim", "shard").agg(F.max("norm").alias("top"), F.first("lead").alias("lead")))
+    shards = cut(nodes.groupBy("dim", "shard").agg(F.max("norm").alias("top"), F.first("lead").alias("lead"), F.count("*").alias("n")))
     if shards.count() <= MAX_SHARDS:
         shards = F.broadcast(shards)
-    index = cut(build_index(nodes.select("dim", "shard", "ids", "v")))
+    # a graph is much work for few bytes: its partitions are not for the optimizer to join
+    parts = min(MAX_PARTS, 2 * math.ceil(max(1, shards.agg(F.sum("n")).first()[0] or 0) / shard_size))
+    index = cut(build_index(nodes.select("dim", "shard", "ids", "v").repartition(parts, "dim", "shard")))
     asked = rows.filter(F.col("id") % every == 0).select("id", "v", F.size("v").alias("dim"))
-    first = cut(search_index(index, asked.join(shards.filter("lead"), "dim").select("dim", "shard", "id", "v"), k, beam=beam))
+    first = cut(search_index(index, asked.join(shards.filter("lead"), "dim").select("dim", "shard", "id", "v"), k, beam=beam, parts=parts))
     # the k-th score so far: what the other shards' longest vectors have to beat
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = first.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -306,7 +311,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_size: int =
     open_ = asked.join(bound, "id", "left").join(shards.filter("NOT lead"), "dim")
     could = F.col("top") + log_norm(F.col("v")) + 1e-6 >= F.least(F.log2("kth"), F.lit(1024.0))  # null: no k-th score, or none above zero
     rest = open_.filter(F.coalesce(could, F.lit(True)) | (F.col("kth") <= 0)).select("dim", "shard", "id", "v")
-    found = first.union(search_index(index, cut(rest), k, beam=beam))
+    found = first.union(search_index(index, cut(rest), k, beam=beam, parts=parts))
     best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = best.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
