@@ -148,13 +148,35 @@ def unpack_bits(data: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(planes, axis=1, bitorder="little").view("<u4").ravel()
 
 
+#: schemes that Hadoop and Arrow spell differently
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+#: schemes that Arrow opens, ``file`` being a folder that all executors mount
+KNOWN = ("file", "hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
+
+
+def arrow_path(path: str) -> str:
+    """A path of the cluster's file system as Arrow names it.  Raises where Arrow has
+    no such file system, or the path does not say which one it means: an executor
+    would open a local file of its own."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{path} names no file system")
+    if scheme == "dbfs":  # mounted on every node
+        return "file:///dbfs/" + rest.lstrip("/")
+    scheme = SCHEMES.get(scheme, scheme)
+    if scheme not in KNOWN:
+        raise ValueError(f"token files cannot be written to {scheme}: paths; give write_token_shards another folder")
+    return "file:///" + rest.lstrip("/") if scheme == "file" else f"{scheme}:{rest}"
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
-    if "://" not in path and not path.startswith("file:"):
+    if path.startswith("/"):  # a single file opened by hand; shards always have a scheme
         return fs.LocalFileSystem(), path
+    path = arrow_path(path)
     if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+        return fs.LocalFileSystem(), path[len("file://"):]
     return fs.FileSystem.from_uri(path)
 
 
@@ -253,6 +275,9 @@ def write_token_shards(docs: DataFrame, tokenizer: str, folder: str | None = Non
     ship(docs.sparkSession)
     spark = docs.sparkSession
     folder = folder or scratch_folder(spark, "tokens")[0]
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # a path without a scheme is one of the cluster's default file system
+    folder = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    arrow_path(folder)  # raises before any work is done
     bits = vocabulary_bits(tokenizer)
     end = np.array([END_ID], "<u4").tobytes()
 

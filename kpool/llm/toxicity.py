@@ -283,8 +283,11 @@ def held_out(id_col: str) -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-                   sample: int = 20_000, ridge: float = 1.0) -> DataFrame:
-    """One row per document: id, held_out, score, predicted."""
+                   sample: int = 20_000, ridge: float = 1.0, lexicon_size: int = 1000) -> DataFrame:
+    """One row per document: id, held_out, score, predicted.
+
+    Learned from at most ``sample`` labelled rows; the lexicon holds the
+    ``lexicon_size`` terms that tell the classes apart best."""
     ship(docs.sparkSession)
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_toxic")))
@@ -294,7 +297,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     texts = tables.write(_one_of_copies(texts), "labelled")
     n, n_bad = texts.agg(F.count("*"), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     if n and 0 < n_bad < n:
-        lexicon = learn_lexicon(cut(vocabulary(texts, "_text", "_toxic")), n_bad, n - n_bad)
+        lexicon = learn_lexicon(cut(vocabulary(texts, "_text", "_toxic")), n_bad, n - n_bad, size=lexicon_size)
         seen = _with_features(texts.select("_text", "_toxic"), lexicon, "_toxic").toArrow()
         x = np.column_stack([seen.column(f).to_numpy() for f in FEATURES])
         weights = fit_logistic(x, seen.column("_toxic").to_numpy().astype(float), ridge)

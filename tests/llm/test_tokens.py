@@ -149,3 +149,19 @@ def test_packing_is_gapless_and_whole(spark, reference):
     assert P.pack(pieces.filter("length > 999"), 128).collect() == []
     with pytest.raises(ValueError):
         P.pack(pieces, 64)
+
+
+def test_paths_of_clusters():
+    assert K.arrow_path("file:/mnt/x/a.tok") == K.arrow_path("file:///mnt/x/a.tok") == "file:///mnt/x/a.tok"
+    assert K.arrow_path("s3a://bucket/x") == "s3://bucket/x" and K.arrow_path("hdfs://nn:8020/x") == "hdfs://nn:8020/x"
+    assert K.arrow_path("dbfs:/tmp/x") == "file:///dbfs/tmp/x" and K.arrow_path("abfss://c@a.dfs.core.windows.net/x").startswith("abfss://")
+    for bad in ("/tmp/x", "wasbs://c@a/x", "relative/x", "relative/with:colon"):
+        with pytest.raises(ValueError):
+            K.arrow_path(bad)
+
+
+def test_folder_without_a_scheme_is_qualified(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    manifest = K.write_token_shards(docs, word_tokenizer(), folder=str(tmp_path / "shards"))
+    assert all(r["path"].startswith("file:/") for r in manifest.collect())
+    assert K.read_token_shards(manifest).count() == 2
