@@ -492,6 +492,17 @@ def q_stream_sample(spark, sf_dir):
         "event_type", "n", "k", RANK, PRIORITY, "value")
 
 
+@register("stream_sample_salted", ORACLE["summary_build"])
+def q_stream_sample_salted(spark, sf_dir):
+    """Each key kept as 8 sub-keys, merged on read: the same samples."""
+    from kpool.streaming.sample_stream import merged_summary, run_to_end, stream_sample
+
+    q, tdir = stream_sample(_event_stream(spark, sf_dir), ["event_type"], 10, "event_id", ["event_id"], seed=SEED, salt=8)
+    run_to_end(q)
+    return explode_summary(merged_summary(spark, tdir, ["event_type"], 10), ["event_type"]).select(
+        "event_type", "n", "k", RANK, PRIORITY, "value")
+
+
 @register("stream_merge", f"""
 SELECT priority, event_id AS value,
        CAST(row_number() OVER (ORDER BY priority, event_id) AS BIGINT) AS sample_rank,

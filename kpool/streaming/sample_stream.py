@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpool.operators.merge import merge_summaries
-from kpool.operators.sample import DEFAULT_SIZE
+from kpool.operators.sample import DEFAULT_SIZE, check_size
 from kpool.operators.summary import build_summary
 from kpool.session import shared_dir
 
 VERSION = "v"
 SLOT = "slot"
+SALT = "_salt"
 
 
 def complete_slots(spark: SparkSession, table_dir: str) -> list[str]:
@@ -103,14 +104,25 @@ def stream_sample(
     table_dir: str | None = None,
     checkpoint: str | None = None,
     trigger: dict | None = None,
+    salt: int = 1,
 ):
     """Start the sampling stream; returns ``(query, table_dir)``.
 
     ``table_dir`` / ``checkpoint`` default to fresh folders under the shared
     checkpoint directory.  Read the current summaries with
     ``latest_summary(spark, table_dir)``.
+
+    With ``salt`` above 1 the state has two levels: each key is kept as ``salt``
+    sub-keys (by a hash of the identity), so that updates of one key are that
+    many tasks; ``merged_summary`` merges them on read, exactly.
     """
     spark = sdf.sparkSession
+    check_size("salt", salt)
+    keys = list(keys)
+    if salt > 1:
+        names = [F.col(c) if isinstance(c, str) else c for c in id_cols]
+        sdf = sdf.withColumn(SALT, F.pmod(F.xxhash64(*names), F.lit(salt)).cast("int"))
+        keys = [*keys, SALT]
     table_dir = table_dir or shared_dir(spark, "summaries")
     checkpoint = checkpoint or shared_dir(spark, "stream-ckpt")
     writer = summary_batch_writer(keys, k, value_cols, id_cols, seed, table_dir)
@@ -119,6 +131,12 @@ def stream_sample(
     return w.start(), table_dir
 
 
+def merged_summary(spark: SparkSession, table_dir: str, keys: Sequence[str], k: int = DEFAULT_SIZE) -> DataFrame | None:
+    """The newest summaries of a salted stream, one per key."""
+    parts = latest_summary(spark, table_dir)
+    return None if parts is None else merge_summaries(parts, keys, k, materialize_input=False)
+
+
 def run_to_end(query) -> None:
     """Block until an ``availableNow`` stream has drained its input."""
     query.awaitTermination()

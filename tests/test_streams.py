@@ -120,3 +120,41 @@ def test_paired_stream_runs_without_session_provider(spark, tmp_path):
     finally:
         if before is not None:
             spark.conf.set(PROVIDER_KEY, before)
+
+
+def test_salted_state_merges_to_the_same_samples(spark, tmp_path):
+    from kpool.streaming.sample_stream import merged_summary
+
+    d = _split_events(tmp_path, 3)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    sdf = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d)
+    q, tdir = stream_sample(sdf, [], 8, "event_id", ["event_id"], seed=3, table_dir=str(tmp_path / "tab"), checkpoint=str(tmp_path / "ck"), salt=5)
+    run_to_end(q)
+    assert latest_summary(spark, tdir).count() == 5  # one key, five sub-keys
+    got = explode_summary(merged_summary(spark, tdir, [], 8), []).collect()
+    want = explode_summary(build_summary(ev, [], 8, "event_id", ["event_id"], seed=3), []).collect()
+    assert sorted(got) == sorted(want)
+    with pytest.raises(ValueError):
+        stream_sample(sdf, [], 8, "event_id", ["event_id"], salt=0)
+
+
+def test_arrival_time_stays_inside_items(spark, tmp_path):
+    from kpool.sources.messages import stamp_arrival, summary_payload
+    from kpool.streaming.sample_stream import stream_merge
+
+    d = _split_events(tmp_path, 3)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    sdf = stamp_arrival(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d))
+    q, tdir = stream_sample(sdf, [], 40, ["event_id", "arrival_ts"], ["event_id"], seed=3, table_dir=str(tmp_path / "tab"), checkpoint=str(tmp_path / "ck"))
+    run_to_end(q)
+    merged = stream_merge(spark, [tdir], [], 40)
+    rows = explode_summary(merged, []).select("value.event_id", "value.arrival_ts").collect()
+    part = {r["event_id"]: i for i in range(3) for r in spark.read.parquet(f"{d}/part-{i:03d}.parquet").select("event_id").collect()}
+    times = {}
+    for r in rows:
+        times.setdefault(part[r["event_id"]], set()).add(r["arrival_ts"])
+    assert all(len(t) == 1 for t in times.values())
+    order = [min(times[i]) for i in sorted(times)]
+    assert order == sorted(order) and len(set(order)) == len(times)
+    text = summary_payload(merged).select(F.col("value").cast("string").alias("t")).first()["t"]
+    assert str(order[0].year) in text
