@@ -893,3 +893,16 @@ def q_merge_tree(spark, sf_dir):
         found = found.select(F.lit(i).cast("bigint").alias("i"), "n", PRIORITY, "value", RANK)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+# --------------------------------------------------------------- A9: default_sizes
+# Samples and their merge at the default sizes (k = m = 10) and the default seed.
+@register("default_sizes", f"""
+SELECT event_type, CAST(total AS BIGINT) AS n, CAST(10 AS BIGINT) AS k, CAST(r AS BIGINT) AS sample_rank, priority, event_id AS value FROM (
+  SELECT event_type, event_id, {_pri_sql('event_id', 0)} AS priority, count(*) OVER (PARTITION BY event_type) AS total,
+         row_number() OVER (PARTITION BY event_type ORDER BY {_pri_sql('event_id', 0)}, event_id) AS r FROM events) WHERE r <= 10
+""")
+def q_default_sizes(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn("half", parity("event_id"))
+    halves = build_summary(ev, ["event_type", "half"], value_cols="event_id", id_cols=["event_id"])
+    return explode_summary(merge_summaries(halves, ["event_type"]), ["event_type"])
