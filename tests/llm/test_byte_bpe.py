@@ -135,3 +135,13 @@ def test_query_equals_the_library(spark):
         want[r["doc_id"]] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())
     got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in QUERIES["op12_byte_level_bpe"](spark, sf_dir).collect()}
     assert got == want
+
+
+def test_rows_leave_in_bounded_groups(monkeypatch):
+    monkeypatch.setattr(B, "GROUP", 100)
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        sizes = rng.integers(0, 90, rng.integers(0, 40))
+        groups = list(B._groups(sizes))
+        assert [i for a, b in groups for i in range(a, b)] == list(range(len(sizes)))
+        assert all(sizes[a:b - 1].sum() <= 100 for a, b in groups)

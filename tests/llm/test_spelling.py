@@ -144,3 +144,13 @@ def test_query_equals_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = [(r["doc_id"], r["text"]) for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
     assert result(QUERIES["op13_spelling_variants"](spark, sf_dir)) == brute(docs)
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    rng = random.Random(4)
+    for part in (1, 7, 50):
+        monkeypatch.setattr(S, "PART", part)
+        for _ in range(200):
+            text = "".join(rng.choices("abZéÀÿ×Ā日 \n-1🙂", k=rng.randint(0, 120)))
+            want = [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall("[A-Za-zÀ-ÿ]+", text)]
+            assert [w for some in S.runs(text.encode()) for w in some] == want
