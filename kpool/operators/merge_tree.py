@@ -76,20 +76,19 @@ class MergeTree:
         """Add the rows of ``df`` (rows without a bucket are ignored; buckets are not
         negative).  Appends follow each other by ``append_id``."""
         rows = df.filter(F.col(bucket).isNotNull()).withColumn(NODE, F.col(bucket).cast("bigint"))
-        level = materialize(build_summary(rows, [NODE, *self.keys], self.k, value_cols, id_cols, seed=seed))
-        fresh = level.withColumn(LEVEL, F.lit(0))
-        for i in range(1, self.levels + 1):  # each level from the k items of the one below
-            up = level.withColumn(NODE, F.shiftright(NODE, 1))
-            level = materialize(merge_summaries(up, [NODE, *self.keys], self.k, materialize_input=False))
-            fresh = fresh.unionByName(level.withColumn(LEVEL, F.lit(i)))
+        leaves = materialize(build_summary(rows, [NODE, *self.keys], self.k, value_cols, id_cols, seed=seed))
+        # every bucket's k items go to the nodes above it and are merged there, all levels in one plan
+        level = F.explode(F.sequence(F.lit(0), F.lit(self.levels)))
+        fresh = leaves.withColumn(LEVEL, level).withColumn(NODE, F.expr(f"shiftright({NODE}, {LEVEL})"))
         names = [LEVEL, NODE, *self.keys]
+        fresh = fresh.select(*names, "n", "k", "items")
         stored = self._stored(append_id)
         if stored is not None:  # the nodes on the paths of the new buckets only
-            touched = fresh.select(LEVEL, NODE).distinct()
-            old = self._newest(stored.join(touched, [LEVEL, NODE], "left_semi"))
+            touched = fresh.select(*names).distinct().alias("f")
             same = [F.col(f"o.{c}").eqNullSafe(F.col(f"f.{c}")) for c in names]
-            old = old.alias("o").join(fresh.select(*names).alias("f"), same, "left_semi")
-            fresh = merge_summaries(fresh.select(*names, "n", "k", "items").unionByName(old.select(*names, "n", "k", "items")), names, self.k)
+            old = self._newest(stored.alias("o").join(touched, same, "left_semi"))
+            fresh = fresh.unionByName(old.select(*names, "n", "k", "items"))
+        fresh = merge_summaries(fresh, names, self.k)
         fresh.select(*names, "n", "k", "items").write.mode("overwrite").parquet(f"{self.folder}/{APPEND}={append_id}")
 
     def between(self, begin: int, end: int, m: int | None = None) -> DataFrame:
