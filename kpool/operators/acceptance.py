@@ -20,7 +20,7 @@ How it is found
    half.  No pairs are formed, and a hot key is spread over its blocks.
 4. Samples shrink from the top, so what acceptances push out falls in priority:
    the j-th acceptance after the sample is full pushes out the j-th largest
-   item ever held.  Two row numbers and one join give ``to_n``.
+   item ever held.  Two row numbers give ``to_n``.
 
 The same function goes on from a stored sample (``held``, ``seen``): the held
 items are the sample at the start of every block, so micro-batches compose.
@@ -28,10 +28,11 @@ items are the sample at the start of every block, so micro-batches compose.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpool.operators.ordinal import MAX_BROADCAST_SLICES, ordinal
 from kpool.operators.sample import DEFAULT_SIZE, PRIORITY, check_size, group_limit, pruned_candidates, with_priority
@@ -40,6 +41,7 @@ from kpool.plans.layout import materialize
 
 FIRST_BLOCK = 8        # times k: elements below this are one block
 BIN = 1 << 12          # instants of a key that one task looks up together
+DEALT = 1 << 18        # elements whose levels one task sorts
 
 
 def _same(keys: Sequence[str], left: str, right: str) -> list[Column]:
@@ -50,10 +52,10 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence, value_cols:
                 seen: DataFrame | None = None, num_partitions: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``keys..., n, priority, value, keep...``: rows with their place per key
     (after ``seen`` earlier ones) and their priority."""
-    names = [f"_by{i}" for i in range(len(order))]
+    names = [c if isinstance(c, str) and c in keep else f"_by{i}" for i, c in enumerate(order)]  # kept columns go along once
     rows = with_priority(df, id_cols, seed).select(
         *keys, *keep, PRIORITY, value_column(value_cols).alias("value"),
-        *[(F.col(c) if isinstance(c, str) else c).alias(o) for c, o in zip(order, names)])
+        *[(F.col(c) if isinstance(c, str) else c).alias(o) for c, o in zip(order, names) if o not in keep])
     numbered = ordinal(rows, names, keys, out="n", num_partitions=num_partitions, start=seen)
     return numbered.select(*keys, "n", PRIORITY, "value", *keep)
 
@@ -99,19 +101,24 @@ def acceptance_log(numbered: DataFrame, keys: Sequence[str], k: int = DEFAULT_SI
         bound = F.broadcast(bound) if size <= MAX_BROADCAST_SLICES else bound
         rows = rows.alias("r").join(bound.alias("t"), [*_same([*keys, "_block"], "r", "t")], "left") \
             .filter(F.col("t._most").isNull() | (F.col(f"r.{PRIORITY}") < F.col("t._most"))).select("r.*")
-    found = materialize(rows)
+        rows = materialize(rows)
+    found = rows  # without a bound, the rows as they are numbered
 
     # 3. smaller and earlier ones, by halving
     pool = found.select(*keys, F.col("_block").alias("_b"), "n", PRIORITY, F.lit(True).alias("is_new")) \
         .unionByName(before.select(*keys, "_b", "n", PRIORITY, F.lit(False).alias("is_new")))
+    # a row becomes one per level, which its bytes before do not tell: tasks are cut by rows, and levels carry numbers only
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // DEALT))
+    pool = pool.repartition(tasks, *keys, "_b")
     group = Window.partitionBy(*keys, "_b")
-    pool = pool.withColumn("_at", F.row_number().over(group.orderBy("n")) - 1).withColumn("_last", F.max("_at").over(group))
-    levels = pool.withColumn("_level", F.explode(F.sequence(F.lit(0), F.length(F.bin("_last")) - 1)))
+    pool = pool.withColumn("_size", F.row_number().over(group.orderBy(*smallest))) \
+        .withColumn("_at", F.row_number().over(group.orderBy("n")) - 1).withColumn("_last", F.max("_at").over(group))
+    levels = pool.select(*keys, "_b", "n", "is_new", "_size", "_at", F.explode(F.sequence(F.lit(0), F.length(F.bin("_last")) - 1)).alias("_level"))
     levels = levels.withColumn("_half", F.expr("shiftright(_at, _level) & 1")).withColumn("_pair", F.expr("shiftright(_at, _level + 1)"))
-    by_size = Window.partitionBy(*keys, "_b", "_level", "_pair").orderBy(*smallest).rowsBetween(Window.unboundedPreceding, 0)
+    by_size = Window.partitionBy(*keys, "_b", "_level", "_pair").orderBy("_size").rowsBetween(Window.unboundedPreceding, 0)
     firsts = F.sum(F.when(F.col("_half") == 0, 1).otherwise(0)).over(by_size)
     counted = levels.withColumn("_firsts", F.when(F.col("_half") == 1, firsts).otherwise(0)).filter("is_new") \
-        .groupBy(*keys, "n").agg(F.sum("_firsts").alias("_smaller")).filter(F.col("_smaller") < kcol)
+        .groupBy(*keys, "_b", "n").agg(F.sum("_firsts").alias("_smaller")).filter(F.col("_smaller") < kcol)
     accepted = found.alias("r").join(counted.alias("c"), _same([*keys, "n"], "r", "c"), "left_semi") \
         .select(*keys, "n", PRIORITY, "value", F.lit(True).alias("is_new"))
 
@@ -119,12 +126,16 @@ def acceptance_log(numbered: DataFrame, keys: Sequence[str], k: int = DEFAULT_SI
     items = accepted
     if held is not None:
         items = items.unionByName(held.select(*keys, "n", PRIORITY, "value", F.lit(False).alias("is_new")))
-    items = materialize(items)
-    ranked = items.withColumn("_turn", F.row_number().over(by_key.orderBy(F.desc(PRIORITY), F.desc("n"))))
-    pushes = items.filter(F.col("is_new") & (F.col("n") > kcol)) \
-        .select(*keys, F.col("n").alias("to_n"), F.row_number().over(by_key.orderBy("n")).alias("_turn"))
-    return ranked.alias("i").join(pushes.alias("p"), _same([*keys, "_turn"], "i", "p"), "left") \
-        .select(*[F.col(f"i.{c}").alias(c) for c in (*keys, "n", PRIORITY, "value")], "p.to_n", "i.is_new")
+    # the j-th largest item and the j-th push meet in a window: both are numbered by key, and nothing moves again
+    by_n = by_key.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    pushes = F.col("is_new") & (F.col("n") > kcol)
+    ranked = items.withColumn("_turn", F.row_number().over(by_key.orderBy(F.desc(PRIORITY), F.desc("n")))) \
+        .withColumn("_push", F.when(pushes, F.sum(pushes.cast("int")).over(by_n)))
+    both = ranked.withColumn("_of_push", F.explode(F.when(pushes, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))) \
+        .select(*keys, "n", *[F.when(~F.col("_of_push"), F.col(c)).alias(c) for c in (PRIORITY, "value")], "is_new", "_of_push",
+                F.when(F.col("_of_push"), F.col("_push")).otherwise(F.col("_turn")).alias("_at"))
+    to_n = F.max(F.when(F.col("_of_push"), F.col("n"))).over(Window.partitionBy(*keys, "_at"))
+    return both.withColumn("to_n", to_n).filter(~F.col("_of_push")).select(*keys, "n", PRIORITY, "value", "to_n", "is_new")
 
 
 def sample_changelog(log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,6 +154,18 @@ def _bin(n: Column) -> Column:
     return F.when(n < BIN, F.length(F.bin(n))).otherwise(F.floor(n / BIN) + BIN.bit_length()).cast("bigint")
 
 
+def _lasting(log: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``log`` with a row for each ``_bin`` that an item lasts, up to the instant
+    ``_end`` of its key."""
+    log = log.select(*keys, "n", PRIORITY, "value", "to_n")
+    if keys:
+        lasting = log.alias("l").join(ends.alias("e"), _same(keys, "l", "e")).select("l.*", "e._end")
+    else:  # one number
+        lasting = log.withColumn("_end", F.lit(ends.first()["_end"]).cast("bigint"))
+    until = F.least(F.col("_end"), F.col("to_n") - 1)
+    return lasting.filter(F.col("n") <= F.col("_end")).withColumn("_bin", F.explode(F.sequence(_bin(F.col("n")), _bin(until)))).drop("_end")
+
+
 def items_at(log: DataFrame, instants: DataFrame, keys: Sequence[str], at: str = "at") -> DataFrame:
     """The items held at each instant: columns of ``instants`` (``keys...``, ``at``
     and others) with ``_bin``, ``priority``, ``value``; one row an item.
@@ -151,23 +174,48 @@ def items_at(log: DataFrame, instants: DataFrame, keys: Sequence[str], at: str =
     bins that it lasts, an instant is not, and a (key, bin) holds at most
     ``BIN`` different instants however often the key occurs."""
     keys = list(keys)
-    ends = instants.groupBy(*keys).agg(F.max(at).alias("_end"))
-    log = log.select(*keys, "n", PRIORITY, "value", "to_n")
-    if keys:
-        lasting = log.alias("l").join(ends.alias("e"), _same(keys, "l", "e")).select("l.*", "e._end")
-    else:  # one number
-        lasting = log.withColumn("_end", F.lit(ends.first()["_end"]).cast("bigint"))
-    until = F.least(F.col("_end"), F.col("to_n") - 1)
-    items = lasting.filter(F.col("n") <= F.col("_end")).withColumn("_bin", F.explode(F.sequence(_bin(F.col("n")), _bin(until)))).drop("_end")
+    items = _lasting(log, instants.groupBy(*keys).agg(F.max(at).alias("_end")), keys)
     met = instants.withColumn("_bin", _bin(F.col(at))).alias("w").join(items.alias("i"), _same([*keys, "_bin"], "w", "i")) \
         .filter((F.col("i.n") <= F.col(f"w.{at}")) & (F.col("i.to_n").isNull() | (F.col(f"w.{at}") < F.col("i.to_n"))))
     return met.select("w.*", f"i.{PRIORITY}", "i.value")
 
 
-def summaries_at(log: DataFrame, instants: DataFrame, keys: Sequence[str], k: Column, at: str = "at") -> DataFrame:
+def _place(df: DataFrame, keys: Iterable[Column], at: Column) -> Column:
+    """Key and bin as one column.  Its fields can be null on every side of a join:
+    a type that differs there would cost an exchange."""
+    place = F.struct(*keys, at.alias("_bin"))
+    fields = df.select(place.alias("_place")).schema["_place"].dataType.fields
+    return place.cast(T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])).alias("_place")
+
+
+def binned(log: DataFrame, ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``log`` for look-ups (``held_at``): one row a (key, bin of n), with the items
+    that are held at some instant of it, up to the last instant ``_end`` of the
+    key (``ends``: ``keys...``, ``_end``).  A row has the items held at the bin's start
+    and those accepted within it.  Key and bin are one struct, never null as a
+    whole, so that joins on it meet the rows where this grouping left them."""
+    items = F.sort_array(F.collect_list(F.struct(F.col(PRIORITY).alias("priority"), "value", "n", "to_n")))
+    lasting = _lasting(log, ends, list(keys))
+    return lasting.groupBy(_place(lasting, map(F.col, keys), F.col("_bin"))).agg(items.alias("_items"))
+
+
+def held_at(bins: DataFrame, instants: DataFrame, keys: Sequence[Column], at: Column, out: str, most: int | None = None) -> DataFrame:
+    """``instants`` with ``out``: the items (``priority, value``) held at ``at``, at
+    most the ``most`` smallest.  ``keys`` spell the keys of ``bins``.  Only the
+    instants move; their items are picked from the row of their bin."""
+    there = instants.filter(at > 0).withColumn("_at", at)
+    there = there.select("*", _place(there, keys, _bin(at)))
+    there = there.repartition("_place").sortWithinPartitions("_place", "_at")  # alike summaries stay together
+    met = there.alias("w").join(bins.alias("b"), F.col("w._place") == F.col("b._place"))
+    now = F.filter("_items", lambda x: (x["n"] <= F.col("_at")) & (x["to_n"].isNull() | (F.col("_at") < x["to_n"])))
+    now = F.transform(now if most is None else F.slice(now, 1, most), lambda x: F.struct(x["priority"].alias("priority"), x["value"].alias("value")))
+    return met.select(*[F.col(f"w.{c}").alias(c) for c in instants.columns], now.alias(out))
+
+
+def summaries_at(log: DataFrame, instants: DataFrame, keys: Sequence[str], k: Column, at: str = "at", bins: DataFrame | None = None) -> DataFrame:
     """The whole summary (``keys..., n, k, items``) after ``at`` elements, for each
-    instant (distinct ``keys..., at``).  Grouped as it was joined: one shuffle."""
+    instant (distinct ``keys..., at``).  ``bins`` is ``binned(log)`` if it is there already."""
     keys = list(keys)
-    items = F.sort_array(F.collect_list(F.struct(F.col(PRIORITY).alias("priority"), "value")))
-    return items_at(log, instants, keys, at).groupBy(*keys, "_bin", at).agg(items.alias("items")) \
-        .select(*keys, F.col(at).alias("n"), k.cast("bigint").alias("k"), "items")
+    if bins is None:
+        bins = binned(log, instants.groupBy(*keys).agg(F.max(at).alias("_end")), keys)
+    return held_at(bins, instants, [F.col(c) for c in keys], F.col(at), "items").select(*keys, F.col(at).alias("n"), k.cast("bigint").alias("k"), "items")

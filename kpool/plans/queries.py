@@ -594,9 +594,10 @@ def _paired_changelog(spark, sf_dir) -> str:
 @register("stream_paired_merge", _SP_SQL)
 def q_stream_paired_merge(spark, sf_dir):
     """Final summary per (user, kind) of the paired stream."""
+    from kpool.streaming.changelog import latest
+
     rows = spark.read.parquet(_paired_changelog(spark, sf_dir))
-    last = rows.groupBy("user_id", "kind").agg(F.max_by(F.struct("n", "k", "items"), "n").alias("s"))
-    return explode_summary(last.select("user_id", "kind", "s.*"), ["user_id", "kind"])
+    return explode_summary(latest(rows, ["user_id", "kind"], "n", "n", "k", "items"), ["user_id", "kind"])
 
 
 # ------------------------------------------------- S5 S6 X4 T4: stream_outputs

@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpool.operators.acceptance import acceptance_log, items_at, number_rows, sample_changelog, summaries_at
+from kpool.operators.acceptance import acceptance_log, binned, held_at, number_rows, sample_changelog, summaries_at
 from kpool.operators.ordinal import ordinal
 from kpool.operators.pairing import pair_latest_unmatched
 from kpool.operators.sample import DEFAULT_SIZE, PRIORITY, check_size
@@ -38,6 +38,7 @@ from kpool.streaming.slots import read_state, write_state
 WHAT = "_what"
 SEEN, ITEM, HELD = "seen", "item", "held"
 SIDE = "_side"
+BUCKETS = 1 << 20  # rows of a table that prunes before the last row of each key is taken
 
 
 def _parts(state: DataFrame | None, keys: Sequence[str], extra: Sequence[str] = ()):
@@ -83,7 +84,7 @@ def _batch_writer(step: Callable, table_dir: str, out_dir: str):
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows, after = step(batch, state)
-            rows.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/batch={batch_id}")
             write_state(after, table_dir, batch_id)
         finally:
             batch.unpersist()
@@ -177,19 +178,20 @@ def paired_step(batch: DataFrame, keys: Sequence[str], side: Column, k1: int, k2
     held = last.alias("a").join(closed.alias("b"), same, "left_anti").select(*keys, f"_element.{SIDE}", "_element.n")
 
     # the summary after each element, and the merged one at each pair
-    sampled = summaries_at(log, numbered.select(*both, F.col("n").alias("at")), both, size)
+    counts = materialize(_add_up(seen, numbered, both))
+    bins = binned(log, counts.select(*both, F.col("n").alias("_end")), both)
+    sampled = summaries_at(log, numbered.select(*both, F.col("n").alias("at")), both, size, bins=bins)
     sampled = sampled.select(*keys, F.concat(F.lit("sampled"), F.col(SIDE).cast("string")).alias("kind"),
                              F.when(F.col(SIDE) == 1, F.col("n")).alias("n1"), F.when(F.col(SIDE) == 2, F.col("n")).alias("n2"), "n", "k", "items")
-    met = pairs.select(*keys, F.col("left_id.n").alias("n1"), F.col("right_id.n").alias("n2"))
-    sides = F.explode(F.array(*[F.struct(F.lit(s).alias(SIDE), F.col(f"n{s}").alias("at")) for s in (1, 2)]))
-    instants = met.withColumn("_i", sides).select(*keys, f"_i.{SIDE}", "_i.at", "n1", "n2")
-    pooled = items_at(log, instants, both).groupBy(*keys, "n1", "n2") \
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(PRIORITY).alias("priority"), "value"))).alias("items"))  # at most k1 + k2
+    pooled = pairs.select(*keys, F.col("left_id.n").alias("n1"), F.col("right_id.n").alias("n2"))
+    for s in (1, 2) if k1 <= k2 else (2, 1):  # the smaller side's items go along to the other's
+        pooled = held_at(bins, pooled, [*map(F.col, keys), F.lit(s).alias(SIDE)], F.col(f"n{s}"), f"_items{s}", m)
+    pooled = pooled.withColumn("items", F.sort_array(F.concat("_items1", "_items2")))
     # Rule R: a side that does not hold its whole input bounds the exact merge
     most = F.least(F.lit(m), F.when(F.col("n1") > k1, k1), F.when(F.col("n2") > k2, k2))
     merged = pooled.select(*keys, F.lit("merged").alias("kind"), "n1", "n2", (F.col("n1") + F.col("n2")).alias("n"), most.cast("bigint").alias("k"),
                            F.slice("items", 1, most).alias("items"))
-    return sampled.unionByName(merged), _state(both, _add_up(seen, numbered, both), log, held)
+    return sampled.unionByName(merged), _state(both, counts, log, held)
 
 
 def stream_paired_changelog(sdf: DataFrame, keys: Sequence[str], side: Column, value_cols, id_cols: Sequence, order: Sequence, k1: int = DEFAULT_SIZE,
@@ -210,6 +212,19 @@ def stream_paired_changelog(sdf: DataFrame, keys: Sequence[str], side: Column, v
     return start_step(sdf, step, table_dir, out_dir, checkpoint, trigger)
 
 
+def latest(rows: DataFrame, keys: Sequence[str], by: str, *cols: str) -> DataFrame:
+    """``keys..., cols...`` of each key's row of largest ``by`` (a number, not null).
+
+    A first pass over ``keys`` and ``by`` alone finds, for each of ``BUCKETS`` groups
+    of keys, the least of their largest; rows below it are no key's last and go
+    before anything is sorted or moved.  The table has at most ``BUCKETS`` rows
+    however many keys there are."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    least = rows.groupBy(*keys).agg(F.max(by).alias("_last")).groupBy(bucket).agg(F.min("_last").alias("_least"))
+    late = rows.select(*keys, by, *[c for c in cols if c != by], bucket).join(F.broadcast(least), "_bucket").filter(F.col(by) >= F.col("_least"))
+    return late.groupBy(*keys).agg(F.max_by(F.struct(*cols), by).alias("_row")).select(*keys, "_row.*")
+
+
 # --- arrivals ---------------------------------------------------------------
 
 def arrivals(spark: SparkSession, df: DataFrame, order: Sequence, parts: int) -> Iterator[str]:

@@ -173,6 +173,62 @@ def test_hot_key_meets_in_many_bins(spark, monkeypatch):
     assert per_bin[0] <= 32 and per_bin[1] > 15
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_summaries_are_made_where_their_bins_are(spark, monkeypatch):
+    """Instants move to the row of their bin, and what they pick there moves no more."""
+    from kpool.operators import acceptance as A
+
+    monkeypatch.setattr(A, "BIN", 32)
+    rows = rows_of(random.Random(11), 300)
+    num = numbered(frame(spark, rows))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = summaries_at(acceptance_log(num, ["key"], 3), num.select("key", F.col("n").alias("at")), ["key"], F.lit(3))
+        above, *below = plan_of(got).split("Join", 1)
+        assert below and "Exchange" not in above and "Aggregate" not in above
+        items, instants = below[0].count("ObjectHashAggregate"), below[0].count("REPARTITION_BY_COL")
+        assert (items, instants) == (2, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    after = plain(rows, 3)[1]
+    assert {(r["key"], r["n"]): sorted(x["value"] for x in r["items"]) for r in got.collect()} == {at: sorted(x) for at, x in after.items()}
+
+
+@pytest.mark.parametrize("dealt", [16, 1 << 18])
+def test_log_matches_pushes_without_a_join(spark, monkeypatch, dealt):
+    from kpool.operators import acceptance as A
+
+    monkeypatch.setattr(A, "DEALT", dealt, raising=False)
+    rows = rows_of(random.Random(12), 400, 50)
+    log = acceptance_log(numbered(frame(spark, rows)), ["key"], 3)
+    assert "Join" not in plan_of(log).split("Exchange", 1)[0]
+    assert sorted(map(tuple, sample_changelog(log, ["key"]).collect()), key=repr) == plain(rows, 3)[0]
+
+
+def test_numbered_rows_carry_their_order_once(spark):
+    rows = rows_of(random.Random(13), 60)
+    got = number_rows(frame(spark, rows), ["key"], ["at"], "id", ["id"], 5, keep=["at"])
+    assert "_by0" not in plan_of(got)
+    assert {(r["key"], r["at"]): r["n"] for r in got.collect()} == {(key, r[1]): n for key, own in by_key(rows).items() for n, r in enumerate(own, 1)}
+
+
+@pytest.mark.parametrize("buckets", [2, 1 << 20])
+def test_latest_row_of_each_key(spark, monkeypatch, buckets):
+    """Rows that cannot be last go before rows with their payload are sorted."""
+    monkeypatch.setattr(C, "BUCKETS", buckets, raising=False)
+    rows = [(r[0], r[1], r[2], r[3]) for r in rows_of(random.Random(14), 200)]
+    got = C.latest(frame(spark, rows), ["key", "left"], "at", "at", "id")
+    want = {}
+    for key, at, ident, left in sorted(rows, key=lambda r: r[1]):
+        want[(key, left)] = (at, ident)
+    assert {(r["key"], r["left"]): (r["at"], r["id"]) for r in got.collect()} == want
+    assert "_least" in plan_of(got).split("SortAggregate", 1)[-1]
+    assert C.latest(frame(spark, []), ["key"], "at", "id").count() == 0
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     rows = rows_of(random.Random(4), 200, 300)
     table, out = str(tmp_path / "state"), str(tmp_path / "out")
