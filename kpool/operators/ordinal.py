@@ -116,11 +116,11 @@ def ordinal(
         by_range
         .sortWithinPartitions(*sort_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), LOW_BITS))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(LOW_MASK)))
     )
     ensure_checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.withColumn("_pid", F.shiftright(F.col("_mid"), LOW_BITS)) \
+        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(LOW_MASK)))
     slices = ranged.groupBy("_pid", *keys).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_pid") \
