@@ -614,14 +614,15 @@ FROM ({_SP_SQL}) GROUP BY user_id, kind
 def q_stream_outputs(spark, sf_dir):
     from kpool.session import shared_dir
     from kpool.sources.messages import by_kind, write_summaries
+    from kpool.streaming.changelog import latest
     from kpool.streaming.sample_stream import run_to_end
 
     log = _paired_changelog(spark, sf_dir)
     rows = spark.readStream.schema(spark.read.parquet(log).schema).parquet(log).withColumn("seq", F.col("n"))
     sink = shared_dir(spark, "outputs")
-    run_to_end(write_summaries(rows, "parquet", shared_dir(spark, "outputs-ckpt"), path=sink, topic=by_kind(_TOPICS),
+    run_to_end(write_summaries(rows, "parquet", shared_dir(spark, "outputs-ckpt"), {"compression": "zstd"}, path=sink, topic=by_kind(_TOPICS),
                                prefix=by_kind({k: f"{k}: " for k in _TOPICS}), trigger={"availableNow": True}))
-    last = spark.read.parquet(sink).groupBy("user_id", "topic").agg(F.max_by("value", "seq").alias("value"))
+    last = latest(spark.read.parquet(sink), ["user_id", "topic"], "seq", "value")
     return last.select("user_id", "topic", F.col("value").cast("string").alias("text"))
 
 
